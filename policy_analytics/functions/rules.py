@@ -69,10 +69,10 @@ def parse_date_multi(c, data_type: T.DataType | None = None) -> Column:
     s = F.trim(col.cast("string"))
     iso = F.regexp_extract(s, r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", 0)
     return F.coalesce(
-        F.try_to_date(iso, F.lit("yyyy-M-d")),
-        F.try_to_date(s, F.lit("yyyy/M/d")),
-        F.try_to_date(s, F.lit("d.M.yyyy")),
-        F.try_to_date(s, F.lit("d/M/yyyy")),
+        F.try_to_date(iso, "yyyy-M-d"),
+        F.try_to_date(s, "yyyy/M/d"),
+        F.try_to_date(s, "d.M.yyyy"),
+        F.try_to_date(s, "d/M/yyyy"),
     )
 
 
@@ -82,7 +82,7 @@ def parse_date_iso(c, data_type: T.DataType | None = None) -> Column:
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
     iso = F.regexp_extract(F.trim(col.cast("string")), r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}", 0)
-    return F.try_to_date(iso, F.lit("yyyy-M-d"))
+    return F.try_to_date(iso, "yyyy-M-d")
 
 
 def within_dates(d: Column, lo: dt.date, hi: dt.date) -> Column:
