@@ -33,4 +33,4 @@ def register(name: str, oracle: str | None = None, headline: bool = False):
 
 def load_all() -> None:
     """Import every plan module so that its queries register."""
-    from . import analytics, cleaning, quality, rates, timeseries  # noqa: F401
+    from . import analytics, cleaning, quality, rates, store, timeseries  # noqa: F401
