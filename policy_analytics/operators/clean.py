@@ -52,6 +52,7 @@ class CleanResult:
     log: DataFrame
     converted: list[str] = field(default_factory=list)
     renamed: list[str] = field(default_factory=list)
+    make_log: object = None
 
 
 def _count_if(cond: Column) -> Column:
@@ -150,9 +151,19 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
     if "surrender_value" in out_cols:
         m["missing_value_kept"] = _count_if(key_ok & F.col("surrender_value").isNull())
     stats = frame.agg(*[v.alias(k) for k, v in m.items()])
-    final = data.agg(F.count(F.lit(1)).cast("long").alias("final_rows"))
-    log = stats.crossJoin(final)
 
+    def make_log(final_rows: int | None = None) -> DataFrame:
+        """The audit row; ``final_rows`` given (e.g. counted from written files) saves a pass."""
+        final = (data.agg(F.count(F.lit(1)).cast("long").alias("final_rows")) if final_rows is None
+                 else stats.sparkSession.range(1).select(F.lit(final_rows).cast("long").alias("final_rows")))
+        return _finish_log(stats.crossJoin(final), table_type, original_cols, out_cols, keys, m, metrics,
+                           converted, renamed, policy)
+
+    return CleanResult(data=data, log=make_log(), converted=converted, renamed=renamed, make_log=make_log)
+
+
+def _finish_log(log, table_type, original_cols, out_cols, keys, m, metrics, converted, renamed, policy):
+    """Shape the one-row metrics + final count into the audit record (C14)."""
     imputed = (F.when(F.col("has_tenant") > 0, F.col("missing_tenant")).otherwise(F.lit(0))
                if "missing_tenant" in m and policy.impute_tenant else F.lit(0)).cast("long")
     after_drop = F.col("original_rows") - F.col("null_key_rows")
@@ -190,23 +201,36 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
         F.array(*[F.lit(r) for r in renamed]).cast("array<string>").alias("renamed_columns"),
         F.array(*actions).alias("actions_taken"),
     )
-    return CleanResult(data=data, log=log, converted=converted, renamed=renamed)
+    return log
 
 
 def clean_all(tables: dict[str, DataFrame | None], as_of: dt.date,
               policy: Policy = Policy()) -> tuple[dict[str, DataFrame], DataFrame | None]:
     """Clean every present table; logs as one frame (common columns, by name)."""
-    data, logs = {}, []
+    data, results = clean_all_results(tables, as_of, policy)
+    return data, union_logs(results)
+
+
+def clean_all_results(tables: dict[str, DataFrame | None], as_of: dt.date,
+                      policy: Policy = Policy()) -> tuple[dict[str, DataFrame], dict[str, CleanResult]]:
+    """C15 with the per-table results (for logs built from written row counts)."""
+    data, results = {}, {}
     for name, df in tables.items():
         if df is None:
             continue
-        r = clean_table(df, name, as_of, policy)
-        data[name] = r.data
-        logs.append(r.log.select(*LOG_SCHEMA.fieldNames(), "null_key_rows", "duplicates_removed"))
+        results[name] = clean_table(df, name, as_of, policy)
+        data[name] = results[name].data
+    return data, results
+
+
+def union_logs(results: dict[str, CleanResult], counts: dict[str, int | None] | None = None) -> DataFrame | None:
+    """The audit rows of several tables as one frame; ``counts`` = known final row counts."""
+    cols = [*LOG_SCHEMA.fieldNames(), "null_key_rows", "duplicates_removed"]
     log = None
-    for lg in logs:
+    for name, r in results.items():
+        lg = (r.make_log(counts.get(name)) if counts else r.log).select(*cols)
         log = lg if log is None else log.unionByName(lg)
-    return data, log
+    return log
 
 
 def pipeline_totals(log: DataFrame) -> DataFrame:

@@ -24,9 +24,10 @@ def publish_clean(spark, d):
     """Clean the three raw tables and publish them as one new version; returns (root, result)."""
     t0 = time.perf_counter()
     raw = {n: fx.RAW_VIEWS[n](spark, d) for n in store.TABLES}
-    data, logs = clean.clean_all(raw, fx.AS_OF)
+    data, results = clean.clean_all_results(raw, fx.AS_OF)
     root = store.new_store_root(spark)
-    res = store.publish(data, logs, root, cleaning_seconds=round(time.perf_counter() - t0, 2))
+    res = store.publish(data, lambda counts: clean.union_logs(results, counts), root,
+                        cleaning_seconds=round(time.perf_counter() - t0, 2))
     if not res["success"]:
         raise RuntimeError(f"publish failed: {res.get('error')}")
     return root, res
