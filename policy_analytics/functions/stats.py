@@ -126,6 +126,13 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     w_local = (Window.partitionBy("_pid", *keys).orderBy(value)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ordered = ordered.withColumn("_hi", F.sum("_c").over(w_local))
+    # Both branches below must see the same partition ids. With exchange reuse (the
+    # default) they read one shuffle; without it, fix the slices in the shared folder.
+    spark = df.sparkSession
+    if str(spark.conf.get("spark.sql.exchange.reuse", "true")).lower() != "true":
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        ordered = ordered.checkpoint(eager=True)
 
     slices = ordered.groupBy("_pid", *keys).agg(F.max("_hi").alias("_pt"))
     w_prev = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
