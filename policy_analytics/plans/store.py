@@ -90,3 +90,13 @@ def csv_roundtrip(spark, d):
     data = clean.clean_table(fx.raw_contracts(spark, d), "contracts", fx.AS_OF).data
     io.write_csv({"contracts": data}, root)
     return io.read_table(spark, f"{root}/contracts", "csv", CONTRACT_SCHEMA)
+
+
+@register("source_profile", q("""
+SELECT 'contracts' AS source, count(*) AS rows, CAST(3 AS BIGINT) AS columns, count(*) > 0 AS present
+FROM raw_contracts
+UNION ALL SELECT 'customers', count(*), 2, count(*) > 0 FROM raw_customers
+UNION ALL SELECT 'timeseries', count(*), 3, count(*) > 0 FROM raw_timeseries"""))
+def source_profile(spark, d):
+    """Rows, columns and presence of the three raw sources."""
+    return io.source_profile({n: fx.RAW_VIEWS[n](spark, d) for n in store.TABLES})

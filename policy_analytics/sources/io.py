@@ -121,3 +121,40 @@ def source_completeness(sources: dict[str, DataFrame | None]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def export_tables(tables: dict[str, DataFrame | None], root: str, stamp: str,
+                  fmt: str = "csv") -> list[str]:
+    """Write every present result table as ``<root>/<name>_<stamp>`` (CSV with header or JSON)."""
+    written = []
+    for name, df in tables.items():
+        if df is None:
+            continue
+        w = df.write.mode("errorifexists")
+        path = f"{root.rstrip('/')}/{name}_{stamp}"
+        (w.option("header", "true").csv(path) if fmt == "csv" else w.json(path))
+        written.append(path)
+    return written
+
+
+def source_profile(sources: dict[str, DataFrame | None]) -> DataFrame:
+    """Per registered source its rows, column count and whether it has data.
+
+    Absent sources are listed with 0 rows. The row counts come from one aggregate each.
+    """
+    parts = []
+    spark = None
+    for name, df in sources.items():
+        if df is None:
+            continue
+        spark = df.sparkSession
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("source"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"),
+            (F.col("rows") > 0).alias("present")))
+    for name in [n for n, df in sources.items() if df is None]:
+        parts.append(spark.createDataFrame([(name, 0, 0, False)],
+                                           "source string, rows long, columns long, present boolean"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

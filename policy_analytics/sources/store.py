@@ -74,11 +74,14 @@ def _table_path(root: str, table: str) -> str:
 
 def publish(tables: dict[str, DataFrame | None], logs, root: str,
             notes: str = "Data cleaning pipeline run", version_id: str | None = None,
-            cleaning_seconds: float | None = None, now: dt.datetime | None = None) -> dict:
+            cleaning_seconds: float | None = None, now: dt.datetime | None = None,
+            data_mode: str = "errorifexists") -> dict:
     """Write a new version; returns id, per-table rows, durations and success.
 
     ``logs`` is a DataFrame or a function of the written row counts returning one (so the
     audit can use the counts from the written files instead of recomputing the tables).
+    ``data_mode="overwrite"`` is only for re-publishing a version id that is known not to
+    be listed (left over by a failed attempt, invisible to readers).
     """
     start = time.perf_counter()
     spark = next(df for df in tables.values() if df is not None).sparkSession
@@ -92,7 +95,7 @@ def publish(tables: dict[str, DataFrame | None], logs, root: str,
                 counts[t], names[t] = None, None
                 continue
             path = f"{_table_path(root, t)}/version_id={version_id}"
-            cluster(df, t).write.mode("errorifexists").parquet(path)
+            cluster(df, t).write.mode(data_mode).parquet(path)
             counts[t] = spark.read.parquet(path).count()          # Parquet footers only
             names[t] = f"{t}_{version_id}"
         if callable(logs):
@@ -100,7 +103,7 @@ def publish(tables: dict[str, DataFrame | None], logs, root: str,
         if logs is not None:
             log_json = logs.select(F.col("table_type"),
                                    F.to_json(F.struct(*[F.col(c) for c in logs.columns])).alias("log_json"))
-            log_json.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/cleaning_logs/version_id={version_id}")
+            log_json.write.mode(data_mode).parquet(f"{root.rstrip('/')}/cleaning_logs/version_id={version_id}")
         store_seconds = round(time.perf_counter() - start, 2)
         present = [v for v in counts.values() if v is not None]
         meta = spark.createDataFrame([(
@@ -179,3 +182,12 @@ def verify_store(spark: SparkSession, root: str) -> DataFrame:
     stats = versions.agg(F.count(F.lit(1)).alias("versions"))
     return stats.select(F.lit(len(tables or {})).cast("long").alias("tables"), "versions",
                         (F.lit(bool(nonempty) and all(nonempty)) & (F.col("versions") > 0)).alias("ok"))
+
+
+def is_listed(spark: SparkSession, root: str, version_id: str) -> bool:
+    """Whether ``version_id`` has a metadata row (i.e. is committed)."""
+    try:
+        v = spark.read.schema(VERSION_SCHEMA).parquet(f"{root.rstrip('/')}/data_versions")
+    except Exception:  # noqa: BLE001 - no version written yet
+        return False
+    return v.where(F.col("version_id") == version_id).limit(1).count() > 0

@@ -1,0 +1 @@
+"""Structured Streaming entry points (incremental publishing of landed raw files)."""
