@@ -25,6 +25,20 @@ def rnd(c, digits: int | None) -> Column:
     return c if digits is None else F.round(c, digits)
 
 
+def one_row(*frames: DataFrame) -> DataFrame:
+    """Columns of several one-row aggregates side by side, without any join.
+
+    The first frame is the outer query; every other frame enters as one uncorrelated
+    scalar subquery (a struct of its columns), which Spark runs once and inlines.
+    """
+    base = frames[0]
+    cols = [F.col(c) for c in base.columns]
+    for f in frames[1:]:
+        s = f.select(F.struct(*[F.col(c) for c in f.columns]).alias("_s")).scalar()
+        cols += [s.getField(c).alias(c) for c in f.columns]
+    return base.select(*cols)
+
+
 # --------------------------------------------------------------------------- #
 # Guarded moments: partial-aggregatable, never divide by zero.
 # --------------------------------------------------------------------------- #

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import rules
 from ..functions.names import standardise_columns
+from ..functions.stats import one_row
 
 # The critical key columns per table type (rows without them are dropped).
 CRITICAL_KEYS = {
@@ -130,13 +131,10 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
         key_ok = key_ok & F.col(k).isNotNull()
 
     kept = frame.where(key_ok).select(*out_cols)                     # C9
-    tenant_mode = None
     if table_type == "contracts" and "mandantid" in out_cols and policy.impute_tenant:
         # Mode after C9, lowest label on a tie; all-NULL -> nothing imputed.
-        tenant_mode = kept.agg(F.mode("mandantid", True).alias("__mode"))
-        kept = (kept.crossJoin(F.broadcast(tenant_mode))              # one row
-                .withColumn("mandantid", F.coalesce("mandantid", "__mode"))
-                .select(*out_cols))
+        tenant_mode = kept.agg(F.mode("mandantid", True).alias("__mode")).scalar()   # one value
+        kept = kept.withColumn("mandantid", F.coalesce("mandantid", tenant_mode))
     data = kept.dropDuplicates() if policy.dedupe else kept          # C12
 
     # One aggregate over the converted frame, one count of the result.
@@ -156,7 +154,7 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
         """The audit row; ``final_rows`` given (e.g. counted from written files) saves a pass."""
         final = (data.agg(F.count(F.lit(1)).cast("long").alias("final_rows")) if final_rows is None
                  else stats.sparkSession.range(1).select(F.lit(final_rows).cast("long").alias("final_rows")))
-        return _finish_log(stats.crossJoin(final), table_type, original_cols, out_cols, keys, m, metrics,
+        return _finish_log(one_row(stats, final), table_type, original_cols, out_cols, keys, m, metrics,
                            converted, renamed, policy)
 
     return CleanResult(data=data, log=make_log(), converted=converted, renamed=renamed, make_log=make_log)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import percent_of_total, rnd
+from ..functions.stats import one_row, percent_of_total, rnd
 from .series import HIGH_CLASSES
 
 
@@ -42,7 +42,7 @@ def leader(summary: DataFrame, label: str, count: str, dimension: str) -> DataFr
     tot = summary.agg(F.sum(count).alias("_t"))
     w = Window.orderBy(F.col(count).desc(), F.col(label).asc())
     best = summary.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == 1)
-    return best.crossJoin(tot).select(
+    return one_row(best, tot).select(
         F.lit(dimension).alias("dimension"),
         F.col(label).cast("string").alias("leader"),
         F.col(count).cast("long").alias("count"),
@@ -86,7 +86,7 @@ def coverage(contracts: DataFrame, customers: DataFrame, customers_with_age: Dat
     c = contracts.agg(F.count(F.lit(1)).alias("contracts"))
     k = customers.agg(F.count(F.lit(1)).alias("customers"))
     a = customers_with_age.agg(F.count(F.lit(1)).alias("customers_with_age"))
-    return (s.crossJoin(c).crossJoin(k).crossJoin(a)
+    return (one_row(s, c, k, a)
             .withColumn("mean_observations_per_contract",
                         F.round(F.try_divide(F.col("series_rows").cast("double"), F.col("contracts_with_series")), 1))
             .select("contracts", "contracts_with_series", "customers", "customers_with_age",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules
-from ..functions.stats import rnd
+from ..functions.stats import one_row, rnd
 
 # Column-name pattern of value columns checked for negatives, the id
 # patterns per id column, number of examples shown, and the age window of the stats.
@@ -78,7 +78,7 @@ def duplicate_profile(df: DataFrame, table: str, id_col: str | None = "contracti
     ex = (ids.where((F.col("_n") > 1) & F.col(id_col).isNotNull()).select(id_col)
           .orderBy(id_col).limit(DUPLICATE_EXAMPLES)
           .agg(_examples(id_col, "duplicate_id_examples")))
-    return rows.crossJoin(dup).crossJoin(ex).select(
+    return one_row(rows, dup, ex).select(
         F.lit(table).alias("table_name"), "rows", "duplicate_rows", "duplicate_ids", "duplicate_id_examples")
 
 
@@ -107,7 +107,7 @@ def id_format_profile(df: DataFrame, table: str, col: str) -> DataFrame:
             .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicates")))
     ex = (df.where(invalid).select(c.alias("_id")).orderBy("_id").limit(INVALID_EXAMPLES)
           .agg(_examples("_id", "invalid_examples")))
-    return agg.crossJoin(dups).crossJoin(ex).select(
+    return one_row(agg, dups, ex).select(
         F.lit(table).alias("table_name"), F.lit(col).alias("column"),
         "total", "non_empty", "valid", "invalid", "missing", "duplicates",
         F.when(F.col("non_empty") == 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("all_missing_issue"),
@@ -235,7 +235,7 @@ def orphan_keys(contracts: DataFrame, customers: DataFrame, series: DataFrame) -
     def summary(df, kind):
         n = df.agg(F.count(F.lit(1)).alias("orphans"))
         ex = df.orderBy("key").limit(DUPLICATE_EXAMPLES).agg(_examples("key", "examples"))
-        return n.crossJoin(ex).select(F.lit(kind).alias("kind"), "orphans", "examples")
+        return one_row(n, ex).select(F.lit(kind).alias("kind"), "orphans", "examples")
     return summary(oc, "customers_without_contract").unionByName(summary(ot, "timeseries_without_contract"))
 
 
@@ -248,7 +248,7 @@ def table_issues(df: DataFrame, table: str, as_of: dt.date) -> DataFrame:
     missing = missing_profile(df, table).agg(F.sum("missing").alias("_m"))
     dups = duplicate_profile(df, table, "contractid").select(
         (F.col("duplicate_rows") + F.coalesce("duplicate_ids", F.lit(0))).alias("_d"))
-    parts = [missing.crossJoin(dups).select((F.col("_m") + F.col("_d")).cast("long").alias("basic_issues"))]
+    parts = [one_row(missing, dups).select((F.col("_m") + F.col("_d")).cast("long").alias("basic_issues"))]
     business = [F.lit(0).cast("long")]
     for col in ("contractid", "customerid"):
         if col in df.columns:
@@ -269,7 +269,7 @@ def table_issues(df: DataFrame, table: str, as_of: dt.date) -> DataFrame:
     if neg_cols:
         parts.append(df.agg(sum(F.count_if(F.col(c) < 0) for c in neg_cols).alias("_neg")))
         business.append(F.col("_neg"))
-    row = reduce(lambda a, b: a.crossJoin(b), parts)
+    row = one_row(*parts)
     return row.select(F.lit(table).alias("table_name"), "basic_issues",
                       reduce(lambda a, b: a + b, business).cast("long").alias("business_issues")) \
               .withColumn("issues_found", F.col("basic_issues") + F.col("business_issues"))

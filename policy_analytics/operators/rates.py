@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules
-from ..functions.stats import exact_quantiles, rnd
+from ..functions.stats import exact_quantiles, one_row, rnd
 
 # Fixed values of the rate checks: gap and jump thresholds, outlier rule, near-constant
 # threshold, staleness days, plausible rate bounds, status tiers, name patterns.
@@ -149,7 +149,7 @@ def numeric_stats(df: DataFrame, value: str, key=None, digits: int | None = 4) -
         rnd(F.avg(v), digits).alias("mean"), rnd(F.stddev_samp(v), digits).alias("sd"))
     med = exact_quantiles(fin, k, value, [0.5], ["median"])
     med = med.select(*k, rnd("median", digits).alias("median"))
-    return stats.join(med, k) if k else stats.crossJoin(med)
+    return stats.join(med, k) if k else one_row(stats, med)
 
 
 def negatives(df: DataFrame, key=None) -> DataFrame:
@@ -168,14 +168,18 @@ def outliers(df: DataFrame, value: str, key=None, sigmas: float = OUTLIER_SIGMAS
     """Values farther than ``sigmas`` sd from the mean (strict), only where n > ``min_n``.
 
     Two passes: per-key mean / sd (partial aggregate), then each row joined to its key's
-    one row. Unkeyed, the one-row moments table is broadcast.
+    one row. Unkeyed, the moments enter as one scalar subquery (no join).
     """
     k = _keys(key)
     x = F.col(value).cast("double")
     fin = df.select(*k, x.alias("_x")).where(_finite(F.col("_x")))
     mom = fin.groupBy(*k).agg(F.count(F.lit(1)).alias("n"), F.avg("_x").alias("_m"),
                              F.stddev_samp("_x").alias("_s"))
-    j = fin.join(mom, k) if k else fin.crossJoin(F.broadcast(mom))
+    if k:
+        j = fin.join(mom, k)
+    else:
+        m = mom.select(F.struct("n", "_m", "_s").alias("_x")).scalar()
+        j = fin.select("_x", m.getField("n").alias("n"), m.getField("_m").alias("_m"), m.getField("_s").alias("_s"))
     out = j.groupBy(*k).agg(
         F.first("n").alias("n"),
         F.count_if(F.abs(F.col("_x") - F.col("_m")) > sigmas * F.col("_s")).cast("long").alias("_o"))
@@ -251,7 +255,7 @@ def rate_quality(df: DataFrame | None, as_of: dt.date, expected: Sequence[str] =
     miss = typed_missing(df).agg(F.sum("missing").alias("_m"))
     old = date_checks(df, as_of).agg(F.coalesce(F.sum("dates_before_1900"), F.lit(0)).alias("_o"))
     const = constant_or_empty(df).agg(F.coalesce(F.sum("issues"), F.lit(0)).alias("_c"))
-    row = miss.crossJoin(old).crossJoin(const)
+    row = one_row(miss, old, const)
     issues = (F.col("_m") + F.lit(missing_cols) + F.col("_o") + F.col("_c")).cast("long")
     return row.select(issues.alias("issues"), F.lit(missing_cols).cast("long").alias("missing_columns"),
                       F.col("_m").cast("long").alias("missing_values"),

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import require
-from ..functions.stats import (bin_left_closed, exact_quantiles, percent_of_total, rnd,
+from ..functions.stats import (bin_left_closed, exact_quantiles, one_row, percent_of_total, rnd,
                                safe_corr, safe_r2, safe_slope)
 
 # Class labels and breaks of the volatility and sensitivity classes,
@@ -106,7 +106,7 @@ def growth_stats(growth: DataFrame, digits: int | None = 2) -> DataFrame:
         F.max("date").alias("last_date"),
     )
     med = exact_quantiles(growth, [], "monthly_growth_rate", [0.5], ["median_rate"])
-    return agg.crossJoin(med.select(rnd("median_rate", digits).alias("median_rate")))
+    return one_row(agg, med.select(rnd("median_rate", digits).alias("median_rate")))
 
 
 def calculate_volatility(growth: DataFrame, min_periods: int = 6, digits: int | None = 3) -> DataFrame:
