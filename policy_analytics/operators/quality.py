@@ -244,35 +244,44 @@ def orphan_keys(contracts: DataFrame, customers: DataFrame, series: DataFrame) -
 def table_issues(df: DataFrame, table: str, as_of: dt.date) -> DataFrame:
     """Q20: basic issues (missing + duplicate rows + repeated contract ids) and business issues
     (invalid ids or 1 when all ids are missing, births out of range, unexpected tenants,
-    negative values) for one table; one row."""
-    missing = missing_profile(df, table).agg(F.sum("missing").alias("_m"))
-    dups = duplicate_profile(df, table, "contractid").select(
-        (F.col("duplicate_rows") + F.coalesce("duplicate_ids", F.lit(0))).alias("_d"))
-    parts = [one_row(missing, dups).select((F.col("_m") + F.col("_d")).cast("long").alias("basic_issues"))]
-    business = [F.lit(0).cast("long")]
+    negative values) for one table; one row.
+
+    All scalar checks are one fused aggregate; duplicates are two grouped counts and the
+    tenant domain a grouped count over the (few) unexpected values.
+    """
+    missing = [F.count_if(_missing(df, c)) for c in df.columns]
+    business = []
     for col in ("contractid", "customerid"):
         if col in df.columns:
-            p = id_format_profile(df, table, col).select(
-                (F.col("invalid") + (F.col("all_missing_issue") if col == "contractid" else F.lit(0)))
-                .alias(f"_{col}"))
-            parts.append(p)
-            business.append(F.col(f"_{col}"))
+            c = F.col(col).cast("string")
+            non_empty = c.isNotNull() & (c != "")
+            business.append(F.count_if(non_empty & ~c.rlike(ID_PATTERNS[col])))
+            if col == "contractid":
+                business.append(F.when(F.count_if(non_empty) == 0, F.lit(1)).otherwise(F.lit(0)))
     if "birthdate" in df.columns:
-        parts.append(birthdate_checks(df, table, as_of).select(
-            (F.col("future_births") + F.col("births_before_1900")).alias("_birth")))
-        business.append(F.col("_birth"))
+        b = F.col("birthdate")
+        business += [F.count_if(b > F.lit(as_of)), F.count_if(b < F.lit(rules.MIN_BIRTHDATE))]
+    business += [F.count_if(F.col(f.name) < 0) for f in df.schema.fields
+                 if isinstance(f.dataType, T.NumericType) and VALUE_NAME_PATTERN.search(f.name)]
+    zero = F.lit(0).cast("long")
+    fused = df.agg(reduce(lambda a, b: a + b, missing, zero).cast("long").alias("_m"),
+                   reduce(lambda a, b: a + b, business, zero).cast("long").alias("_b"))
+    parts = [fused,
+             df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+               .agg(F.coalesce(F.sum(F.col("_n") - 1), zero).cast("long").alias("_dr"))]
+    extra_basic, extra_business = [], []
+    if "contractid" in df.columns:
+        parts.append(df.groupBy("contractid").agg(F.count(F.lit(1)).alias("_n"))
+                     .agg(F.coalesce(F.sum(F.col("_n") - 1), zero).cast("long").alias("_di")))
+        extra_basic.append(F.col("_di"))
     if "mandantid" in df.columns:
-        parts.append(tenant_domain(df, table).agg(F.count(F.lit(1)).alias("_tenant")))
-        business.append(F.col("_tenant"))
-    neg_cols = [f.name for f in df.schema.fields
-                if isinstance(f.dataType, T.NumericType) and VALUE_NAME_PATTERN.search(f.name)]
-    if neg_cols:
-        parts.append(df.agg(sum(F.count_if(F.col(c) < 0) for c in neg_cols).alias("_neg")))
-        business.append(F.col("_neg"))
-    row = one_row(*parts)
-    return row.select(F.lit(table).alias("table_name"), "basic_issues",
-                      reduce(lambda a, b: a + b, business).cast("long").alias("business_issues")) \
-              .withColumn("issues_found", F.col("basic_issues") + F.col("business_issues"))
+        parts.append(tenant_domain(df, table).agg(F.count(F.lit(1)).alias("_t")))
+        extra_business.append(F.col("_t"))
+    basic = reduce(lambda a, b: a + b, extra_basic, F.col("_m") + F.col("_dr"))
+    biz = reduce(lambda a, b: a + b, extra_business, F.col("_b"))
+    return one_row(*parts).select(F.lit(table).alias("table_name"), basic.cast("long").alias("basic_issues"),
+                                  biz.cast("long").alias("business_issues")) \
+        .withColumn("issues_found", F.col("basic_issues") + F.col("business_issues"))
 
 
 def referential_issues(contracts: DataFrame, customers: DataFrame, series: DataFrame) -> DataFrame:
