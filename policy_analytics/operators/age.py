@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import require
-from ..functions.stats import bin_left_closed, label_rank, percent_of_total, rnd
+from ..functions.stats import bin_left_closed, percent_of_total, rnd
 
 # The default age bands and labels.
 DEFAULT_BREAKS = (30, 50)
@@ -50,16 +50,20 @@ def classify_age_groups(customers: DataFrame, as_of: dt.date,
 
 def age_distribution(classified: DataFrame, labels: Sequence[str] = DEFAULT_LABELS,
                      digits: int | None = 1) -> DataFrame:
-    """A4: customers and % per band; every band listed (empty ones with 0), NULL band excluded."""
+    """A4: customers and % per band; every band listed (empty ones with 0), NULL band excluded.
+
+    Rows are unordered (a set); order by ``label_rank`` for display.
+    """
     spark = classified.sparkSession
     bands = spark.createDataFrame([(lab, i + 1) for i, lab in enumerate(labels)],
                                   "age_group string, band_rank int")
     counts = (classified.where(F.col("age_group").isNotNull())
               .groupBy("age_group").agg(F.count(F.lit(1)).alias("customers")))
-    out = (F.broadcast(bands).join(counts, "age_group", "left")
+    # counts are grouped by band, so at most one row per label: a proven broadcast bound
+    out = (bands.join(F.broadcast(counts), "age_group", "left")
            .withColumn("customers", F.coalesce("customers", F.lit(0)).cast("long")))
     return (out.withColumn("percentage", F.coalesce(percent_of_total("customers", digits=digits), F.lit(0.0)))
-            .orderBy("band_rank").drop("band_rank"))
+            .drop("band_rank"))
 
 
 def age_overall(classified: DataFrame, digits: int | None = 1) -> DataFrame:
@@ -76,7 +80,10 @@ def age_overall(classified: DataFrame, digits: int | None = 1) -> DataFrame:
 
 def create_age_summary(classified: DataFrame, labels: Sequence[str] = DEFAULT_LABELS,
                        digits: int | None = 1) -> DataFrame:
-    """Per band count, min, max, mean, median, sd and % of all; NULL band kept as a group."""
+    """Per band count, min, max, mean, median, sd and % of all; NULL band kept as a group.
+
+    Rows are unordered (a set); order by ``label_rank("age_group", labels)`` for display.
+    """
     require(classified, ["age_group", "age"], "age summary input")
     a = F.col("age")
     summary = classified.groupBy("age_group").agg(
@@ -87,5 +94,4 @@ def create_age_summary(classified: DataFrame, labels: Sequence[str] = DEFAULT_LA
         rnd(F.median(a), digits).alias("median_age"),
         rnd(F.stddev_samp(a), digits).alias("std_age"),
     )
-    return (summary.withColumn("percentage", percent_of_total("count", digits=digits))
-            .orderBy(label_rank("age_group", labels).asc_nulls_last()))
+    return summary.withColumn("percentage", percent_of_total("count", digits=digits))

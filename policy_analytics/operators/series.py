@@ -164,7 +164,8 @@ def class_distribution(df: DataFrame, class_col: str, value_col: str, unit: str,
     kept = df.where(F.col(class_col).isNotNull())
     counts = kept.groupBy(class_col).agg(*aggs)
     med = exact_quantiles(kept, [class_col], value_col, [0.5], [f"median_{value_col}"])
-    out = counts.join(med, class_col, "left").withColumn(
+    # both sides have one row per class label: the median side is a bounded broadcast
+    out = counts.join(F.broadcast(med), class_col, "left").withColumn(
         f"median_{value_col}", rnd(f"median_{value_col}", digits))
     return out.withColumn("percentage", percent_of_total(unit))
 
@@ -253,7 +254,8 @@ def month_spine(ts: DataFrame) -> DataFrame:
     counts = ts.groupBy(m.alias("year_month")).agg(
         F.count(F.lit(1)).alias("observations"),
         F.countDistinct("contractid").alias("contracts"))
-    return (spine.join(counts, "year_month", "left")
+    # counts are grouped by month: at most one row per calendar month, a bounded broadcast
+    return (spine.join(F.broadcast(counts), "year_month", "left")
             .select("year_month",
                     F.coalesce("observations", F.lit(0)).cast("long").alias("observations"),
                     F.coalesce("contracts", F.lit(0)).cast("long").alias("contracts")))
