@@ -1,8 +1,9 @@
 """Cleaning (C1-C17): standardise names, convert values, drop / impute / keep, dedupe, audit.
 
 ``clean_table`` returns the cleaned DataFrame (lazy) and a one-row audit DataFrame. The
-audit is computed by one aggregate over a frame that carries raw and converted columns
-side by side, plus one count of the final rows, instead of a count after every rule.
+audit is one aggregate over a frame that carries raw and converted columns side by side
+(the final row count is a distinct count of the cleaned row inside it), instead of a
+count after every rule.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import types as T
 
 from ..functions import rules
 from ..functions.names import standardise_columns
-from ..functions.stats import one_row
 
 # The critical key columns per table type (rows without them are dropped).
 CRITICAL_KEYS = {
@@ -131,13 +131,16 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
         key_ok = key_ok & F.col(k).isNotNull()
 
     kept = frame.where(key_ok).select(*out_cols)                     # C9
+    imputed_tenant = None
     if table_type == "contracts" and "mandantid" in out_cols and policy.impute_tenant:
         # Mode after C9, lowest label on a tie; all-NULL -> nothing imputed.
         tenant_mode = kept.agg(F.mode("mandantid", True).alias("__mode")).scalar()   # one value
-        kept = kept.withColumn("mandantid", F.coalesce("mandantid", tenant_mode))
+        imputed_tenant = F.coalesce("mandantid", tenant_mode)
+        kept = kept.withColumn("mandantid", imputed_tenant)
     data = kept.dropDuplicates() if policy.dedupe else kept          # C12
 
-    # One aggregate over the converted frame, one count of the result.
+    # One aggregate over the converted frame. The final row count is a
+    # distinct count of the cleaned row in the same aggregate (one scan, one shuffle).
     m = dict(metrics)
     m["original_rows"] = F.count(F.lit(1)).cast("long")
     m["null_key_rows"] = _count_if(~key_ok)
@@ -148,13 +151,17 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
         m["missing_birthdate_kept"] = _count_if(key_ok & F.col("birthdate").isNull())
     if "surrender_value" in out_cols:
         m["missing_value_kept"] = _count_if(key_ok & F.col("surrender_value").isNull())
+    row = F.struct(*[(imputed_tenant.alias(c) if c == "mandantid" and imputed_tenant is not None else F.col(c))
+                     for c in out_cols])
+    final_expr = (F.count_distinct(F.when(key_ok, row)) if policy.dedupe else _count_if(key_ok)).cast("long")
     stats = frame.agg(*[v.alias(k) for k, v in m.items()])
+    stats_with_final = frame.agg(*[v.alias(k) for k, v in m.items()], final_expr.alias("final_rows"))
 
     def make_log(final_rows: int | None = None) -> DataFrame:
-        """The audit row; ``final_rows`` given (e.g. counted from written files) saves a pass."""
-        final = (data.agg(F.count(F.lit(1)).cast("long").alias("final_rows")) if final_rows is None
-                 else stats.sparkSession.range(1).select(F.lit(final_rows).cast("long").alias("final_rows")))
-        return _finish_log(one_row(stats, final), table_type, original_cols, out_cols, keys, m, metrics,
+        """The audit row; ``final_rows`` given (e.g. counted from written files) skips the distinct count."""
+        log = (stats_with_final if final_rows is None
+               else stats.select("*", F.lit(final_rows).cast("long").alias("final_rows")))
+        return _finish_log(log, table_type, original_cols, out_cols, keys, m, metrics,
                            converted, renamed, policy)
 
     return CleanResult(data=data, log=make_log(), converted=converted, renamed=renamed, make_log=make_log)
