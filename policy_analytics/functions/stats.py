@@ -181,3 +181,19 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
         (F.col(f"_a{i}") + F.col(f"_f{i}") * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(name)
         for i, name in enumerate(names)
     ])
+
+
+def quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+              names: Sequence[str], accuracy: int | None = None) -> DataFrame:
+    """Quantiles per group: exact by default (:func:`exact_quantiles`).
+
+    With ``accuracy`` set, ``percentile_approx`` is used instead: one partial-aggregate
+    pass with memory bounded by ``accuracy`` per group, relative rank error ~1/accuracy.
+    """
+    if accuracy is None:
+        return exact_quantiles(df, keys, value, probs, names)
+    v = F.col(value)
+    base = df.where(v.isNotNull() & ~F.isnan(v))
+    q = F.percentile_approx(value, list(probs), accuracy)
+    out = base.groupBy(*keys).agg(q.alias("_q"))
+    return out.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules
-from ..functions.stats import exact_quantiles, one_row, rnd
+from ..functions.stats import one_row, quantiles, rnd
 
 # Fixed values of the rate checks: gap and jump thresholds, outlier rule, near-constant
 # threshold, staleness days, plausible rate bounds, status tiers, name patterns.
@@ -138,8 +138,9 @@ def _finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
 
 
-def numeric_stats(df: DataFrame, value: str, key=None, digits: int | None = 4) -> DataFrame:
-    """Finite-only min, max, mean, median (exact, distributed), sd per key."""
+def numeric_stats(df: DataFrame, value: str, key=None, digits: int | None = 4,
+                  accuracy: int | None = None) -> DataFrame:
+    """Finite-only min, max, mean, median (exact and distributed by default), sd per key."""
     k = _keys(key)
     x = F.col(value).cast("double")
     fin = df.select(*k, x.alias(value)).where(_finite(F.col(value)))
@@ -147,7 +148,7 @@ def numeric_stats(df: DataFrame, value: str, key=None, digits: int | None = 4) -
     stats = fin.groupBy(*k).agg(
         F.count(F.lit(1)).alias("n"), rnd(F.min(v), digits).alias("min"), rnd(F.max(v), digits).alias("max"),
         rnd(F.avg(v), digits).alias("mean"), rnd(F.stddev_samp(v), digits).alias("sd"))
-    med = exact_quantiles(fin, k, value, [0.5], ["median"])
+    med = quantiles(fin, k, value, [0.5], ["median"], accuracy)
     med = med.select(*k, rnd("median", digits).alias("median"))
     return stats.join(med, k) if k else one_row(stats, med)
 

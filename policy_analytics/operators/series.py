@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import require
-from ..functions.stats import (bin_left_closed, exact_quantiles, one_row, percent_of_total, rnd,
+from ..functions.stats import (bin_left_closed, one_row, percent_of_total, quantiles, rnd,
                                safe_corr, safe_r2, safe_slope)
 
 # Class labels and breaks of the volatility and sensitivity classes,
@@ -92,8 +92,8 @@ def calculate_monthly_growth(ts: DataFrame, min_observations: int = 3, month_day
     return g
 
 
-def growth_stats(growth: DataFrame, digits: int | None = 2) -> DataFrame:
-    """T4: mean, median, sd, min, max of the rates; contracts; date span."""
+def growth_stats(growth: DataFrame, digits: int | None = 2, accuracy: int | None = None) -> DataFrame:
+    """T4: mean, median, sd, min, max of the rates; contracts; date span (exact median by default)."""
     r = F.col("monthly_growth_rate")
     agg = growth.agg(
         F.count(r).alias("rates"),
@@ -105,7 +105,7 @@ def growth_stats(growth: DataFrame, digits: int | None = 2) -> DataFrame:
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
     )
-    med = exact_quantiles(growth, [], "monthly_growth_rate", [0.5], ["median_rate"])
+    med = quantiles(growth, [], "monthly_growth_rate", [0.5], ["median_rate"], accuracy)
     return one_row(agg, med.select(rnd("median_rate", digits).alias("median_rate")))
 
 
@@ -153,7 +153,8 @@ def volatility_variant(growth: DataFrame, min_periods: int = 6) -> DataFrame:
 
 
 def class_distribution(df: DataFrame, class_col: str, value_col: str, unit: str,
-                       digits: int | None = 3, extra: dict | None = None) -> DataFrame:
+                       digits: int | None = 3, extra: dict | None = None,
+                       accuracy: int | None = None) -> DataFrame:
     """Per class count and %, mean / median / max of ``value_col`` (+ extra aggregates)."""
     x = F.col(value_col)
     aggs = [F.count(F.lit(1)).alias(unit),
@@ -163,7 +164,7 @@ def class_distribution(df: DataFrame, class_col: str, value_col: str, unit: str,
         aggs.append(rnd(col, digits).alias(name))
     kept = df.where(F.col(class_col).isNotNull())
     counts = kept.groupBy(class_col).agg(*aggs)
-    med = exact_quantiles(kept, [class_col], value_col, [0.5], [f"median_{value_col}"])
+    med = quantiles(kept, [class_col], value_col, [0.5], [f"median_{value_col}"], accuracy)
     # both sides have one row per class label: the median side is a bounded broadcast
     out = counts.join(F.broadcast(med), class_col, "left").withColumn(
         f"median_{value_col}", rnd(f"median_{value_col}", digits))

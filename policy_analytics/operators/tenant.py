@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import require
-from ..functions.stats import exact_quantiles, percent_of_total, rnd
+from ..functions.stats import percent_of_total, quantiles, rnd
 
 
 def tenant_distribution(contracts: DataFrame, digits: int | None = 1) -> DataFrame:
@@ -50,8 +50,12 @@ def tenant_age_bands(contracts: DataFrame, customers_with_age: DataFrame, digits
     return c.withColumn("percentage", percent_of_total("n", ["mandantid"], digits))
 
 
-def tenant_values(timeseries: DataFrame, contracts: DataFrame, digits: int | None = 2) -> DataFrame:
-    """M4: surrender value statistics per tenant incl. exact median and quartiles."""
+def tenant_values(timeseries: DataFrame, contracts: DataFrame, digits: int | None = 2,
+                  accuracy: int | None = None) -> DataFrame:
+    """M4: surrender value statistics per tenant incl. exact median and quartiles.
+
+    ``accuracy`` switches the quartiles to ``percentile_approx`` (see ``stats.quantiles``).
+    """
     j = (timeseries.select("contractid", "surrender_value")
          .join(contracts.select("contractid", "mandantid"), "contractid")
          .where(F.col("mandantid").isNotNull() & F.col("surrender_value").isNotNull()))
@@ -64,13 +68,14 @@ def tenant_values(timeseries: DataFrame, contracts: DataFrame, digits: int | Non
         rnd(F.min(v), digits).alias("min_surrender_value"),
         rnd(F.max(v), digits).alias("max_surrender_value"),
     )
-    qs = exact_quantiles(j, ["mandantid"], "surrender_value", [0.5, 0.25, 0.75],
-                         ["median_surrender_value", "q25_surrender_value", "q75_surrender_value"])
+    qs = quantiles(j, ["mandantid"], "surrender_value", [0.5, 0.25, 0.75],
+                   ["median_surrender_value", "q25_surrender_value", "q75_surrender_value"], accuracy)
     qs = qs.select("mandantid", *[rnd(c, digits).alias(c) for c in qs.columns if c != "mandantid"])
     return stats.join(qs, "mandantid")
 
 
-def tenant_volatility(volatility: DataFrame, contracts: DataFrame, digits: int | None = 3) -> DataFrame:
+def tenant_volatility(volatility: DataFrame, contracts: DataFrame, digits: int | None = 3,
+                      accuracy: int | None = None) -> DataFrame:
     """M5: volatility statistics per tenant and mean risk-adjusted return."""
     j = (volatility.select("contractid", "volatility", "risk_adjusted_return")
          .join(contracts.select("contractid", "mandantid"), "contractid")
@@ -84,7 +89,7 @@ def tenant_volatility(volatility: DataFrame, contracts: DataFrame, digits: int |
         rnd(F.max(v), digits).alias("max_volatility"),
         rnd(F.avg("risk_adjusted_return"), digits).alias("mean_risk_adjusted_return"),
     )
-    med = exact_quantiles(j, ["mandantid"], "volatility", [0.5], ["median_volatility"])
+    med = quantiles(j, ["mandantid"], "volatility", [0.5], ["median_volatility"], accuracy)
     return stats.join(med.select("mandantid", rnd("median_volatility", digits).alias("median_volatility")),
                       "mandantid")
 

@@ -27,3 +27,12 @@ def test_global_quantile(spark):
     df = spark.createDataFrame([(float(v),) for v in range(1, 11)], "v double")
     r = exact_quantiles(df, [], "v", [0.5], ["m"]).first()
     assert r.m == 5.5
+
+
+def test_approx_switch_is_close(spark):
+    from policy_analytics.functions.stats import quantiles
+    rng = np.random.default_rng(5)
+    vals = rng.normal(100, 10, 5000)
+    df = spark.createDataFrame([("g", float(v)) for v in vals], "g string, v double")
+    r = quantiles(df, ["g"], "v", [0.5], ["m"], accuracy=10000).first()
+    assert abs(r.m - np.quantile(vals, 0.5)) < 0.5
