@@ -94,12 +94,6 @@ def label_rank(c, labels: Sequence[str]) -> Column:
     return F.array_position(F.array(*[F.lit(x) for x in labels]), _col(c)).cast("int")
 
 
-def bins_frame(spark, column: str, labels: Sequence[str]) -> DataFrame:
-    """The literal band list (bounded by the number of labels)."""
-    return spark.createDataFrame([(lab, i + 1) for i, lab in enumerate(labels)],
-                                 f"{column} string, {column}_rank int")
-
-
 # --------------------------------------------------------------------------- #
 # Percent of total on a small aggregated frame
 # --------------------------------------------------------------------------- #

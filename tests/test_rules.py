@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from policy_analytics.functions import names, rules
