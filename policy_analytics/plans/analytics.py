@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-
 from ..operators import age
 from ..sources import fixtures as fx
-from .oracle import AGE, AS_OF, CLASSIFIED, age_band_case, q
+from .oracle import AGE, CLASSIFIED, age_band_case, q
 from .registry import register
 
 AS_OF_DATE = fx.AS_OF
