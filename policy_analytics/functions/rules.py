@@ -32,10 +32,10 @@ def clean_prefixed_id(c, letter: str, strict: bool = False) -> Column:
     """
     s = F.regexp_replace(_col(c).cast("string"), f"[^{letter}0-9]", "")
     s = F.regexp_replace(s, f"^{letter}0*", letter)
-    out = F.when(F.length(s) >= 2, s)
-    if strict:
-        out = F.when(out.rlike(f"^{letter}[0-9]+$"), out)
-    return out
+    # keep-if-long-enough written so that ``s`` is evaluated once (a CASE WHEN would
+    # compute the regex chain for the test and again for the value)
+    keep = f"^{letter}[0-9]+$" if strict else "^.{2,}$"
+    return F.nullif(F.regexp_extract(s, keep, 0), F.lit(""))
 
 
 def clean_contract_id(c="contractid", strict: bool = False) -> Column:
@@ -93,8 +93,13 @@ def parse_date_iso(c, data_type: T.DataType | None = None) -> Column:
 
 
 def within_dates(d: Column, lo: dt.date, hi: dt.date) -> Column:
-    """NULL outside ``[lo, hi]``."""
-    return F.when(d.between(F.lit(lo), F.lit(hi)), d)
+    """NULL outside ``[lo, hi]``.
+
+    Clamp to ``[lo - 1 day, hi + 1 day]`` and turn the two sentinels into NULL, so the
+    (costly) parsed date is evaluated once instead of once per test and once for the value.
+    """
+    below, above = F.lit(lo - dt.timedelta(days=1)), F.lit(hi + dt.timedelta(days=1))
+    return F.nullif(F.nullif(F.least(F.greatest(d, below), above), below), above)
 
 
 def parse_amount(c, data_type: T.DataType | None = None, decimal_comma: bool = False) -> Column:
