@@ -171,8 +171,10 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                  F.max(F.when(holds(F.col(f"_up{i}")), v)).alias(f"_b{i}"),
                  F.max(f"_fr{i}").alias(f"_f{i}")]
     out = g.groupBy(*keys).agg(*aggs)
+    # an exact rank returns its value as is (no 0 * (b - a) term, which is NaN for infinities)
     return out.select(*keys, *[
-        (F.col(f"_a{i}") + F.col(f"_f{i}") * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(name)
+        F.when(F.col(f"_f{i}") == 0, F.col(f"_a{i}"))
+         .otherwise(F.col(f"_a{i}") + F.col(f"_f{i}") * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(name)
         for i, name in enumerate(names)
     ])
 

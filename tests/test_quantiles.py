@@ -36,3 +36,9 @@ def test_approx_switch_is_close(spark):
     df = spark.createDataFrame([("g", float(v)) for v in vals], "g string, v double")
     r = quantiles(df, ["g"], "v", [0.5], ["m"], accuracy=10000).first()
     assert abs(r.m - np.quantile(vals, 0.5)) < 0.5
+
+
+def test_exact_rank_with_infinity(spark):
+    df = spark.createDataFrame([(1.0,), (float("inf"),), (float("inf"),)], "v double")
+    r = exact_quantiles(df, [], "v", [0.5, 1.0], ["m", "top"]).first()
+    assert r.m == float("inf") and r.top == float("inf")
