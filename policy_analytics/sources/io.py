@@ -55,15 +55,21 @@ def typed_raw(df: DataFrame, table_type: str) -> DataFrame:
 
 
 def read_series_json(spark: SparkSession, path: str, keyed: bool = False,
-                     record: T.StructType = SERIES_RECORD) -> DataFrame:
-    """S3: JSON series, either an array of records or an object keyed by record id.
+                     record: T.StructType = SERIES_RECORD, whole_file: bool = False) -> DataFrame:
+    """S3: JSON series, either records or an object keyed by record id.
 
-    Keyed form: each line is ``{"<id>": {record}, ...}``; it is read as a map and the
-    map values become rows (``explode(map_values)``), so no record is gathered anywhere.
+    * ``keyed=False``: JSON lines of records; with ``whole_file=True`` each file is one
+      top-level array of records (``multiLine``).
+    * ``keyed=True``: each line is ``{"<id>": {record}, ...}``; with ``whole_file=True`` each
+      file is one such object. It is read as a map and the map values become rows
+      (``explode(map_values)``).
+
+    A whole-file JSON document cannot be split, so whole-file forms parallelise across
+    files only; JSON lines split within files.
     """
     if not keyed:
-        return spark.read.schema(record).option("multiLine", "false").json(path)
-    raw = spark.read.text(path)
+        return spark.read.schema(record).option("multiLine", str(whole_file).lower()).json(path)
+    raw = spark.read.text(path, wholetext=whole_file)
     m = F.from_json("value", T.MapType(T.StringType(), record))
     return raw.select(F.explode(F.map_values(m)).alias("r")).select("r.*")
 

@@ -31,3 +31,25 @@ def test_publish_list_load(spark):
     assert (v.tables, v.versions, v.ok) == (3, 1, True)
     inv = store.table_inventory(spark, root).where(F.col("table_name") == "timeseries").first()
     assert inv.rows == res["row_counts"]["timeseries"]
+
+
+def test_whole_file_json_shapes(spark):
+    import json
+    import os
+
+    from policy_analytics.session import shared_dir
+    from policy_analytics.sources import io
+    base = shared_dir(spark, f"json-shapes/{store.uuid.uuid4().hex}")
+    recs = [{"contract_id": "V1", "datum": "2020-01-01", "rueckkaufswert": "EUR 1.00"},
+            {"contract_id": "V2", "datum": "2020-02-01", "rueckkaufswert": None}]
+    os.makedirs(f"{base}/array")
+    os.makedirs(f"{base}/keyed")
+    with open(f"{base}/array/a.json", "w") as f:
+        json.dump(recs, f, indent=2)
+    with open(f"{base}/keyed/k.json", "w") as f:
+        json.dump({"r1": recs[0], "r2": recs[1]}, f, indent=2)
+    a = io.read_series_json(spark, f"{base}/array", whole_file=True)
+    k = io.read_series_json(spark, f"{base}/keyed", keyed=True, whole_file=True)
+    exp = {(r["contract_id"], r["datum"], r["rueckkaufswert"]) for r in recs}
+    assert {tuple(r) for r in a.collect()} == exp
+    assert {tuple(r) for r in k.collect()} == exp
