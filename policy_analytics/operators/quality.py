@@ -190,11 +190,18 @@ def key_counts(contracts: DataFrame, customers: DataFrame, series: DataFrame) ->
 
 
 def _contract_links(contracts: DataFrame, customers: DataFrame, series: DataFrame) -> DataFrame:
-    """One row per distinct contract with flags: has a customer, has a series."""
-    c = contracts.where(F.col("contractid").isNotNull()).select("contractid", "customerid")
-    with_cust = c.join(_keys(customers, "customerid"), "customerid", "left_semi").select("contractid").distinct()
-    with_ts = _keys(series, "contractid")
+    """One row per distinct contract with flags: has a customer, has a series.
+
+    When customers carry ``contractid`` (the reference's layout) a contract has customer
+    data if its id appears there; otherwise through ``customerid``.
+    """
     base = _keys(contracts, "contractid")
+    if "contractid" in customers.columns:
+        with_cust = _keys(customers, "contractid")
+    else:
+        c = contracts.where(F.col("contractid").isNotNull()).select("contractid", "customerid")
+        with_cust = c.join(_keys(customers, "customerid"), "customerid", "left_semi").select("contractid").distinct()
+    with_ts = _keys(series, "contractid")
     return (base.join(with_cust.withColumn("_cust", F.lit(True)), "contractid", "left")
             .join(with_ts.withColumn("_ts", F.lit(True)), "contractid", "left"))
 
@@ -226,9 +233,13 @@ def missing_series(contracts: DataFrame, series: DataFrame) -> DataFrame:
 
 
 def orphan_keys(contracts: DataFrame, customers: DataFrame, series: DataFrame) -> DataFrame:
-    """Q19: customers no contract refers to and series keys without a contract (reported, not issues)."""
-    oc = _keys(customers, "customerid").join(_keys(contracts, "customerid"), "customerid", "left_anti") \
-        .withColumnRenamed("customerid", "key")
+    """Q19: customers no contract refers to and series keys without a contract (reported, not issues).
+
+    Customers link by ``contractid`` when they carry it (the reference's layout), else by
+    ``customerid``.
+    """
+    link = "contractid" if "contractid" in customers.columns else "customerid"
+    oc = _keys(customers, link).join(_keys(contracts, link), link, "left_anti").withColumnRenamed(link, "key")
     ot = _keys(series, "contractid").join(_keys(contracts, "contractid"), "contractid", "left_anti") \
         .withColumnRenamed("contractid", "key")
 
