@@ -33,14 +33,15 @@ def volatility_by_tenant_band(volatility: DataFrame, enriched: DataFrame, min_co
             .where(F.col("contracts") >= min_contracts))
 
 
-def leader(summary: DataFrame, label: str, count: str, dimension: str) -> DataFrame:
-    """Arg-max of ``count`` (ties: smallest label) with its share of the total.
+def leader(summary: DataFrame, label: str, count: str, dimension: str, order=None) -> DataFrame:
+    """Arg-max of ``count`` with its share of the total.
 
-    ``summary`` is an aggregated table (bands or tenants), so the unpartitioned
-    ranking window runs over a handful of rows.
+    Ties go to the first label in ``order`` (default: the smallest label), e.g. band order
+    for age bands. ``summary`` is an aggregated table (bands or tenants), so the
+    unpartitioned ranking window runs over a handful of rows.
     """
     tot = summary.agg(F.sum(count).alias("_t"))
-    w = Window.orderBy(F.col(count).desc(), F.col(label).asc())
+    w = Window.orderBy(F.col(count).desc(), order if order is not None else F.col(label).asc())
     best = summary.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == 1)
     return one_row(best, tot).select(
         F.lit(dimension).alias("dimension"),

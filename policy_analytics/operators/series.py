@@ -59,7 +59,7 @@ def contract_days(ts: DataFrame) -> DataFrame:
 
 def calculate_monthly_growth(ts: DataFrame, min_observations: int = 3, month_days: float = 30.0,
                              positive_only: bool = False, min_rates: int | None = None) -> DataFrame:
-    """T2+T3 (T15 with ``month_days=30.44, positive_only=True, min_rates=3``).
+    """T2+T3 (T15 with ``min_observations=0, month_days=30.44, positive_only=True, min_rates=3``).
 
     rate = ((v / prev) ^ (month_days / days) - 1) * 100 where prev > 0 and days > 0;
     contracts need ``min_observations`` rows before the lag (``min_rates`` rates after).

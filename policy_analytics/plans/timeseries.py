@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.stats import label_rank
 from ..operators import age, insights, series, tenant
 from ..sources import fixtures as fx
 from .oracle import CLASSIFIED, q
@@ -140,11 +141,11 @@ def growth_stats(spark, d):
     return series.growth_stats(_growth(spark, d))
 
 
-@register("growth_variant", q(GROWTH_OUT.format("gv"), _growth_cte("30.44", True, 3, 3, "gv")))
+@register("growth_variant", q(GROWTH_OUT.format("gv"), _growth_cte("30.44", True, 0, 3, "gv")))
 def growth_variant(spark, d):
     """Positive values only, exponent 30.44 / days, at least 3 rates per contract."""
-    return _present(series.calculate_monthly_growth(_ts(spark, d), month_days=30.44, positive_only=True,
-                                                    min_rates=3))
+    return _present(series.calculate_monthly_growth(_ts(spark, d), min_observations=0, month_days=30.44,
+                                                    positive_only=True, min_rates=3))
 
 
 @register("growth_sample", q("""
@@ -182,10 +183,11 @@ FROM (SELECT contractid, count(*) AS observations, avg(monthly_growth_rate) AS m
              stddev_samp(monthly_growth_rate) AS volatility, min(monthly_growth_rate) AS min_growth,
              max(monthly_growth_rate) AS max_growth
       FROM gv GROUP BY contractid) v
-WHERE observations >= 6 AND volatility IS NOT NULL""", _growth_cte("30.44", True, 3, 3, "gv")))
+WHERE observations >= 6 AND volatility IS NOT NULL""", _growth_cte("30.44", True, 0, 3, "gv")))
 def volatility_variant(spark, d):
     """Unrounded volatility of the variant growth, classes <=2 / <=5 / <=10 / above."""
-    g = series.calculate_monthly_growth(_ts(spark, d), month_days=30.44, positive_only=True, min_rates=3)
+    g = series.calculate_monthly_growth(_ts(spark, d), min_observations=0, month_days=30.44,
+                                        positive_only=True, min_rates=3)
     v = series.volatility_variant(g)
     return v.withColumns({c: F.round(c, 6) for c in ("mean_growth", "volatility", "min_growth", "max_growth",
                                                      "risk_adjusted_return")})
@@ -394,7 +396,8 @@ tdist AS (SELECT mandantid, count(*) AS contract_count FROM contracts WHERE mand
 SELECT * FROM (
   SELECT 'age_group' AS dimension, CAST(age_group AS VARCHAR) AS leader, CAST(count AS BIGINT) AS count,
          round(100.0 * count / (SELECT sum(count) FROM asum), 1) AS percentage
-  FROM asum ORDER BY count DESC, age_group NULLS LAST LIMIT 1)
+  FROM asum ORDER BY count DESC,
+       CASE age_group WHEN '<30' THEN 1 WHEN '30-50' THEN 2 WHEN '>50' THEN 3 END NULLS LAST LIMIT 1)
 UNION ALL
 SELECT * FROM (
   SELECT 'mandantid', mandantid, CAST(contract_count AS BIGINT),
@@ -404,7 +407,8 @@ def leaders(spark, d):
     """Dominant age band and leading tenant."""
     a = age.create_age_summary(_classified(spark, d))
     t = tenant.tenant_distribution(fx.contracts(spark, d))
-    return (insights.leader(a, "age_group", "count", "age_group")
+    band_order = label_rank("age_group", age.DEFAULT_LABELS).asc_nulls_last()
+    return (insights.leader(a, "age_group", "count", "age_group", band_order)
             .unionByName(insights.leader(t, "mandantid", "contract_count", "mandantid")))
 
 
