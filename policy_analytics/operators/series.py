@@ -171,6 +171,18 @@ def class_distribution(df: DataFrame, class_col: str, value_col: str, unit: str,
     return out.withColumn("percentage", percent_of_total(unit))
 
 
+def overall_stats(df: DataFrame, value_col: str, digits: int | None = 2, extra: dict | None = None,
+                  accuracy: int | None = None) -> DataFrame:
+    """T7/T13 overall figures: count, mean, exact median and max of ``value_col`` (+ extra)."""
+    x = F.col(value_col)
+    aggs = [F.count(x).alias("n"), rnd(F.avg(x), digits).alias(f"mean_{value_col}"),
+            rnd(F.max(x), digits).alias(f"max_{value_col}")]
+    for name, col in (extra or {}).items():
+        aggs.append(rnd(col, digits).alias(name))
+    med = quantiles(df, [], value_col, [0.5], [f"median_{value_col}"], accuracy)
+    return one_row(df.agg(*aggs), med.select(rnd(f"median_{value_col}", digits).alias(f"median_{value_col}")))
+
+
 def monthly_contract_values(ts: DataFrame) -> DataFrame:
     """Mean value per contract and month (month floor)."""
     return (ts.where(F.col("surrender_value").isNotNull())

@@ -173,6 +173,14 @@ def volatility_distribution(spark, d):
     return series.class_distribution(_vol(spark, d), "volatility_class", "volatility", "contracts")
 
 
+@register("volatility_overall", q("""
+SELECT count(volatility) AS n, round(avg(volatility), 2) AS mean_volatility, round(max(volatility), 2) AS max_volatility,
+       round(median(volatility), 2) AS median_volatility FROM vol""", VOL))
+def volatility_overall(spark, d):
+    """Mean, median and max volatility over all contracts (2 decimals)."""
+    return series.overall_stats(_vol(spark, d), "volatility")
+
+
 @register("volatility_variant", q("""
 SELECT contractid, observations, round(mean_growth, 6) AS mean_growth, round(volatility, 6) AS volatility,
        round(min_growth, 6) AS min_growth, round(max_growth, 6) AS max_growth,
@@ -220,6 +228,16 @@ def sensitivity_distribution(spark, d):
                                      extra={"mean_r_squared": F.avg("r_squared")})
 
 
+@register("sensitivity_overall", q("""
+SELECT count(correlation) AS n, round(avg(correlation), 3) AS mean_correlation,
+       round(max(correlation), 3) AS max_correlation, round(avg(r_squared), 3) AS mean_r_squared,
+       round(median(correlation), 3) AS median_correlation FROM sens""", SENS))
+def sensitivity_overall(spark, d):
+    """Mean and median correlation and mean R^2 over all contracts (3 decimals)."""
+    return series.overall_stats(_sens(spark, d), "correlation", digits=3,
+                                extra={"mean_r_squared": F.avg("r_squared")})
+
+
 @register("monthly_contract_values", q("SELECT * FROM mv", SENS))
 def monthly_contract_values(spark, d):
     """Mean surrender value per contract and month."""
