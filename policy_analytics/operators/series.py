@@ -92,21 +92,27 @@ def calculate_monthly_growth(ts: DataFrame, min_observations: int = 3, month_day
     return g
 
 
-def growth_stats(growth: DataFrame, digits: int | None = 2, accuracy: int | None = None) -> DataFrame:
-    """T4: mean, median, sd, min, max of the rates; contracts; date span (exact median by default)."""
+def growth_stats(growth: DataFrame, ts: DataFrame | None = None, digits: int | None = 2,
+                 accuracy: int | None = None) -> DataFrame:
+    """T4: mean, median, sd, min, max of the rates; contracts and date span of the input.
+
+    Contracts and the date span come from the complete-row input series (``ts``, T1), as
+    the reference reports them before the group-size filter; without ``ts`` they come
+    from the growth rows.
+    """
     r = F.col("monthly_growth_rate")
+    src = series_input(ts) if ts is not None else growth
+    span = src.agg(F.countDistinct("contractid").alias("contracts"),
+                   F.min("date").alias("first_date"), F.max("date").alias("last_date"))
     agg = growth.agg(
         F.count(r).alias("rates"),
-        F.countDistinct("contractid").alias("contracts"),
         rnd(F.avg(r), digits).alias("mean_rate"),
         rnd(F.stddev_samp(r), digits).alias("std_rate"),
         rnd(F.min(r), digits).alias("min_rate"),
         rnd(F.max(r), digits).alias("max_rate"),
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
     )
     med = quantiles(growth, [], "monthly_growth_rate", [0.5], ["median_rate"], accuracy)
-    return one_row(agg, med.select(rnd("median_rate", digits).alias("median_rate")))
+    return one_row(agg, span, med.select(rnd("median_rate", digits).alias("median_rate")))
 
 
 def calculate_volatility(growth: DataFrame, min_periods: int = 6, digits: int | None = 3) -> DataFrame:

@@ -131,14 +131,16 @@ def growth(spark, d):
 
 
 @register("growth_stats", q("""
-SELECT count(monthly_growth_rate) AS rates, count(DISTINCT contractid) AS contracts,
+SELECT count(monthly_growth_rate) AS rates,
+       (SELECT count(DISTINCT contractid) FROM growth_t1) AS contracts,
        round(avg(monthly_growth_rate), 2) AS mean_rate, round(stddev_samp(monthly_growth_rate), 2) AS std_rate,
        round(min(monthly_growth_rate), 2) AS min_rate, round(max(monthly_growth_rate), 2) AS max_rate,
-       min(date) AS first_date, max(date) AS last_date, round(median(monthly_growth_rate), 2) AS median_rate
+       (SELECT min(date) FROM growth_t1) AS first_date, (SELECT max(date) FROM growth_t1) AS last_date,
+       round(median(monthly_growth_rate), 2) AS median_rate
 FROM growth""", GROWTH))
 def growth_stats(spark, d):
-    """T4: mean, median, sd, min, max rate; contracts; date span."""
-    return series.growth_stats(_growth(spark, d))
+    """T4: mean, median, sd, min, max rate; contracts and date span of the input series."""
+    return series.growth_stats(_growth(spark, d), _ts(spark, d))
 
 
 @register("growth_variant", q(GROWTH_OUT.format("gv"), _growth_cte("30.44", True, 0, 3, "gv")))
