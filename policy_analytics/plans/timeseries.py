@@ -41,6 +41,17 @@ def _classified(spark, d):
     return age.classify_age_groups(fx.customers(spark, d), AS_OF)
 
 
+def _gv(spark, d):
+    """The variant growth the demo analyses (T16-T19, D3, D6, D7) run on."""
+    return series.calculate_monthly_growth(_ts(spark, d), min_observations=0, month_days=30.44,
+                                           positive_only=True, min_rates=3)
+
+
+def _vv(spark, d):
+    """The variant volatility."""
+    return series.volatility_variant(_gv(spark, d))
+
+
 # ------------------------------------------------------------------ SQL pieces
 
 def _growth_cte(month_days="30.0", positive=False, min_obs=3, min_rates=None, name="growth"):
@@ -90,6 +101,18 @@ vol AS (SELECT *, round(max_growth - min_growth, 3) AS growth_range,
                {_cut_sql('volatility', series.VOLATILITY_BREAKS, CL)} AS volatility_class
         FROM vol_a)
 """
+GV = _growth_cte("30.44", True, 0, 3, "gv")
+VV = GV + """,
+vv_a AS (SELECT contractid, count(*) AS observations, avg(monthly_growth_rate) AS mean_growth,
+                stddev_samp(monthly_growth_rate) AS volatility, min(monthly_growth_rate) AS min_growth,
+                max(monthly_growth_rate) AS max_growth
+         FROM gv GROUP BY contractid),
+vv AS (SELECT contractid, observations, mean_growth, volatility, min_growth, max_growth,
+              CASE WHEN volatility <= 2 THEN 'Niedrig' WHEN volatility <= 5 THEN 'Mittel'
+                   WHEN volatility <= 10 THEN 'Hoch' ELSE 'Sehr hoch' END AS volatility_class,
+              CASE WHEN volatility > 0 THEN mean_growth / volatility ELSE 0.0 END AS risk_adjusted_return
+       FROM vv_a WHERE observations >= 6 AND volatility IS NOT NULL)
+"""
 SENS = """
 mv AS (SELECT contractid, date_trunc('month', date) AS year_month, avg(surrender_value) AS avg_surrender_value
        FROM timeseries WHERE surrender_value IS NOT NULL GROUP BY contractid, date_trunc('month', date)),
@@ -143,19 +166,18 @@ def growth_stats(spark, d):
     return series.growth_stats(_growth(spark, d), _ts(spark, d))
 
 
-@register("growth_variant", q(GROWTH_OUT.format("gv"), _growth_cte("30.44", True, 0, 3, "gv")))
+@register("growth_variant", q(GROWTH_OUT.format("gv"), GV))
 def growth_variant(spark, d):
     """Positive values only, exponent 30.44 / days, at least 3 rates per contract."""
-    return _present(series.calculate_monthly_growth(_ts(spark, d), min_observations=0, month_days=30.44,
-                                                    positive_only=True, min_rates=3))
+    return _present(_gv(spark, d))
 
 
 @register("growth_sample", q("""
-SELECT contractid, date, surrender_value, round(monthly_growth_rate, 6) AS monthly_growth_rate FROM growth
-ORDER BY contractid, date LIMIT 5""", GROWTH))
+SELECT contractid, date, surrender_value, round(monthly_growth_rate, 6) AS monthly_growth_rate FROM gv
+ORDER BY contractid, date LIMIT 5""", GV))
 def growth_sample(spark, d):
-    """The first five growth rows in (contract, date) order."""
-    return (_present(_growth(spark, d)).orderBy("contractid", "date").limit(5)
+    """The first five variant growth rows in (contract, date) order."""
+    return (_present(_gv(spark, d)).orderBy("contractid", "date").limit(5)
             .select("contractid", "date", "surrender_value", "monthly_growth_rate"))
 
 
@@ -185,31 +207,24 @@ def volatility_overall(spark, d):
 
 @register("volatility_variant", q("""
 SELECT contractid, observations, round(mean_growth, 6) AS mean_growth, round(volatility, 6) AS volatility,
-       round(min_growth, 6) AS min_growth, round(max_growth, 6) AS max_growth,
-       CASE WHEN volatility <= 2 THEN 'Niedrig' WHEN volatility <= 5 THEN 'Mittel'
-            WHEN volatility <= 10 THEN 'Hoch' ELSE 'Sehr hoch' END AS volatility_class,
-       round(CASE WHEN volatility > 0 THEN mean_growth / volatility ELSE 0.0 END, 6) AS risk_adjusted_return
-FROM (SELECT contractid, count(*) AS observations, avg(monthly_growth_rate) AS mean_growth,
-             stddev_samp(monthly_growth_rate) AS volatility, min(monthly_growth_rate) AS min_growth,
-             max(monthly_growth_rate) AS max_growth
-      FROM gv GROUP BY contractid) v
-WHERE observations >= 6 AND volatility IS NOT NULL""", _growth_cte("30.44", True, 0, 3, "gv")))
+       round(min_growth, 6) AS min_growth, round(max_growth, 6) AS max_growth, volatility_class,
+       round(risk_adjusted_return, 6) AS risk_adjusted_return
+FROM vv""", VV))
 def volatility_variant(spark, d):
-    """Unrounded volatility of the variant growth, classes <=2 / <=5 / <=10 / above."""
-    g = series.calculate_monthly_growth(_ts(spark, d), min_observations=0, month_days=30.44,
-                                        positive_only=True, min_rates=3)
-    v = series.volatility_variant(g)
-    return v.withColumns({c: F.round(c, 6) for c in ("mean_growth", "volatility", "min_growth", "max_growth",
-                                                     "risk_adjusted_return")})
+    """Unrounded volatility of the variant growth, classes <=2 / <=5 / <=10 / above (shown at 6 dp)."""
+    return _vv(spark, d).withColumns({c: F.round(c, 6) for c in ("mean_growth", "volatility", "min_growth",
+                                                                 "max_growth", "risk_adjusted_return")})
 
 
 @register("top_volatile", q("""
-SELECT contractid, volatility, volatility_class, risk_adjusted_return FROM vol
-ORDER BY volatility DESC, contractid LIMIT 5""", VOL))
+SELECT contractid, round(volatility, 6) AS volatility, volatility_class,
+       round(risk_adjusted_return, 6) AS risk_adjusted_return
+FROM (SELECT * FROM vv ORDER BY volatility DESC, contractid LIMIT 5) t""", VV))
 def top_volatile(spark, d):
-    """The five most volatile contracts."""
-    return series.top_n(_vol(spark, d), "volatility", 5,
-                        ["contractid", "volatility", "volatility_class", "risk_adjusted_return"])
+    """The five most volatile contracts of the variant volatility (shown at 6 dp)."""
+    top = series.top_n(_vv(spark, d), "volatility", 5,
+                       ["contractid", "volatility", "volatility_class", "risk_adjusted_return"])
+    return top.withColumns({c: F.round(c, 6) for c in ("volatility", "risk_adjusted_return")})
 
 
 @register("sensitivity", q("SELECT * FROM sens", SENS), headline=True)
@@ -265,33 +280,42 @@ _TREND = """
 tr_a AS (SELECT contractid, count(*) AS observations,
                 CASE WHEN min(monthly_growth_rate) < max(monthly_growth_rate) AND min(date) < max(date)
                      THEN corr(monthly_growth_rate, CAST(date_diff('day', DATE '1970-01-01', date) AS DOUBLE)) END AS tc
-         FROM growth GROUP BY contractid HAVING count(*) >= 12),
-trend AS (SELECT contractid, round(abs(tc), 6) AS correlation,
-                 CASE WHEN abs(tc) <= 0.2 THEN 'Niedrig' WHEN abs(tc) <= 0.4 THEN 'Mittel'
-                      WHEN abs(tc) <= 0.7 THEN 'Hoch' ELSE 'Sehr hoch' END AS sensitivity_class,
-                 round(abs(tc) * abs(tc), 6) AS r_squared, round(tc, 6) AS time_correlation
-          FROM tr_a WHERE tc IS NOT NULL AND NOT isnan(tc))
+         FROM gv GROUP BY contractid HAVING count(*) >= 12),
+trend_raw AS (SELECT contractid, abs(tc) AS correlation,
+                     CASE WHEN abs(tc) <= 0.2 THEN 'Niedrig' WHEN abs(tc) <= 0.4 THEN 'Mittel'
+                          WHEN abs(tc) <= 0.7 THEN 'Hoch' ELSE 'Sehr hoch' END AS sensitivity_class,
+                     abs(tc) * abs(tc) AS r_squared, tc AS time_correlation
+              FROM tr_a WHERE tc IS NOT NULL AND NOT isnan(tc)),
+trend AS (SELECT contractid, round(correlation, 6) AS correlation, sensitivity_class,
+                 round(r_squared, 6) AS r_squared, round(time_correlation, 6) AS time_correlation FROM trend_raw)
 """
+TREND = GV + "," + _TREND
+
+
+def _trend(spark, d):
+    """T17 on the variant growth."""
+    return series.trend_correlation(_gv(spark, d))
 
 
-@register("trend_correlation", q("SELECT * FROM trend", GROWTH + "," + _TREND))
+@register("trend_correlation", q("SELECT * FROM trend", TREND))
 def trend_correlation(spark, d):
-    """Correlation of growth with time per contract (>= 12 rates), classes <=.2/.4/.7.
+    """Correlation of variant growth with time per contract (>= 12 rates), classes <=.2/.4/.7.
 
     Registered with r, R^2 rounded to 6 decimals so that both engines agree bit for bit.
     """
-    t = series.trend_correlation(_growth(spark, d))
+    t = _trend(spark, d)
     return t.select("contractid", F.round("correlation", 6).alias("correlation"), "sensitivity_class",
                     F.round("r_squared", 6).alias("r_squared"), F.round("time_correlation", 6).alias("time_correlation"))
 
 
 @register("top_trend", q("""
-SELECT contractid, correlation, sensitivity_class, r_squared FROM trend
-ORDER BY correlation DESC, contractid LIMIT 5""", GROWTH + "," + _TREND))
+SELECT contractid, round(correlation, 6) AS correlation, sensitivity_class, round(r_squared, 6) AS r_squared
+FROM (SELECT * FROM trend_raw ORDER BY correlation DESC, contractid LIMIT 5) t""", TREND))
 def top_trend(spark, d):
-    """The five contracts whose growth correlates most with time."""
-    t = trend_correlation(spark, d)
-    return series.top_n(t, "correlation", 5, ["contractid", "correlation", "sensitivity_class", "r_squared"])
+    """The five contracts whose variant growth correlates most with time."""
+    top = series.top_n(_trend(spark, d), "correlation", 5, ["contractid", "correlation", "sensitivity_class",
+                                                            "r_squared"])
+    return top.withColumns({c: F.round(c, 6) for c in ("correlation", "r_squared")})
 
 
 @register("month_spine", q("""
@@ -399,11 +423,11 @@ def band_tenant_cross(spark, d):
 
 @register("volatility_by_tenant_band", q("""
 SELECT e.mandantid, e.age_group, count(*) AS contracts, round(avg(v.volatility), 3) AS mean_volatility
-FROM vol v JOIN enr e ON v.contractid = e.contractid
-GROUP BY e.mandantid, e.age_group HAVING count(*) >= 2""", VOL + "," + _ENR))
+FROM vv v JOIN enr e ON v.contractid = e.contractid
+GROUP BY e.mandantid, e.age_group HAVING count(*) >= 2""", VV + "," + _ENR))
 def volatility_by_tenant_band(spark, d):
-    """D3: mean volatility per tenant x band, cells with at least 2 contracts."""
-    return insights.volatility_by_tenant_band(_vol(spark, d), _enriched(spark, d))
+    """D3: mean variant volatility per tenant x band, cells with at least 2 contracts."""
+    return insights.volatility_by_tenant_band(_vv(spark, d), _enriched(spark, d))
 
 
 _SUMMARY_SQL = """
@@ -445,10 +469,10 @@ SELECT CAST(count_if(volatility_class IN ('Hoch', 'Sehr hoch')) AS BIGINT) AS hi
        count(*) AS contracts,
        round(100.0 * count_if(volatility_class IN ('Hoch', 'Sehr hoch')) / count(*), 1) AS high_volatility_percent,
        round(avg(volatility), 2) AS mean_volatility
-FROM vol""", VOL))
+FROM vv""", VV))
 def risk_share(spark, d):
-    """Share of high-volatility contracts."""
-    return insights.risk_share(_vol(spark, d))
+    """Share of high-volatility contracts (variant classes)."""
+    return insights.risk_share(_vv(spark, d))
 
 
 @register("sensitivity_share", q("""
@@ -456,10 +480,10 @@ SELECT CAST(count_if(sensitivity_class IN ('Hoch', 'Sehr hoch')) AS BIGINT) AS h
        count(*) AS contracts,
        round(100.0 * count_if(sensitivity_class IN ('Hoch', 'Sehr hoch')) / count(*), 1) AS high_sensitivity_percent,
        round(avg(abs(correlation)), 3) AS mean_abs_correlation
-FROM sens""", SENS))
+FROM trend_raw""", TREND))
 def sensitivity_share(spark, d):
-    """Share of highly rate-sensitive contracts."""
-    return insights.sensitivity_share(_sens(spark, d))
+    """Share of highly time-sensitive contracts (trend classes), mean |r|."""
+    return insights.sensitivity_share(_trend(spark, d))
 
 
 @register("coverage", q(f"""
