@@ -486,15 +486,23 @@ def sensitivity_share(spark, d):
     return insights.sensitivity_share(_trend(spark, d))
 
 
-@register("coverage", q(f"""
+_TFA = """
+tfa AS (SELECT * FROM timeseries WHERE contractid IS NOT NULL AND date IS NOT NULL AND surrender_value IS NOT NULL
+        AND contractid <> '' AND surrender_value > 0)
+"""
+
+
+@register("coverage", q("""
 SELECT (SELECT count(*) FROM contracts) AS contracts,
-       (SELECT count(DISTINCT contractid) FROM timeseries) AS contracts_with_series,
+       (SELECT count(DISTINCT contractid) FROM tfa) AS contracts_with_series,
        (SELECT count(*) FROM customers) AS customers,
        (SELECT count(*) FROM customers WHERE birthdate IS NOT NULL) AS customers_with_age,
-       round((SELECT count(*) FROM timeseries) / (SELECT count(DISTINCT contractid) FROM timeseries), 1)
-         AS mean_observations_per_contract"""))
+       round((SELECT count(*) FROM tfa) / (SELECT count(DISTINCT contractid) FROM tfa), 1)
+         AS mean_observations_per_contract""", _TFA))
 def coverage(spark, d):
-    """Series coverage of contracts, age coverage of customers, observations per contract."""
-    return insights.coverage(fx.contracts(spark, d), fx.customers(spark, d), _classified(spark, d), _ts(spark, d))
-
+    """Series coverage of contracts, age coverage of customers, observations per contract.
 
+    The series is the analysis input: complete rows with a positive value (T1 + T15 filter).
+    """
+    tfa = series.series_input(_ts(spark, d), positive_only=True)
+    return insights.coverage(fx.contracts(spark, d), fx.customers(spark, d), _classified(spark, d), tfa)
