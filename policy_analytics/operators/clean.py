@@ -130,14 +130,23 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
     for k in keys:
         key_ok = key_ok & F.col(k).isNotNull()
 
-    kept = frame.where(key_ok).select(*out_cols)                     # C9
+    # C9 + C12. Drop-then-dedupe equals dedupe-then-drop (the keys are part of the row), and
+    # the second order lets the key test ride along as an aggregate: a filter on an
+    # aggregate output is not pushed below it, so the converted (regex-parsed) columns are
+    # computed once per row instead of again inside a pushed-down filter.
+    ok = "__key_ok"
+    conv = frame.select(*out_cols, key_ok.alias(ok))
     imputed_tenant = None
     if table_type == "contracts" and "mandantid" in out_cols and policy.impute_tenant:
         # Mode after C9, lowest label on a tie; all-NULL -> nothing imputed.
-        tenant_mode = kept.agg(F.mode("mandantid", True).alias("__mode")).scalar()   # one value
+        tenant_mode = conv.where(F.col(ok)).agg(F.mode("mandantid", True).alias("__mode")).scalar()
         imputed_tenant = F.coalesce("mandantid", tenant_mode)
-        kept = kept.withColumn("mandantid", imputed_tenant)
-    data = kept.dropDuplicates() if policy.dedupe else kept          # C12
+        conv = conv.withColumn("mandantid", imputed_tenant)
+    if policy.dedupe:
+        data = (conv.groupBy(*out_cols).agg(F.max(ok).alias(ok))
+                .where(F.col(ok)).select(*out_cols))
+    else:
+        data = conv.where(F.col(ok)).select(*out_cols)
 
     # One aggregate over the converted frame. The final row count is a
     # distinct count of the cleaned row in the same aggregate (one scan, one shuffle).
