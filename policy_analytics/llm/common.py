@@ -58,3 +58,23 @@ def seeded(column, seed: int):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Bits of the bitmap that :func:`sift` broadcasts: at most 1 MB.
+SIFT_BITS = 1 << 23
+
+
+def sift(rows: DataFrame, column: str, marks: DataFrame, mark: str) -> DataFrame:
+    """Rows whose long ``column`` may be among ``marks``: all that are, and a few more.
+
+    A bitmap of fixed size is broadcast, so that rows without a partner are passed over in
+    the scan, before the join that decides. Columns of ``rows`` must not start with "__sift".
+    """
+    place = "pmod(xxhash64({}), " + str(SIFT_BITS) + ")"
+    bits = F.broadcast(marks.groupBy(F.expr(f"bitmap_bucket_number({place.format(mark)})").alias("__sift_bucket"))
+                       .agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position({place.format(mark)}))").alias("__sift_bits")))
+    byte = F.conv(F.hex(F.expr("substring(__sift_bits, cast(__sift_bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    return (rows.withColumn("__sift_bucket", F.expr(f"bitmap_bucket_number({place.format(column)})"))
+            .withColumn("__sift_bit", F.expr(f"bitmap_bit_position({place.format(column)})"))
+            .join(bits, "__sift_bucket").where(F.bit_get(byte, F.pmod("__sift_bit", F.lit(8)).cast("int")) == 1)
+            .select(*rows.columns))

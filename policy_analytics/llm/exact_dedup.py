@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, sift, table
 
 # Chunk sizes in characters, and the cut: a white space after an even letter
 # (b d f ... z) that follows an odd one, or a line end.
@@ -21,8 +21,6 @@ CUT = r"(?:\n|[acegikmoqsuwy][bdfhjlnprtvxz]\s)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-# Bits of the broadcast filter that picks the texts whose chunks are verified: at most 1 MB.
-FILTER_BITS = 1 << 23
 
 
 def normalised(text):
@@ -77,17 +75,10 @@ def _groups(listed: DataFrame) -> DataFrame:
 def _contents(docs: DataFrame, groups: DataFrame, text: str, hash_bits: int) -> DataFrame:
     """``(sha256, pos, hash, chunk)`` of every text that may have an equal (and of some more).
 
-    A bitmap of the groups' marks is broadcast (its size is fixed), so texts without an
-    equal are passed over in the scan.
+    Texts without an equal are passed over in the scan.
     """
-    bits = F.broadcast(groups.groupBy(F.expr(f"bitmap_bucket_number({FILTER_BITS} + pmod(mark, {FILTER_BITS}))").alias("bucket"))
-                       .agg(F.expr(f"bitmap_construct_agg(bitmap_bit_position(pmod(mark, {FILTER_BITS})))").alias("bits")))
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    texts = (docs.select(F.col(text).alias("text")).withColumn("mark", _mark(F.col("text")))
-             .withColumn("bucket", F.expr(f"bitmap_bucket_number({FILTER_BITS} + pmod(mark, {FILTER_BITS}))"))
-             .withColumn("bit", F.expr(f"bitmap_bit_position(pmod(mark, {FILTER_BITS}))"))
-             .join(bits, "bucket").where(F.bit_get(byte, F.pmod("bit", F.lit(8)).cast("int")) == 1)
-             .select(normalised(F.col("text")).alias("norm")))
+    marked = docs.select(F.col(text).alias("text")).withColumn("mark", _mark(F.col("text")))
+    texts = sift(marked, "mark", groups, "mark").select(normalised(F.col("text")).alias("norm"))
     return (texts.select(F.sha2("norm", 256).alias("sha256"), F.posexplode_outer(chunks(F.col("norm"))).alias("pos", "chunk"))
             .withColumn("hash", _key(F.col("chunk"), hash_bits)))
 
