@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, sharding, topk, url_filter, warc
+from . import (exact_dedup, language_model, mixing, near_dedup, packing, sharding, topk, toxicity, url_filter,
+               warc)
 
 QUERIES = {
     "op1_label_propagation_shards": sharding.op1_label_propagation_shards,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op3_warc_roundtrip": warc.op3_warc_roundtrip,
+    "op4_lexicon_automaton_toxicity": toxicity.op4_lexicon_automaton_toxicity,
     "op5_token_indexed_url_rules": url_filter.op5_token_indexed_url_rules,
+    "op6_order_minhash_classes": near_dedup.op6_order_minhash_classes,
+    "op7_attention_lm_scores": language_model.op7_attention_lm_scores,
     "op8_bit_sliced_topk": topk.op8_bit_sliced_topk,
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_chunk_recipe_dedup": exact_dedup.op10_chunk_recipe_dedup,
