@@ -34,6 +34,7 @@ MAX_CANDIDATES = 30_000      # words, and as many stems, that are weighed agains
 MAX_TERMS = 2_000            # terms of the lexicon
 MAX_FIT_ROWS = 20_000        # labelled rows on which the few weights of the model are fitted
 MAX_VARIANTS = 50_000        # near misses known from clean texts
+MEMO_TOKENS = 300_000        # judged tokens that a task remembers
 WINDOW = 8                   # words before and after a hit
 MAX_STATES = 50_000          # cached automaton states per task; beyond, the cache starts anew
 # Marks of quotation, words that report speech, words that address the reader.
@@ -178,20 +179,20 @@ class Reader:
                 found = (m.stems[stem], 0)
             elif token not in m.innocent and (near := self.automaton.match(token)) is not None:
                 found = (m.words[self.terms[near[0]]], near[1])
-        if len(self.memo) > 200_000:
-            self.memo.clear()
-        self.memo[token] = found
+        if len(self.memo) < MEMO_TOKENS:
+            self.memo[token] = found
         return found
 
     def features(self, text: str | None) -> list[float]:
         """The features of a whole text; null and empty texts have none."""
         low = (text or "").lower()
-        spans = [(m.start(), m.end()) for m in TOKEN.finditer(low)]
-        if not spans:
-            return [0.0] * len(FEATURES)
-        tokens = [low[a:b] for a, b in spans]
+        tokens = TOKEN.findall(low)
         hit = self.hit
-        hits = [(i, h) for i, t in enumerate(tokens) if (h := hit(t)) is not None]
+        found = {t: h for t in set(tokens) if (h := hit(t)) is not None}
+        if not found:
+            return [0.0] * len(FEATURES)
+        spans = [m.span() for m in TOKEN.finditer(low)]
+        hits = [(i, found[t]) for i, t in enumerate(tokens) if t in found]
         strongest = abuse = quoted = 0.0
         exact = 0
         for i, (weight, edits) in hits:
