@@ -230,42 +230,48 @@ def _sure_odds(t: int, n: int, toxic: int, clean: int) -> float:
 
 
 def _term_counts(train: DataFrame, words: set, stems: set) -> list:
-    """(term, toxic documents, clean documents) of the candidates over all labelled rows."""
+    """``(term, n)``: the clean documents that hold a candidate, over all labelled rows."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = (Counter(), Counter())
+        seen = Counter({"=" + w: 0 for w in words} | {"~" + x: 0 for x in stems})
         for b in batches:
-            for text, toxic in zip(b["text"], b["toxic"], strict=True):
+            for text in b["text"]:
                 own = set(TOKEN.findall((text or "").lower()))
                 found = {"=" + w for w in own & words}
-                found |= {"~" + w[:n] for w in own for n in STEMS if len(w) > n and w[:n] in stems}
-                seen[int(toxic)].update(found)
-        terms = sorted(set(seen[0]) | set(seen[1]))
-        yield pd.DataFrame({"term": terms, "t": [seen[1][x] for x in terms], "n": [seen[0][x] for x in terms]})
+                for n in STEMS:
+                    found |= {"~" + x for x in {w[:n] for w in own if len(w) > n} & stems}
+                seen.update(found)
+        yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
 
-    return (train.select("text", "toxic").mapInPandas(count, "term string, t long, n long")
-            .groupBy("term").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).collect())
+    return (train.where("toxic = 0").select("text").mapInPandas(count, "term string, n long")
+            .groupBy("term").agg(F.sum("n").alias("n")).collect())
 
 
-def learn_lexicon(train: DataFrame, toxic: int, clean: int) -> tuple[dict[str, float], dict[str, float]]:
+def learn_lexicon(train: DataFrame, clean: int) -> tuple[dict[str, float], dict[str, float]]:
     """Words and stems with their log odds.
 
     Candidates are the commonest words of toxic texts and prefixes shared by several of
     them; each is then counted over all labelled rows.
     """
     lowered = F.lower(F.coalesce("text", F.lit("")))
-    words = (train.where("toxic = 1").select(F.explode(F.array_distinct(F.regexp_extract_all(
-        lowered, F.lit(r"(?U)\w+"), F.lit(0)))).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("t")))
-    words = saved(words, "toxic-words")
-    common = [r["w"] for r in words.where(F.col("t") >= LEAST_DOCS).orderBy(F.col("t").desc(), "w").limit(MAX_CANDIDATES).collect()]
-    prefixes = words.select("t", F.explode(F.array(*[F.when(F.length("w") > n, F.substring("w", 1, n)) for n in STEMS])).alias("p"))
-    stems = (prefixes.where("p is not null").groupBy("p").agg(F.sum("t").alias("t"), F.count(F.lit(1)).alias("k"))
-             .where((F.col("t") >= LEAST_DOCS) & (F.col("k") >= LEAST_WORDS))
-             .orderBy(F.col("t").desc(), "p").limit(MAX_CANDIDATES))
-    rows = _term_counts(train, set(common), {r["p"] for r in stems.collect()})
-    strong = sorted(((x["t"], x["term"], _odds(x["t"], x["n"], toxic, clean)) for x in rows
-                     if x["t"] >= LEAST_DOCS and _odds(x["t"], x["n"], toxic, clean) >= LEAST_ODDS
-                     and _sure_odds(x["t"], x["n"], toxic, clean) >= SURE_ODDS), reverse=True)[:MAX_TERMS]
+    # near copies of a text are one witness: they share the least hash of their words
+    texts = (train.where("toxic = 1").select(F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"(?U)\w+"), F.lit(0))).alias("ws"))
+             .select("ws", F.coalesce(F.array_min(F.transform("ws", lambda w: F.xxhash64(w))), F.lit(0)).alias("sig")))
+    seen = saved(texts.select("sig", F.explode("ws").alias("w")).distinct(), "toxic-words")
+    toxic = texts.agg(F.countDistinct("sig")).first()[0]
+    words = seen.groupBy("w").agg(F.count(F.lit(1)).alias("t"))
+    common = {r["w"]: r["t"] for r in words.where(F.col("t") >= LEAST_DOCS).orderBy(F.col("t").desc(), "w").limit(MAX_CANDIDATES).collect()}
+    prefixes = seen.select("sig", "w", F.explode(F.array(*[F.when(F.length("w") > n, F.substring("w", 1, n)) for n in STEMS])).alias("p"))
+    productive = (prefixes.where("p is not null").groupBy("p")
+                  .agg(F.countDistinct("sig").alias("t"), F.countDistinct("w").alias("k"))
+                  .where((F.col("t") >= LEAST_DOCS) & (F.col("k") >= LEAST_WORDS))
+                  .orderBy(F.col("t").desc(), "p").limit(MAX_CANDIDATES))
+    stems = {r["p"]: r["t"] for r in productive.collect()}
+    rows = [(x["term"], common.get(x["term"][1:], 0) if x["term"][0] == "=" else stems[x["term"][1:]], x["n"])
+            for x in _term_counts(train, set(common), set(stems))]
+    strong = sorted(((t, term, _odds(t, n, toxic, clean)) for term, t, n in rows
+                     if t >= LEAST_DOCS and _odds(t, n, toxic, clean) >= LEAST_ODDS
+                     and _sure_odds(t, n, toxic, clean) >= SURE_ODDS), reverse=True)[:MAX_TERMS]
     found = {term[1:]: odds for _, term, odds in strong if term[0] == "~"}
     # the shortest stem stands for longer ones and words that are not clearly more telling
     short: dict[str, float] = {}
@@ -326,7 +332,7 @@ def train_model(train: DataFrame) -> Model:
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         return Model(bias=30.0 if toxic else -30.0)
-    words, stems = learn_lexicon(train, toxic, clean)
+    words, stems = learn_lexicon(train, clean)
     model = Model(words, stems)
     model.innocent = _near_misses(train, model)
     share = min(1.0, 0.95 * MAX_FIT_ROWS / (toxic + clean))
