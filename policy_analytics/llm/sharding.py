@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import drop_saved, saved, seeded, small_frame, table
 
 ROUNDS = 3
-SLACK = 0.02            # how far propagation may fill a shard beyond its even share
+SLACK = 0.02            # how far propagation may fill a shard beyond its even share (by one row at least)
 MOVE_BINS = 64          # blocks per pair of shards in which moves are granted
 EVEN_BINS = (1024, 4096, 4096)   # blocks per shard in which rows are evened out, by round
 EVEN_TO = 0.0002        # of a shard's even share: evening out ends when no shard is further off
@@ -70,7 +70,9 @@ def _propagate(labels: DataFrame, links: DataFrame, shards: int, seed: int) -> D
     wanted = [(r["shard"], r["to"], r["bin"], int(r["n"]), float(r["g"])) for r in moves.groupBy("shard", "to", "bin").agg(
         F.sum("size").alias("n"), F.avg(F.col("gain") / F.col("size")).alias("g")).collect()]
     load = _loads(labels, shards)
-    granted = _grants(wanted, load, (1 + SLACK) * sum(load) / shards)
+    largest = int(labels.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0])
+    share = sum(load) / shards
+    granted = _grants(wanted, load, share + max(SLACK * share, largest))
     grants = F.broadcast(small_frame(spark, granted, "shard int, to int, bin int"))
     moved = moves.join(grants, ["shard", "to", "bin"]).select("node", "to")
     out = saved(labels.join(moved, "node", "left").select(
