@@ -127,16 +127,15 @@ def corpus_tables(counts: DataFrame, vocabulary: str = TOKENIZER) -> Tables:
                 seen[(ids[-1], -1)] += c
         yield pd.DataFrame({"x": [k[0] for k in seen], "y": [k[1] for k in seen], "n": list(seen.values())})
 
-    grouped = counts.mapInPandas(pairs, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n")).collect()
+    # at most MODEL_IDS squared rows, as Arrow columns and not as a million Python rows
+    grouped = counts.mapInPandas(pairs, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n")).toArrow()
+    x, y, n = (grouped[c].to_numpy() for c in ("x", "y", "n"))
     table_ = np.zeros((MODEL_IDS, MODEL_IDS))
     starts, ends = np.zeros(MODEL_IDS), np.zeros(MODEL_IDS)
-    for r in grouped:
-        if r["x"] < 0:
-            starts[r["y"]] += r["n"]
-        elif r["y"] < 0:
-            ends[r["x"]] += r["n"]
-        else:
-            table_[r["x"], r["y"]] += r["n"]
+    starts[y[x < 0]] = n[x < 0]
+    ends[x[y < 0]] = n[y < 0]
+    inner = (x >= 0) & (y >= 0)
+    table_[x[inner], y[inner]] = n[inner]
     share = (starts + 0.5 / MODEL_IDS) / (starts.sum() + 0.5)
     table_ += ends[:, None] * share[None, :]
     total = table_.sum(axis=0) + 0.5
@@ -411,7 +410,8 @@ def score_documents(docs: DataFrame, vocabulary: str = TOKENIZER) -> DataFrame:
     n, v = int(total["n"]), int(total["v"])
     t = corpus_tables(counts, vocabulary)
     weights = train_attention(training, t, vocabulary)
-    head = {bytes(r["word"]): int(r["c"]) for r in counts.orderBy(F.col("c").desc(), "word").limit(HEAD_WORDS).collect()}
+    top = counts.orderBy(F.col("c").desc(), "word").limit(HEAD_WORDS).toArrow()
+    head = dict(zip(top["word"].to_pylist(), top["c"].to_pylist(), strict=True))
     shared = spark.sparkContext.broadcast((head, vars(t), weights))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
