@@ -102,19 +102,23 @@ def within_dates(d: Column, lo: dt.date, hi: dt.date) -> Column:
     return F.nullif(F.nullif(F.least(F.greatest(d, below), above), below), above)
 
 
-def parse_amount(c, data_type: T.DataType | None = None, decimal_comma: bool = False) -> Column:
-    """Text -> delete ``[^0-9.-]`` -> double (unparseable NULL); negatives -> NULL; 0 kept.
+def signed_amount(c, data_type: T.DataType | None = None, decimal_comma: bool = False) -> Column:
+    """Text -> delete ``[^0-9.-]`` -> double (unparseable NULL), negatives kept.
 
     Numeric input is cast directly (X4). ``decimal_comma`` reads ``1.234,56`` as 1234.56.
     """
     col = _col(c)
     if isinstance(data_type, T.NumericType):
-        v = col.cast("double")
-    else:
-        s = col.cast("string")
-        if decimal_comma:
-            s = F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", ".")
-        v = F.regexp_replace(s, "[^0-9.-]", "").try_cast("double")
+        return col.cast("double")
+    s = col.cast("string")
+    if decimal_comma:
+        s = F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", ".")
+    return F.regexp_replace(s, "[^0-9.-]", "").try_cast("double")
+
+
+def parse_amount(c, data_type: T.DataType | None = None, decimal_comma: bool = False) -> Column:
+    """The amount of :func:`signed_amount`; negatives -> NULL; 0 kept."""
+    v = signed_amount(c, data_type, decimal_comma)
     return F.when(v >= 0, v)
 
 

@@ -154,7 +154,12 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                   .withColumn(f"_fr{i}", pos - F.floor(pos)))
     slices = slices.drop("_pt")
 
-    g = ordered.join(slices, ["_pid", *keys])
+    # a NULL key is a group like any other
+    slices = slices.withColumnsRenamed({c: f"__{c}" for c in ["_pid", *keys]})
+    same = F.col("_pid") == F.col("___pid")
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    g = ordered.join(slices, same)
     g = g.withColumn("_hi", F.col("_hi") + F.col("_off")).withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
 
     def holds(rank: Column) -> Column:

@@ -109,10 +109,7 @@ def convert(df: DataFrame, table_type: str, as_of: dt.date, policy: Policy = Pol
         t = types["surrender_value"]
         new["surrender_value"] = rules.parse_amount("surrender_value", t, policy.decimal_comma)
         converted.append("surrender_value")
-        r = raw("surrender_value")
-        v = r.cast("double") if isinstance(t, T.NumericType) else \
-            F.regexp_replace(r.cast("string"), "[^0-9.-]", "").try_cast("double")
-        metrics["negative_values"] = _count_if(v < 0)
+        metrics["negative_values"] = _count_if(rules.signed_amount(raw("surrender_value"), t, policy.decimal_comma) < 0)
 
     frame = df.select(*[F.col(c).alias(f"__raw_{c}") for c in converted], *df.columns)
     frame = frame.withColumns(new) if new else frame
@@ -247,6 +244,16 @@ def union_logs(results: dict[str, CleanResult], counts: dict[str, int | None] |
     return log
 
 
+def full_logs(results: dict[str, CleanResult], counts: dict[str, int | None] | None = None) -> DataFrame | None:
+    """The whole audit row of every table as ``(table_type, log_json)``; no field is left out."""
+    log = None
+    for name, r in results.items():
+        row = r.make_log(counts.get(name)) if counts else r.log
+        row = row.select("table_type", F.to_json(F.struct(*row.columns)).alias("log_json"))
+        log = row if log is None else log.unionByName(row)
+    return log
+
+
 def pipeline_totals(log: DataFrame) -> DataFrame:
     """Per table and overall rows and retention %."""
     per = log.select("table_type", "original_rows", "final_rows",

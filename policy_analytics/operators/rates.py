@@ -14,7 +14,7 @@ import re
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,13 @@ def _union(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _join_keys(left: DataFrame, right: DataFrame, k: list[str]) -> DataFrame:
+    """Inner join on the keys in which a NULL key is a group like any other."""
+    r = right.select(*[F.col(c).alias(f"__{c}") for c in k], *[c for c in right.columns if c not in k])
+    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(F.col(f"__{c}")) for c in k])
+    return left.join(r, same).drop(*[f"__{c}" for c in k])
+
+
 def month_key(date_col="date") -> Column:
     """``yyyy-MM``."""
     return F.date_format(F.col(date_col), "yyyy-MM")
@@ -112,9 +119,17 @@ def date_checks(df: DataFrame, as_of: dt.date, key=None) -> DataFrame:
             F.lit(c).alias("column"), F.min(d).alias("min_date"), F.max(d).alias("max_date"),
             F.count_if(d > F.lit(as_of)).cast("long").alias("future_dates"),
             F.count_if(d < F.lit(rules.MIN_BIRTHDATE)).cast("long").alias("dates_before_1900")))
+    if not parts:                                       # no date column: no row, no issue
+        return _none_of(df, k, "column string, min_date date, max_date date, future_dates long, dates_before_1900 long")
     return _union(parts)
 
 
+def _none_of(df: DataFrame, k: list[str], rest: str) -> DataFrame:
+    """An empty result with the key columns of ``df``."""
+    keys = [T.StructField(c, df.schema[c].dataType) for c in k]
+    return df.sparkSession.createDataFrame([], T.StructType([*keys, *T._parse_datatype_string(rest).fields]))
+
+
 def _distinct_dates(df: DataFrame, k: list[str], date_col: str) -> DataFrame:
     return df.where(F.col(date_col).isNotNull()).select(*k, F.col(date_col).cast("date").alias("_d")).distinct()
 
@@ -150,7 +165,7 @@ def numeric_stats(df: DataFrame, value: str, key=None, digits: int | None = 4,
         rnd(F.avg(v), digits).alias("mean"), rnd(F.stddev_samp(v), digits).alias("sd"))
     med = quantiles(fin, k, value, [0.5], ["median"], accuracy)
     med = med.select(*k, rnd("median", digits).alias("median"))
-    return stats.join(med, k) if k else one_row(stats, med)
+    return _join_keys(stats, med, k) if k else one_row(stats, med)
 
 
 def negatives(df: DataFrame, key=None) -> DataFrame:
@@ -158,6 +173,8 @@ def negatives(df: DataFrame, key=None) -> DataFrame:
     k = _keys(key)
     cols = [f.name for f in df.schema.fields
             if isinstance(f.dataType, T.NumericType) and RATE_NAME_PATTERN.search(f.name)]
+    if not cols:
+        return _none_of(df, k, "column string, negatives long")
     return _union([df.groupBy(*k).agg(
         F.lit(c).alias("column"),
         F.count_if(_finite(F.col(c).cast("double")) & (F.col(c) < 0)).cast("long").alias("negatives"))
@@ -177,7 +194,7 @@ def outliers(df: DataFrame, value: str, key=None, sigmas: float = OUTLIER_SIGMAS
     mom = fin.groupBy(*k).agg(F.count(F.lit(1)).alias("n"), F.avg("_x").alias("_m"),
                              F.stddev_samp("_x").alias("_s"))
     if k:
-        j = fin.join(mom, k)
+        j = _join_keys(fin, mom, k)
     else:
         m = mom.select(F.struct("n", "_m", "_s").alias("_x")).scalar()
         j = fin.select("_x", m.getField("n").alias("n"), m.getField("_m").alias("_m"), m.getField("_s").alias("_s"))
@@ -200,16 +217,16 @@ def constant_or_empty(df: DataFrame, key=None) -> DataFrame:
             .select(*k, "column", "finite",
                     F.when(F.col("finite") == 0, F.lit(1))
                      .when(F.col("_sd") < CONSTANT_SD, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("issues")))
-    return _union(parts)
+    return _union(parts) if parts else _none_of(df, k, "column string, finite long, issues long")
 
 
 def recency(df: DataFrame, as_of: dt.date, key=None, date_col: str = "date") -> DataFrame:
-    """Days since the latest date; > 30 stale, > 7 aged, else fresh."""
+    """Days since the latest date; > 30 stale, > 7 aged, else fresh; NULL without a date."""
     k = _keys(key)
     r = df.groupBy(*k).agg(F.max(F.col(date_col).cast("date")).alias("latest_date"))
     days = F.datediff(F.lit(as_of), F.col("latest_date"))
     return r.select(*k, "latest_date", days.cast("long").alias("days_old"),
-                    F.when(days > STALE_DAYS, "stale").when(days > AGED_DAYS, "aged").otherwise("fresh")
+                    F.when(days > STALE_DAYS, "stale").when(days > AGED_DAYS, "aged").when(days.isNotNull(), "fresh")
                     .alias("recency"))
 
 
@@ -244,20 +261,27 @@ def status_tier(issues: Column) -> Column:
             .when(issues < MINOR_LIMIT, "minor").otherwise("major"))
 
 
-def rate_quality(df: DataFrame | None, as_of: dt.date, expected: Sequence[str] = EXPECTED_RATE_COLUMNS) -> DataFrame:
+def rate_quality(df: DataFrame | None, as_of: dt.date, expected: Sequence[str] = EXPECTED_RATE_COLUMNS,
+                 spark: SparkSession | None = None) -> DataFrame:
     """R5-R16 issue count of one rate table with its status tier.
 
     issues = typed missing values + missing expected columns + dates before 1900
              + near-constant / all-invalid numeric columns.
+    An absent (``None``) or empty table is graded ``no_data`` with 999 issues.
     """
     if df is None:
-        raise ValueError("no rate data: report issues = 999 via status_tier")
+        spark = spark or SparkSession.active()
+        return spark.createDataFrame([(NO_DATA_ISSUES, len(expected), None, None, None, "no_data")],
+                                     "issues long, missing_columns long, missing_values long, dates_before_1900 long, "
+                                     "constant_or_empty_columns long, status string")
     missing_cols = sum(1 for _, s in schema_diff(df, expected) if s == "missing")
     miss = typed_missing(df).agg(F.sum("missing").alias("_m"))
     old = date_checks(df, as_of).agg(F.coalesce(F.sum("dates_before_1900"), F.lit(0)).alias("_o"))
     const = constant_or_empty(df).agg(F.coalesce(F.sum("issues"), F.lit(0)).alias("_c"))
-    row = one_row(miss, old, const)
-    issues = (F.col("_m") + F.lit(missing_cols) + F.col("_o") + F.col("_c")).cast("long")
+    rows = df.agg(F.count(F.lit(1)).alias("_n"))
+    row = one_row(miss, old, const, rows)
+    issues = F.when(F.col("_n") == 0, F.lit(NO_DATA_ISSUES)).otherwise(
+        F.coalesce("_m", F.lit(0)) + F.lit(missing_cols) + F.col("_o") + F.col("_c")).cast("long")
     return row.select(issues.alias("issues"), F.lit(missing_cols).cast("long").alias("missing_columns"),
                       F.col("_m").cast("long").alias("missing_values"),
                       F.col("_o").cast("long").alias("dates_before_1900"),

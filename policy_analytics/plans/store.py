@@ -26,7 +26,7 @@ def publish_clean(spark, d):
     raw = {n: fx.RAW_VIEWS[n](spark, d) for n in store.TABLES}
     data, results = clean.clean_all_results(raw, fx.AS_OF)
     root = store.new_store_root(spark)
-    res = store.publish(data, lambda counts: clean.union_logs(results, counts), root,
+    res = store.publish(data, lambda counts: clean.full_logs(results, counts), root,
                         cleaning_seconds=round(time.perf_counter() - t0, 2))
     if not res["success"]:
         raise RuntimeError(f"publish failed: {res.get('error')}")

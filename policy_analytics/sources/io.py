@@ -55,7 +55,8 @@ def typed_raw(df: DataFrame, table_type: str) -> DataFrame:
 
 
 def read_series_json(spark: SparkSession, path: str, keyed: bool = False,
-                     record: T.StructType = SERIES_RECORD, whole_file: bool = False) -> DataFrame:
+                     record: T.StructType = SERIES_RECORD, whole_file: bool = False,
+                     corrupt: str | None = None) -> DataFrame:
     """S3: JSON series, either records or an object keyed by record id.
 
     * ``keyed=False``: JSON lines of records; with ``whole_file=True`` each file is one
@@ -66,12 +67,25 @@ def read_series_json(spark: SparkSession, path: str, keyed: bool = False,
 
     A whole-file JSON document cannot be split, so whole-file forms parallelise across
     files only; JSON lines split within files.
+
+    Malformed JSON is never dropped: with ``corrupt`` its text is kept in a column of that
+    name (null for sound records), without it the read fails.
     """
     if not keyed:
-        return spark.read.schema(record).option("multiLine", str(whole_file).lower()).json(path)
+        reader = spark.read.option("multiLine", str(whole_file).lower())
+        if corrupt is None:
+            return reader.schema(record).option("mode", "FAILFAST").json(path)
+        kept = T.StructType([*record.fields, T.StructField(corrupt, T.StringType())])
+        return reader.schema(kept).option("columnNameOfCorruptRecord", corrupt).json(path)
     raw = spark.read.text(path, wholetext=whole_file)
     m = F.from_json("value", T.MapType(T.StringType(), record))
-    return raw.select(F.explode(F.map_values(m)).alias("r")).select("r.*")
+    bad = m.isNull() & (F.trim("value") != "")
+    if corrupt is None:
+        m = F.when(bad, F.raise_error(F.concat(F.lit("malformed JSON: "), F.substring("value", 1, 200)))
+                   .cast(T.MapType(T.StringType(), record))).otherwise(m)
+        return raw.select(F.explode(F.map_values(m)).alias("r")).select("r.*")
+    return (raw.select(F.when(bad, F.col("value")).alias(corrupt), F.explode_outer(F.map_values(m)).alias("r"))
+            .where(F.col("r").isNotNull() | F.col(corrupt).isNotNull()).select("r.*", corrupt))
 
 
 def write_series_json(df: DataFrame, path: str, keyed: bool = False, key: str = "row_id") -> None:

@@ -20,6 +20,7 @@ import datetime as dt
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,8 +104,8 @@ def publish(tables: dict[str, DataFrame | None], logs, root: str,
         if callable(logs):
             logs = logs(counts)
         if logs is not None:
-            log_json = logs.select(F.col("table_type"),
-                                   F.to_json(F.struct(*[F.col(c) for c in logs.columns])).alias("log_json"))
+            log_json = logs if "log_json" in logs.columns else logs.select(
+                F.col("table_type"), F.to_json(F.struct(*[F.col(c) for c in logs.columns])).alias("log_json"))
             log_json.write.mode(data_mode).parquet(f"{root.rstrip('/')}/cleaning_logs/version_id={version_id}")
         store_seconds = round(time.perf_counter() - start, 2)
         present = [v for v in counts.values() if v is not None]
@@ -136,7 +137,7 @@ def latest_version(spark: SparkSession, root: str) -> str | None:
 
 
 def load_version(spark: SparkSession, root: str, version_id: str) -> dict[str, DataFrame] | None:
-    """The tables of a listed version (partition-pruned scans); unknown id -> None."""
+    """The tables of a listed version, each with that version's own columns; unknown id -> None."""
     meta = (spark.read.schema(VERSION_SCHEMA).parquet(f"{root.rstrip('/')}/data_versions")
             .where(F.col("version_id") == version_id).limit(1).collect())
     if not meta:
@@ -146,21 +147,29 @@ def load_version(spark: SparkSession, root: str, version_id: str) -> dict[str, D
     for t in TABLES:
         if m[f"{t}_table_name"] is None:
             continue
-        out[t] = (spark.read.parquet(_table_path(root, t))
-                  .where(F.col("version_id") == version_id).drop("version_id"))
+        out[t] = spark.read.parquet(f"{_table_path(root, t)}/version_id={version_id}")
     return out
 
 
 def table_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Rows per table and version (footer counts; the version is a partition column)."""
-    parts = []
+    """Rows per table and listed version (footer counts). Folders of versions that were
+    never committed are not counted; a listed table that cannot be read is an error."""
+    empty = spark.createDataFrame([], "table_name string, version_id string, rows long")
+    try:
+        versions = spark.read.schema(VERSION_SCHEMA).parquet(f"{root.rstrip('/')}/data_versions")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":        # no version committed yet
+            return empty
+        raise
+    listed = versions.select("version_id", *[f"{t}_table_name" for t in TABLES]).collect()
+    parts = [empty]
     for t in TABLES:
-        try:
-            df = spark.read.parquet(_table_path(root, t))
-        except Exception:  # noqa: BLE001 - table never written
-            continue
-        parts.append(df.groupBy("version_id").agg(F.count(F.lit(1)).alias("rows"))
-                     .select(F.lit(t).alias("table_name"), "version_id", "rows"))
+        ids = sorted(v["version_id"] for v in listed if v[f"{t}_table_name"] is not None)
+        if ids:
+            paths = [f"{_table_path(root, t)}/version_id={v}" for v in ids]
+            df = spark.read.option("basePath", _table_path(root, t)).schema("version_id string").parquet(*paths)
+            parts.append(df.groupBy("version_id").agg(F.count(F.lit(1)).alias("rows"))
+                         .select(F.lit(t).alias("table_name"), "version_id", "rows"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -190,6 +199,8 @@ def is_listed(spark: SparkSession, root: str, version_id: str) -> bool:
     """Whether ``version_id`` has a metadata row (i.e. is committed)."""
     try:
         v = spark.read.schema(VERSION_SCHEMA).parquet(f"{root.rstrip('/')}/data_versions")
-    except Exception:  # noqa: BLE001 - no version written yet
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":        # no version written yet
+            return False
+        raise                                           # unknown is not the same as unlisted
     return v.where(F.col("version_id") == version_id).limit(1).count() > 0
