@@ -30,7 +30,7 @@ GROUP = 32                             # groups, and members of a group
 MODEL_IDS = GROUP * GROUP              # commonest subwords; the last id stands for all others
 CONTEXT, STRIDE = 8, 24                # positions that a window only reads, and that it scores
 WIDTH = 16                             # of embeddings and attention
-WORD_SHARE = 0.75                      # weight of the commonest words' shares in the mixture
+WORD_SHARE = 0.4                       # weight of the commonest words' shares in the mixture
 MEMO_WORDS = 300_000                   # whose subwords a task remembers
 HEAD_WORDS = 200_000                   # commonest words, known to every task; others are joined
 TRAIN_SHARE = 8                        # one training document in so many trains the attention
