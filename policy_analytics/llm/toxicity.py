@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, seeded, table
+from .common import saved, seeded, sift, table
 
 TOKEN = re.compile(r"\w+")
 STEMS = (4, 5, 6)            # lengths of stems
@@ -36,6 +36,8 @@ MAX_FIT_ROWS = 20_000        # labelled rows on which the few weights of the mod
 MAX_VARIANTS = 50_000        # near misses known from clean texts
 MEMO_TOKENS = 300_000        # judged tokens that a task remembers
 WINDOW = 8                   # words before and after a hit
+BITMAP_BYTES = 4096          # of Spark's bitmaps
+MAX_LABEL_BYTES = 64 << 20   # of label bitmaps that are broadcast
 MAX_STATES = 50_000          # cached automaton states per task; beyond, the cache starts anew
 # Marks of quotation, words that report speech, words that address the reader.
 QUOTES = "\"“”„«»‟″"
@@ -365,10 +367,27 @@ def _remainder():
 def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents to learn from: a label, and crc32(doc_id as text) mod 5 not 0.
 
-    Several labels of one id count once; contradicting ones count as toxic.
+    Several labels of one id count once; contradicting ones count as toxic. Two bits per id
+    (labelled, toxic) are broadcast, so that no text is shuffled. Where ids are so many or so
+    sparse that these bitmaps pass ``MAX_LABEL_BYTES``, labelled texts are joined instead.
     """
-    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return docs.select("doc_id", "text").where(_remainder() != 0).join(marks, "doc_id")
+    marks = saved(labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("__id"))
+                  .agg(F.max("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)"), "marks")
+    docs = docs.select("doc_id", "text").where(_remainder() != 0).withColumn("__id", F.col("doc_id").cast("long"))
+    position = F.bitmap_bit_position("__id")
+    buckets = marks.groupBy(F.bitmap_bucket_number("__id").alias("__bucket"))
+    if buckets.agg(F.lit(1)).count() * 2 * BITMAP_BYTES > MAX_LABEL_BYTES:
+        return sift(docs, "__id", marks, "__id").join(marks, "__id").select("doc_id", "text", "toxic")
+    bits = F.broadcast(buckets.agg(
+        F.bitmap_construct_agg(position).alias("__known"),
+        F.bitmap_construct_agg(F.when(F.col("toxic") == 1, position)).alias("__toxic")))
+
+    def bit(bitmap: str):
+        byte = F.expr(f"substring({bitmap}, cast(__bit div 8 as int) + 1, 1)")
+        return F.bit_get(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod("__bit", F.lit(8)).cast("int")).cast("int")
+
+    return (docs.withColumn("__bucket", F.bitmap_bucket_number("__id")).withColumn("__bit", position).join(bits, "__bucket")
+            .where(bit("__known") == 1).select("doc_id", "text", bit("__toxic").alias("toxic")))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -230,6 +230,19 @@ def test_toxicity_held_out(spark, odd_docs, no_docs):
     assert stage.columns == odd_docs.columns and stage.count() == 11
 
 
+def test_label_bitmaps_equal_a_join(spark, monkeypatch):
+    docs = spark.createDataFrame([(None, "a"), (0, "z"), (-5, "n"), (1, "a"), (2, "b"), (2, "b2"), (3, None), (32768, "x"),
+                                  (32769, "y"), (10 ** 12 + 1, "far"), (7, "u"), (-32768, "m")], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (-5, 0), (1, 1), (1, 0), (2, 0), (3, None), (32768, 1), (32769, 0), (10 ** 12 + 1, 1),
+                                    (None, 1), (8, 1), (-32768, 1), (7, 2)], "doc_id long, toxic int")
+    marks = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic in (0, 1)")
+    want = docs.where(toxicity._remainder() != 0).join(marks, "doc_id").select("doc_id", "text", "toxic").collect()
+    for most in (toxicity.MAX_LABEL_BYTES, 0):
+        monkeypatch.setattr(toxicity, "MAX_LABEL_BYTES", most)
+        assert sorted(toxicity.labelled_rows(docs, labels).collect()) == sorted(want)
+        assert toxicity.labelled_rows(docs, labels.where("false")).count() == 0
+
+
 def test_language_model_base_scores(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
     rows = {r["doc_id"]: r for r in language_model.score_documents(docs).collect()}
