@@ -231,46 +231,47 @@ def _sure_odds(t: int, n: int, toxic: int, clean: int) -> float:
     return _odds(t, n, toxic, clean) - 1.645 * math.sqrt(1 / (t + 0.5) + 1 / (n + 0.5))
 
 
-def _term_counts(train: DataFrame, words: set, stems: set) -> list:
-    """``(term, n)``: the clean documents that hold a candidate, over all labelled rows."""
+def _term_counts(train: DataFrame) -> DataFrame:
+    """``(term, t, n)``: the toxic and the clean rows that hold a word ("=") or a stem ("~")."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = Counter({"=" + w: 0 for w in words} | {"~" + x: 0 for x in stems})
+        seen = {0: Counter(), 1: Counter()}
+
+        def counted() -> Iterator[pd.DataFrame]:
+            for toxic, c in seen.items():
+                n = np.fromiter(c.values(), dtype=np.int64, count=len(c))
+                if c:                                    # an empty frame has no string column
+                    yield pd.DataFrame({"term": list(c), "t": n * toxic, "n": n * (1 - toxic)})
+                c.clear()
+
         for b in batches:
-            for text in b["text"]:
+            for text, toxic in zip(b["text"], b["toxic"], strict=True):
                 own = set(TOKEN.findall((text or "").lower()))
-                found = {"=" + w for w in own & words}
-                for n in STEMS:
-                    found |= {"~" + x for x in {w[:n] for w in own if len(w) > n} & stems}
-                seen.update(found)
-        yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
+                seen[toxic].update(["=" + w for w in own])
+                seen[toxic].update({"~" + w[:n] for w in own for n in STEMS if len(w) > n})
+                if len(seen[toxic]) > MEMO_TOKENS:
+                    yield from counted()
+        yield from counted()
 
-    return (train.where("toxic = 0").select("text").mapInPandas(count, "term string, n long")
-            .groupBy("term").agg(F.sum("n").alias("n")).collect())
+    return (train.select("text", "toxic").mapInPandas(count, "term string, t long, n long")
+            .groupBy("term").agg(F.sum("t").alias("t"), F.sum("n").alias("n")))
 
 
-def learn_lexicon(train: DataFrame, clean: int) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems with their log odds.
+def learn_lexicon(terms: DataFrame, toxic: int, clean: int) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and stems with their log odds, from ``terms(term, t, n)``.
 
     Candidates are the commonest words of toxic texts and prefixes shared by several of
-    them; each is then counted over all labelled rows.
+    them. Every labelled row counts, toxic and clean ones alike.
     """
-    lowered = F.lower(F.coalesce("text", F.lit("")))
-    # near copies of a text are one witness: they share the least hash of their words
-    texts = (train.where("toxic = 1").select(F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"(?U)\w+"), F.lit(0))).alias("ws"))
-             .select("ws", F.coalesce(F.array_min(F.transform("ws", lambda w: F.xxhash64(w))), F.lit(0)).alias("sig")))
-    seen = saved(texts.select("sig", F.explode("ws").alias("w")).distinct(), "toxic-words")
-    toxic = texts.agg(F.countDistinct("sig")).first()[0]
-    words = seen.groupBy("w").agg(F.count(F.lit(1)).alias("t"))
-    common = {r["w"]: r["t"] for r in words.where(F.col("t") >= LEAST_DOCS).orderBy(F.col("t").desc(), "w").limit(MAX_CANDIDATES).collect()}
-    prefixes = seen.select("sig", "w", F.explode(F.array(*[F.when(F.length("w") > n, F.substring("w", 1, n)) for n in STEMS])).alias("p"))
-    productive = (prefixes.where("p is not null").groupBy("p")
-                  .agg(F.countDistinct("sig").alias("t"), F.countDistinct("w").alias("k"))
-                  .where((F.col("t") >= LEAST_DOCS) & (F.col("k") >= LEAST_WORDS))
-                  .orderBy(F.col("t").desc(), "p").limit(MAX_CANDIDATES))
-    stems = {r["p"]: r["t"] for r in productive.collect()}
-    rows = [(x["term"], common.get(x["term"][1:], 0) if x["term"][0] == "=" else stems[x["term"][1:]], x["n"])
-            for x in _term_counts(train, set(common), set(stems))]
+    name = F.expr("substring(term, 2)")
+    words = terms.where((F.col("t") >= LEAST_DOCS) & F.col("term").startswith("="))
+    toxic_words = terms.where((F.col("t") > 0) & F.col("term").startswith("=")).select(name.alias("w"))
+    prefixes = toxic_words.select(F.explode(F.array(*[F.when(F.length("w") > n, F.substring("w", 1, n)) for n in STEMS])).alias("p"))
+    productive = (prefixes.where("p is not null").groupBy(F.concat(F.lit("~"), "p").alias("term"))
+                  .agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LEAST_WORDS).select("term"))
+    stems = terms.where(F.col("t") >= LEAST_DOCS).join(productive, "term", "left_semi")
+    rows = [(r["term"], r["t"], r["n"]) for kind in (words, stems)
+            for r in kind.orderBy(F.col("t").desc(), "term").limit(MAX_CANDIDATES).collect()]
     strong = sorted(((t, term, _odds(t, n, toxic, clean)) for term, t, n in rows
                      if t >= LEAST_DOCS and _odds(t, n, toxic, clean) >= LEAST_ODDS
                      and _sure_odds(t, n, toxic, clean) >= SURE_ODDS), reverse=True)[:MAX_TERMS]
@@ -301,7 +302,8 @@ def _near_misses(train: DataFrame, model: Model) -> frozenset:
                     found = reader.hit(w)
                     if found is not None and found[1] > 0:
                         seen[w] += 1
-        yield pd.DataFrame({"w": list(seen), "n": list(seen.values())})
+        if seen:
+            yield pd.DataFrame({"w": list(seen), "n": list(seen.values())})
 
     rows = (train.where("toxic = 0").select("text").mapInPandas(find, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
             .orderBy(F.col("n").desc(), "w").limit(MAX_VARIANTS).collect())
@@ -334,7 +336,7 @@ def train_model(train: DataFrame) -> Model:
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         return Model(bias=30.0 if toxic else -30.0)
-    words, stems = learn_lexicon(train, clean)
+    words, stems = learn_lexicon(saved(_term_counts(train), "terms"), toxic, clean)
     model = Model(words, stems)
     model.innocent = _near_misses(train, model)
     share = min(1.0, 0.95 * MAX_FIT_ROWS / (toxic + clean))

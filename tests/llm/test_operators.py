@@ -230,6 +230,20 @@ def test_toxicity_held_out(spark, odd_docs, no_docs):
     assert stage.columns == odd_docs.columns and stage.count() == 11
 
 
+def _labelled(spark, toxic, clean):
+    rows = [(i, t, 1) for i, t in enumerate(toxic)] + [(10_000 + i, t, 0) for i, t in enumerate(clean)]
+    return spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+
+
+def test_every_toxic_row_is_a_witness(spark):
+    import xxhash
+    shared = min((f"c{i}" for i in range(5000)), key=lambda w: (xxhash.xxh64_intdigest(w, 42) + (1 << 63)) % (1 << 64))
+    train = _labelled(spark, [f"{shared} x{i} zorkblat" for i in range(30)], [f"{shared} y{i}" for i in range(300)])
+    assert "zorkblat" in toxicity.train_model(train).words
+    got = {r["term"]: (r["t"], r["n"]) for r in toxicity._term_counts(train).collect()}
+    assert got["=zorkblat"] == got["~zork"] == (30, 0) and got["=" + shared] == (30, 300)
+
+
 def test_label_bitmaps_equal_a_join(spark, monkeypatch):
     docs = spark.createDataFrame([(None, "a"), (0, "z"), (-5, "n"), (1, "a"), (2, "b"), (2, "b2"), (3, None), (32768, "x"),
                                   (32769, "y"), (10 ** 12 + 1, "far"), (7, "u"), (-32768, "m")], "doc_id long, text string")
