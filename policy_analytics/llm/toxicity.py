@@ -30,15 +30,15 @@ LEAST_DOCS = 3               # toxic documents that a term must occur in
 LEAST_WORDS = 5              # different words that make a stem productive
 LEAST_ODDS = 4.0             # log odds ratio of a term, toxic against clean documents
 SURE_ODDS = 2.0              # its lower bound (95 %)
-MAX_CANDIDATES = 30_000      # words, and as many stems, that are weighed against clean texts
-MAX_TERMS = 2_000            # terms of the lexicon
+PART_TERMS = 2_000           # terms in one automaton; a larger lexicon is read by several
 MAX_FIT_ROWS = 20_000        # labelled rows on which the few weights of the model are fitted
 MAX_VARIANTS = 50_000        # near misses known from clean texts
 MEMO_TOKENS = 300_000        # judged tokens that a task remembers
 WINDOW = 8                   # words before and after a hit
 BITMAP_BYTES = 4096          # of Spark's bitmaps
 MAX_LABEL_BYTES = 64 << 20   # of label bitmaps that are broadcast
-MAX_STATES = 50_000          # cached automaton states per task; beyond, the cache starts anew
+MAX_STATES = 50_000          # cached automaton states per task, over all automata; beyond, a cache starts anew
+LEAST_STATES = 2_000         # of one automaton
 # Marks of quotation, words that report speech, words that address the reader.
 QUOTES = "\"“”„«»‟″"
 REPORTING = frozenset("said says say wrote writes quoted quote called calls claimed reported according "
@@ -59,7 +59,8 @@ class Automaton:
     are computed once per state and character and cached.
     """
 
-    def __init__(self, terms: list[str]):
+    def __init__(self, terms: list[str], most_states: int = MAX_STATES):
+        self.most_states = most_states
         self.children: list[dict[str, int]] = [{}]
         self.term: list[int] = [-1]
         self.most = [0]
@@ -125,7 +126,7 @@ class Automaton:
 
     def match(self, token: str) -> tuple[int, int] | None:
         """(term, edits) of the closest term within its edits, or None."""
-        if len(self.states) > MAX_STATES:
+        if len(self.states) > self.most_states:
             self._reset()
         state = self.start
         for c in token:
@@ -162,9 +163,18 @@ class Reader:
     def __init__(self, model: Model):
         self.model = model
         self.terms = sorted(model.words)
-        self.automaton = Automaton(self.terms)
+        self.starts = range(0, len(self.terms), PART_TERMS)
+        states = max(LEAST_STATES, MAX_STATES // max(1, len(self.starts)))
+        self.automata = [Automaton(self.terms[i:i + PART_TERMS], states) for i in self.starts]
         self.memo: dict[str, tuple[float, int] | None] = {}
 
+    def near(self, token: str) -> tuple[int, int] | None:
+        """(term, edits) of the closest term of all automata, or None."""
+        ends = [(m[1], -len(a.terms[m[0]]), start + m[0]) for start, a in zip(self.starts, self.automata, strict=True)
+                if (m := a.match(token)) is not None]
+        best = min(ends, default=None)
+        return (best[2], best[0]) if best else None
+
     def hit(self, token: str) -> tuple[float, int] | None:
         """(weight, edits) of a token of the lexicon, or None."""
         try:
@@ -179,7 +189,7 @@ class Reader:
             stem = next((token[:n] for n in STEMS if token[:n] in m.stems and len(token) > n), None)
             if stem is not None:
                 found = (m.stems[stem], 0)
-            elif token not in m.innocent and (near := self.automaton.match(token)) is not None:
+            elif token not in m.innocent and (near := self.near(token)) is not None:
                 found = (m.words[self.terms[near[0]]], near[1])
         if len(self.memo) < MEMO_TOKENS:
             self.memo[token] = found
@@ -222,13 +232,15 @@ class Reader:
         return factor
 
 
-def _odds(t: int, n: int, toxic: int, clean: int) -> float:
-    return math.log((t + 0.5) / (toxic - t + 0.5)) - math.log((n + 0.5) / (clean - n + 0.5))
+def _odds(toxic: int, clean: int):
+    """The log odds ratio of ``t`` toxic against ``n`` clean rows."""
+    t, n = F.col("t"), F.col("n")
+    return F.log((t + 0.5) / (F.lit(toxic + 0.5) - t)) - F.log((n + 0.5) / (F.lit(clean + 0.5) - n))
 
 
-def _sure_odds(t: int, n: int, toxic: int, clean: int) -> float:
+def _sure_odds(toxic: int, clean: int):
     """The lower bound of the log odds ratio."""
-    return _odds(t, n, toxic, clean) - 1.645 * math.sqrt(1 / (t + 0.5) + 1 / (n + 0.5))
+    return _odds(toxic, clean) - 1.645 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") + 0.5))
 
 
 def _term_counts(train: DataFrame) -> DataFrame:
@@ -260,34 +272,33 @@ def _term_counts(train: DataFrame) -> DataFrame:
 def learn_lexicon(terms: DataFrame, toxic: int, clean: int) -> tuple[dict[str, float], dict[str, float]]:
     """Words and stems with their log odds, from ``terms(term, t, n)``.
 
-    Candidates are the commonest words of toxic texts and prefixes shared by several of
-    them. Every labelled row counts, toxic and clean ones alike.
+    All words and all prefixes shared by several words of toxic texts are weighed, over all
+    labelled rows; only terms that are telling enough come to the driver.
     """
-    name = F.expr("substring(term, 2)")
-    words = terms.where((F.col("t") >= LEAST_DOCS) & F.col("term").startswith("="))
-    toxic_words = terms.where((F.col("t") > 0) & F.col("term").startswith("=")).select(name.alias("w"))
+    strong = terms.where((F.col("t") >= LEAST_DOCS) & (_odds(toxic, clean) >= LEAST_ODDS) & (_sure_odds(toxic, clean) >= SURE_ODDS))
+    strong = strong.select("term", _odds(toxic, clean).alias("odds"))
+    toxic_words = terms.where((F.col("t") > 0) & F.col("term").startswith("=")).select(F.expr("substring(term, 2)").alias("w"))
     prefixes = toxic_words.select(F.explode(F.array(*[F.when(F.length("w") > n, F.substring("w", 1, n)) for n in STEMS])).alias("p"))
     productive = (prefixes.where("p is not null").groupBy(F.concat(F.lit("~"), "p").alias("term"))
                   .agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= LEAST_WORDS).select("term"))
-    stems = terms.where(F.col("t") >= LEAST_DOCS).join(productive, "term", "left_semi")
-    rows = [(r["term"], r["t"], r["n"]) for kind in (words, stems)
-            for r in kind.orderBy(F.col("t").desc(), "term").limit(MAX_CANDIDATES).collect()]
-    strong = sorted(((t, term, _odds(t, n, toxic, clean)) for term, t, n in rows
-                     if t >= LEAST_DOCS and _odds(t, n, toxic, clean) >= LEAST_ODDS
-                     and _sure_odds(t, n, toxic, clean) >= SURE_ODDS), reverse=True)[:MAX_TERMS]
-    found = {term[1:]: odds for _, term, odds in strong if term[0] == "~"}
+    words = {r["term"][1:]: r["odds"] for r in strong.where(F.col("term").startswith("=")).collect()}
+    found = {r["term"][1:]: r["odds"] for r in strong.where(F.col("term").startswith("~")).join(productive, "term", "left_semi").collect()}
     # the shortest stem stands for longer ones and words that are not clearly more telling
+    longest: dict[str, float] = {}
+    for s, odds in found.items():
+        for n in STEMS:
+            if n < len(s):
+                longest[s[:n]] = max(odds, longest.get(s[:n], -99))
     short: dict[str, float] = {}
     for s in sorted(found, key=len):
-        longer = [o for x, o in found.items() if x != s and x.startswith(s)]
         known = [short[s[:n]] for n in STEMS if n < len(s) and s[:n] in short]
-        if max(longer, default=-99) <= found[s] + 0.5 and max(known, default=-99) < found[s] - 0.5:
+        if longest.get(s, -99) <= found[s] + 0.5 and max(known, default=-99) < found[s] - 0.5:
             short[s] = found[s]
     lexicon = {}
-    for _, term, odds in strong:
-        known = [short[term[1:][:n]] for n in STEMS if n < len(term) - 1 and term[1:][:n] in short]
-        if term[0] == "=" and max(known, default=-99) < odds - 0.5:
-            lexicon[term[1:]] = odds
+    for w, odds in words.items():
+        known = [short[w[:n]] for n in STEMS if n < len(w) and w[:n] in short]
+        if max(known, default=-99) < odds - 0.5:
+            lexicon[w] = odds
     return lexicon, short
 
 

@@ -244,6 +244,18 @@ def test_every_toxic_row_is_a_witness(spark):
     assert got["=zorkblat"] == got["~zork"] == (30, 0) and got["=" + shared] == (30, 300)
 
 
+def test_no_strong_term_is_cut(spark):
+    import random
+    rng = random.Random(5)
+    terms = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(2100)})
+    toxic = [" ".join(terms[i:i + 100]) for i in range(0, len(terms), 100)] * 3
+    counts = spark.range(20_000).selectExpr("id + 10000 AS doc_id", "concat('plain ', id % 50) AS text", "0 AS toxic")
+    model = toxicity.train_model(_labelled(spark, toxic, []).unionByName(counts))
+    assert set(terms) <= set(model.words)
+    reader = model.reader()
+    assert [reader.hit(terms[i] + "q") for i in (0, 1050, 2099)] == [(model.words[terms[i]], 1) for i in (0, 1050, 2099)]
+
+
 def test_label_bitmaps_equal_a_join(spark, monkeypatch):
     docs = spark.createDataFrame([(None, "a"), (0, "z"), (-5, "n"), (1, "a"), (2, "b"), (2, "b2"), (3, None), (32768, "x"),
                                   (32769, "y"), (10 ** 12 + 1, "far"), (7, "u"), (-32768, "m")], "doc_id long, text string")
