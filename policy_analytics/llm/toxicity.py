@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,6 @@ LEAST_ODDS = 4.0             # log odds ratio of a term, toxic against clean doc
 SURE_ODDS = 2.0              # its lower bound (95 %)
 PART_TERMS = 2_000           # terms in one automaton; a larger lexicon is read by several
 MAX_FIT_ROWS = 20_000        # labelled rows on which the few weights of the model are fitted
-MAX_VARIANTS = 50_000        # near misses known from clean texts
 MEMO_TOKENS = 300_000        # judged tokens that a task remembers
 WINDOW = 8                   # words before and after a hit
 BITMAP_BYTES = 4096          # of Spark's bitmaps
@@ -52,6 +52,11 @@ def allowed(term: str) -> int:
     return 0 if len(term) <= 3 else 1 if len(term) <= 8 else 2
 
 
+def _hash(token: str) -> int:
+    """A signed 64-bit hash."""
+    return xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 class Automaton:
     """The Levenshtein automata of all terms, intersected with their trie.
 
@@ -143,7 +148,7 @@ class Model:
 
     words: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
-    innocent: frozenset = frozenset()
+    innocent: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))    # sorted hashes
     weights: list[float] = field(default_factory=lambda: [0.0] * len(FEATURES))
     bias: float = 0.0
 
@@ -175,6 +180,11 @@ class Reader:
         best = min(ends, default=None)
         return (best[2], best[0]) if best else None
 
+    def _innocent(self, token: str) -> bool:
+        known, h = self.model.innocent, _hash(token)
+        i = int(np.searchsorted(known, h))
+        return i < len(known) and int(known[i]) == h
+
     def hit(self, token: str) -> tuple[float, int] | None:
         """(weight, edits) of a token of the lexicon, or None."""
         try:
@@ -189,7 +199,7 @@ class Reader:
             stem = next((token[:n] for n in STEMS if token[:n] in m.stems and len(token) > n), None)
             if stem is not None:
                 found = (m.stems[stem], 0)
-            elif token not in m.innocent and (near := self.near(token)) is not None:
+            elif (near := self.near(token)) is not None and not self._innocent(token):
                 found = (m.words[self.terms[near[0]]], near[1])
         if len(self.memo) < MEMO_TOKENS:
             self.memo[token] = found
@@ -302,23 +312,22 @@ def learn_lexicon(terms: DataFrame, toxic: int, clean: int) -> tuple[dict[str, f
     return lexicon, short
 
 
-def _near_misses(train: DataFrame, model: Model) -> frozenset:
-    """Tokens of clean texts within the edits of a term: words of their own, no misspellings."""
+def _near_misses(terms: DataFrame, model: Model, toxic: int, clean: int) -> np.ndarray:
+    """Tokens within the edits of a term that are words of their own, as sorted hashes.
+
+    A near miss seen in clean rows is weighed like a term, its toxic against its clean rows;
+    below the odds of a term it is no misspelling. All that are decided so are kept, 8 bytes each.
+    """
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader, seen = model.reader(), Counter()
+        reader = model.reader()
         for b in batches:
-            for text in b["text"]:
-                for w in set(TOKEN.findall((text or "").lower())):
-                    found = reader.hit(w)
-                    if found is not None and found[1] > 0:
-                        seen[w] += 1
-        if seen:
-            yield pd.DataFrame({"w": list(seen), "n": list(seen.values())})
+            found = [_hash(w) for w in b["w"] if (h := reader.hit(w)) is not None and h[1] > 0]
+            yield pd.DataFrame({"h": np.array(found, dtype=np.int64)})
 
-    rows = (train.where("toxic = 0").select("text").mapInPandas(find, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
-            .orderBy(F.col("n").desc(), "w").limit(MAX_VARIANTS).collect())
-    return frozenset(r["w"] for r in rows)
+    ordinary = terms.where(F.col("term").startswith("=") & (F.col("n") > 0) & (_odds(toxic, clean) < LEAST_ODDS))
+    rows = ordinary.select(F.expr("substring(term, 2)").alias("w")).mapInPandas(find, "h long").toArrow()
+    return np.sort(rows["h"].to_numpy())
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> tuple[list[float], float]:
@@ -347,9 +356,10 @@ def train_model(train: DataFrame) -> Model:
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         return Model(bias=30.0 if toxic else -30.0)
-    words, stems = learn_lexicon(saved(_term_counts(train), "terms"), toxic, clean)
+    terms = saved(_term_counts(train), "terms")
+    words, stems = learn_lexicon(terms, toxic, clean)
     model = Model(words, stems)
-    model.innocent = _near_misses(train, model)
+    model.innocent = _near_misses(terms, model, toxic, clean)
     share = min(1.0, 0.95 * MAX_FIT_ROWS / (toxic + clean))
     drawn = train.where(F.pmod(seeded(F.col("doc_id"), 4), F.lit(1_000_000)) < int(share * 1_000_000))
     rows = _with_features(drawn, model, ("toxic",)).select("toxic", "x").limit(MAX_FIT_ROWS).collect()

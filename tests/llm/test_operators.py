@@ -256,6 +256,16 @@ def test_no_strong_term_is_cut(spark):
     assert [reader.hit(terms[i] + "q") for i in (0, 1050, 2099)] == [(model.words[terms[i]], 1) for i in (0, 1050, 2099)]
 
 
+def test_near_misses_are_weighed(spark):
+    clean = spark.range(30_000).selectExpr(
+        "id + 10000 AS doc_id", "concat('plain ', id % 50, CASE WHEN id = 7 THEN ' zorkblut' WHEN id % 300 = 1 THEN ' zorkblag' ELSE '' END) AS text", "0 AS toxic")
+    toxic = [f"x{i} zorkblat" for i in range(30)] + ["zorkblut one", "zorkblut two"]
+    reader = toxicity.train_model(_labelled(spark, toxic, []).unionByName(clean)).reader()
+    weight = reader.hit("zorkblat")[0]
+    assert reader.hit("zorkblut") == reader.hit("zorkblit") == (weight, 1)      # one clean row against two toxic ones; never seen
+    assert reader.hit("zorkblag") is None                                       # 100 clean rows, no toxic one
+
+
 def test_label_bitmaps_equal_a_join(spark, monkeypatch):
     docs = spark.createDataFrame([(None, "a"), (0, "z"), (-5, "n"), (1, "a"), (2, "b"), (2, "b2"), (3, None), (32768, "x"),
                                   (32769, "y"), (10 ** 12 + 1, "far"), (7, "u"), (-32768, "m")], "doc_id long, text string")
