@@ -6,8 +6,8 @@ training documents by averaged local training, corrects its predictions from the
 context. Texts are scored in overlapping windows, in which every subword is scored once
 with batched masked attention. The next subword is predicted in two steps (a group of 32,
 then its member), so a prediction costs 64 values and not the whole vocabulary. Word by
-word, the product over its subwords is interpolated with the training shares of the
-commonest words, since many segmentations that no word has take probability too.
+word, the product over its subwords is interpolated with its share of all training
+words, since many segmentations that no word has take probability too.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ GROUP = 32                             # groups, and members of a group
 MODEL_IDS = GROUP * GROUP              # commonest subwords; the last id stands for all others
 CONTEXT, STRIDE = 8, 24                # positions that a window only reads, and that it scores
 WIDTH = 16                             # of embeddings and attention
-WORD_SHARE = 0.4                       # weight of the commonest words' shares in the mixture
+WORD_SHARE = 0.4                       # weight of the words' shares in the mixture
 MEMO_WORDS = 300_000                   # whose subwords a task remembers
 HEAD_WORDS = 200_000                   # commonest words, known to every task; others are joined
 TRAIN_SHARE = 8                        # one training document in so many trains the attention
@@ -383,9 +383,13 @@ def score_ids(w: dict, t: Tables, texts: list[np.ndarray]) -> Iterator[np.ndarra
         at += len(ids)
 
 
-def mixed_score(logs: np.ndarray, starts: np.ndarray, extra: np.ndarray, shares: np.ndarray) -> float:
+def word_logs(logs: np.ndarray, starts: np.ndarray, extra: np.ndarray) -> np.ndarray:
+    """Natural log probability of every word of a text, over its subwords."""
+    return np.add.reduceat(logs, starts) + extra
+
+
+def mixed_score(of_word: np.ndarray, shares: np.ndarray) -> float:
     """log10 probability of a text: per word, its subwords interpolated with its share."""
-    of_word = np.add.reduceat(logs, starts) + extra
     with np.errstate(divide="ignore"):
         both = np.logaddexp(of_word + math.log(1 - WORD_SHARE), np.log(shares * WORD_SHARE))
     return float(both.sum() / math.log(10))
@@ -418,41 +422,47 @@ def score_documents(docs: DataFrame, vocabulary: str = TOKENIZER) -> DataFrame:
         head, tables, weights = shared.value
         t = Tables(**tables)
         reader = Reader(t, vocabulary)
-        in_head = sum(head.values()) or 1
-        logs = {w: (math.log10(c + 1), c / in_head) for w, c in head.items()}
+        logs = {w: (math.log10(c + 1), c / n) for w, c in head.items()}
         unknown = (0.0, 0.0)
         for b in batches:
             for at in range(0, len(b), 64):
                 part = b.iloc[at:at + 64]
                 rows = {"n_tokens": [], "known": [], "head": [], "tail": []}
-                texts, shares = [], []
+                texts, shares, tails = [], [], []
                 for text in part["text"]:
                     words = words_of(text)
                     texts.append(reader.text(words))
                     words.append(END)
                     found = [logs.get(w, unknown) for w in words]
                     share = np.array([f[1] for f in found])
-                    tail = Counter(w for w, f in zip(words, found, strict=True) if f is unknown)
+                    tails.append([(i, w) for i, (w, f) in enumerate(zip(words, found, strict=True)) if f is unknown])
                     shares.append(share)
                     rows["n_tokens"].append(len(words))
                     rows["known"].append(int((share > 0).sum()))
                     rows["head"].append(math.fsum(f[0] for f in found))
-                    rows["tail"].append([{"word": w, "n": k} for w, k in tail.items()])
-                each = score_ids(weights, t, [x[0] for x in texts])
-                score = [mixed_score(g, x[1], x[2], sh) for g, x, sh in zip(each, texts, shares, strict=True)]
+                score = []
+                for g, x, sh, tail in zip(score_ids(weights, t, [x[0] for x in texts]), texts, shares, tails, strict=True):
+                    of_word = word_logs(g, x[1], x[2])
+                    score.append(mixed_score(of_word, sh))
+                    rows["tail"].append([{"word": w, "own": float(of_word[i])} for i, w in tail])
                 yield part[["row", "doc_id", "held_out"]].astype({"doc_id": "Int64"}).assign(score=score, **rows)
 
     marked = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", held_out.alias("held_out"), "text")
     scored = saved(marked.mapInPandas(read, "row long, doc_id long, held_out boolean, score double, n_tokens long, known long, "
-                                      "head double, tail array<struct<word: binary, n: long>>"), "scored")
-    # words that not every task knows meet their counts in a join
-    rare = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.n").join(counts, "word")
-    tails = saved(rare.groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("logs")), "tails")
+                                      "head double, tail array<struct<word: binary, own: double>>"), "scored")
+    # words that not every task knows meet their counts in a join: what their shares add to
+    # the score, in which they have none so far, is log(1 + share part / subword part)
+    rare = scored.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.own").join(counts, "word")
+    more = F.log(F.col("c") * WORD_SHARE / max(n, 1)) - F.col("own") - math.log(1 - WORD_SHARE)
+    gain = (F.greatest(more, F.lit(0.0)) + F.log1p(F.exp(-F.abs(more)))) / math.log(10)
+    tails = saved(rare.groupBy("row").agg(F.count(F.lit(1)).alias("more"), F.sum(F.log10(F.col("c") + 1)).alias("logs"),
+                                          F.sum(gain).alias("gain")), "tails")
     floor = math.log10(n + v + 1)
     return scored.drop("tail").join(tails, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("head") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(floor)).alias("base_score"), "score")
+        (F.col("head") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * F.lit(floor)).alias("base_score"),
+        (F.col("score") + F.coalesce("gain", F.lit(0.0))).alias("score"))
 
 
 def op7_attention_lm_scores(spark, sf_dir: str) -> DataFrame:

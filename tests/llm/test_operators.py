@@ -297,6 +297,15 @@ def test_language_model_base_scores(spark, odd_docs, no_docs):
     assert language_model.score_documents(no_docs).count() == 0
 
 
+def test_words_outside_the_head_score_alike(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").limit(40).localCheckpoint()
+    whole = {r["doc_id"]: r for r in language_model.score_documents(docs).collect()}
+    monkeypatch.setattr(language_model, "HEAD_WORDS", 5)
+    for r in language_model.score_documents(docs).collect():
+        assert r["score"] == pytest.approx(whole[r["doc_id"]]["score"], rel=1e-6)
+        assert (r["n_known"], r["base_score"]) == (whole[r["doc_id"]]["n_known"], pytest.approx(whole[r["doc_id"]]["base_score"]))
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
