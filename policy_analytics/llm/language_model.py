@@ -1,8 +1,8 @@
 """Operator 7: language-model scoring with a small causal self-attention model in numpy.
 
 The corpus is counted once, as words. From the words' subword ids come the tables of a
-bigram model over all training documents; a causal self-attention layer, trained on seeded
-training documents by averaged local training, corrects its predictions from the wider
+bigram model over all training documents; a causal self-attention layer, trained on all of
+them by averaged local training, corrects its predictions from the wider
 context. Texts are scored in overlapping windows, in which every subword is scored once
 with batched masked attention. The next subword is predicted in two steps (a group of 32,
 then its member), so a prediction costs 64 values and not the whole vocabulary. Word by
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, seeded, table
+from .common import saved, table
 
 TOKENIZER = "byte_bpe_50k.tiktoken"    # of the installed public vocabularies
 END = b" "                             # the end token; no word holds a space
@@ -33,7 +33,6 @@ WIDTH = 16                             # of embeddings and attention
 WORD_SHARE = 0.4                       # weight of the words' shares in the mixture
 MEMO_WORDS = 300_000                   # whose subwords a task remembers
 HEAD_WORDS = 200_000                   # commonest words, known to every task; others are joined
-TRAIN_SHARE = 8                        # one training document in so many trains the attention
 ROUNDS = 2                             # of averaged local training
 BATCH = 64                             # windows in a training step
 MAX_WINDOWS = 128                      # windows that are scored at once
@@ -326,14 +325,12 @@ class Reader:
         return np.array(ids, dtype=np.int64), np.array(starts, dtype=np.int64), np.array(extra)
 
 
-def train_attention(docs: DataFrame, t: Tables, vocabulary: str = TOKENIZER, rounds: int = ROUNDS, share: int = TRAIN_SHARE) -> dict:
+def train_attention(docs: DataFrame, t: Tables, vocabulary: str = TOKENIZER, rounds: int = ROUNDS) -> dict:
     """Rounds of local training in every task, averaged by Spark weighted by windows.
 
-    One document in ``share`` takes part, drawn by a hash of its id, so the training set
-    grows with the corpus.
+    Every row of ``docs`` takes part in every round.
     """
     spark = docs.sparkSession
-    sample = saved(docs.where(F.pmod(seeded(F.col("doc_id"), 71), F.lit(share)) == 0).select("text"), "lm-sample")
     weights = flat(fresh_weights())
     tables = spark.sparkContext.broadcast(vars(t))      # plain values: executors need not have the class
     for _ in range(rounds):
@@ -358,7 +355,7 @@ def train_attention(docs: DataFrame, t: Tables, vocabulary: str = TOKENIZER, rou
             if seen:
                 yield pd.DataFrame({"at": np.arange(len(now)), "sum": flat(w).astype(np.float64) * seen, "seen": float(seen)})
 
-        rows = (sample.mapInPandas(fit, "at long, sum double, seen double").groupBy("at")
+        rows = (docs.select("text").mapInPandas(fit, "at long, sum double, seen double").groupBy("at")
                 .agg((F.sum("sum") / F.sum("seen")).alias("w")).orderBy("at").collect())
         if rows:
             weights = np.array([r["w"] for r in rows], dtype=np.float32)

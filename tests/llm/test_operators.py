@@ -306,6 +306,15 @@ def test_words_outside_the_head_score_alike(spark, monkeypatch):
         assert (r["n_known"], r["base_score"]) == (whole[r["doc_id"]]["n_known"], pytest.approx(whole[r["doc_id"]]["base_score"]))
 
 
+def test_attention_learns_from_every_row(spark):
+    rows = spark.createDataFrame([(i, "some words that are learned " * 20) for i in (1, 2, 3, 4)], "doc_id long, text string")
+    t = language_model.corpus_tables(language_model.count_words(rows))
+    fresh = language_model.flat(language_model.fresh_weights())
+    for i in (1, 2, 3, 4):
+        own = rows.where(F.col("doc_id") == i)
+        assert (language_model.flat(language_model.train_attention(own, t, rounds=1)) != fresh).any()
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
