@@ -12,7 +12,7 @@ import datetime as dt
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -307,7 +307,8 @@ def referential_issues(contracts: DataFrame, customers: DataFrame, series: DataF
 def quality_summary(tables: dict[str, DataFrame | None], clean: dict[str, DataFrame],
                     as_of: dt.date) -> DataFrame:
     """Q20/Q21: issues per table, referential issues; an absent table counts 999 (ref 1)."""
-    spark = next(iter(clean.values())).sparkSession
+    present = [df for df in (*tables.values(), *clean.values()) if df is not None]
+    spark = present[0].sparkSession if present else SparkSession.active()
     rows = []
     for name in ("contracts", "customers", "timeseries"):
         df = tables.get(name)
@@ -324,3 +325,9 @@ def quality_summary(tables: dict[str, DataFrame | None], clean: dict[str, DataFr
                                           "table_name string, basic_issues long, business_issues long, "
                                           "issues_found long"))
     return _union(rows)
+
+
+def total_issues(summary: DataFrame) -> DataFrame:
+    """Q20: the grand total over the rows of :func:`quality_summary`, absent tables included."""
+    return summary.agg(F.lit("total").alias("table_name"),
+                       F.coalesce(F.sum("issues_found"), F.lit(0)).cast("long").alias("total_issues"))

@@ -283,3 +283,10 @@ def quality_summary(spark, d):
     """Q20/Q21: basic, business and total issues per table, and referential issues."""
     c, u, t = _clean(spark, d)
     return quality.quality_summary(_typed(spark, d), {"contracts": c, "customers": u, "timeseries": t}, fx.AS_OF)
+
+
+@register("quality_total", q(f"SELECT 'total' AS table_name, CAST(sum(issues_found) AS BIGINT) AS total_issues FROM ({_issue_sql()}) g",
+                             TYPED_CTES + "," + REF_CTES))
+def quality_total(spark, d):
+    """Q20: the grand total of issues over all tables and the referential checks."""
+    return quality.total_issues(quality_summary(spark, d))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from policy_analytics.functions import rules
-from policy_analytics.operators import rates
+from policy_analytics.operators import quality, rates
 from policy_analytics.sources import io, store
 
 AS_OF = dt.date(2024, 6, 1)
@@ -72,3 +72,13 @@ def test_signed_amount_reads_decimal_commas(spark):
     df = spark.createDataFrame([("-1.234.567,00",), ("1.234,56",)], "t string")
     got = [r[0] for r in df.select(rules.signed_amount("t", decimal_comma=True)).collect()]
     assert got == [-1234567.0, 1234.56]
+
+
+def test_quality_total_and_absent_tables(spark):
+    raw = spark.createDataFrame([("K1", None), ("K1", None)], "customerid string, birthdate date")
+    clean = {"contracts": None, "customers": raw, "timeseries": None}
+    got = quality.quality_summary({"contracts": None, "customers": raw, "timeseries": None}, clean, dt.date(2024, 12, 31))
+    rows = {r["table_name"]: r["issues_found"] for r in got.collect()}
+    assert (rows["contracts"], rows["timeseries"], rows["referential_integrity"]) == (999, 999, 1)
+    assert quality.total_issues(got).first()["total_issues"] == sum(rows.values())
+    assert quality.quality_summary({}, {}, dt.date(2024, 12, 31)).count() == 4
