@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (exact_dedup, language_model, mixing, near_dedup, packing, periodic_runs, sharding,
-               token_alignment, topk, toxicity, url_filter, warc)
+from . import (bwt_dedup, exact_dedup, language_model, mixing, near_dedup, packing, periodic_runs,
+               sharding, token_alignment, topk, toxicity, url_filter, warc)
 
 QUERIES = {
     "op1_label_propagation_shards": sharding.op1_label_propagation_shards,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_source_mixing": mixing.op9_source_mixing,
     "op10_chunk_recipe_dedup": exact_dedup.op10_chunk_recipe_dedup,
     "op11_synchronised_runs": periodic_runs.op11_synchronised_runs,
+    "op12_bounded_interval_expansion": bwt_dedup.op12_bounded_interval_expansion,
     "op13_shared_cut_alignment": token_alignment.op13_shared_cut_alignment,
 }
 ORACLES = {
