@@ -208,24 +208,24 @@ def _anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         size = batch["body"].map(len).to_numpy(np.int64)
         for _, rows in batch.groupby(np.cumsum(size) // SLICE_BYTES, sort=True):
             found = anchors(rows["body"].tolist())
-            names = rows["row"].to_numpy(np.int64)
-            yield pd.DataFrame({"row": names[found[:, 0]], "first": found[:, 1], "last": found[:, 2],
+            names = rows["text_name"].to_numpy()
+            yield pd.DataFrame({"text_name": names[found[:, 0]], "first": found[:, 1], "last": found[:, 2],
                                 "up": found[:, 3] - found[:, 1], "key": found[:, 4]})
 
 
 def _cut_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row per piece; the bytes of a piece come once in a batch."""
+    """One row per piece of a text; the bytes of a piece come once in a batch."""
     import hashlib
     for batch in batches:
         seen, out = set(), []
-        for row, body, found in zip(batch["row"], batch["body"], batch["found"]):
+        for text_name, copies, body, found in zip(batch["text_name"], batch["copies"], batch["body"], batch["found"]):
             for p in found:
                 part = body[p["first"]:p["last"] + MIN_BYTES]
                 name = hashlib.blake2b(part, digest_size=16, salt=p["up"].to_bytes(8, "little"),
                                        person=(p["key"] & (1 << 64) - 1).to_bytes(8, "little")).digest()
-                out.append((row, p["first"], p["up"], p["key"], name, None if name in seen else part))
+                out.append((text_name, copies, p["first"], p["up"], p["key"], name, len(part), None if name in seen else part))
                 seen.add(name)
-        yield pd.DataFrame(out, columns=["row", "first", "up", "key", "name", "part"])
+        yield pd.DataFrame(out, columns=["text_name", "copies", "first", "up", "key", "name", "size", "part"])
 
 
 def _expanded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -263,51 +263,69 @@ def _halves(pieces: DataFrame) -> DataFrame:
     core = F.expr(f"substring(part, int(up - lo + 1), int(lo - hi + {MIN_BYTES + 1}))")
     cut = cut.withColumn("key", F.xxhash64("key", "lo", core))
     name = F.unhex(F.md5(F.concat(F.encode(F.concat_ws(" ", "key", "up", F.lit("")), "utf-8"), F.col("part"))))
-    return cut.select("from_key", "from_name", "key", name.alias("name"), "part", "up", "shift", "weight",
+    return cut.select("from_key", "from_name", "key", name.alias("name"), "part", "up", "shift", "copies",
                       F.col("lo").alias("low"), F.col("hi").alias("high"))
 
 
+def _outgrown(pieces: DataFrame) -> DataFrame:
+    """Keys of ``pieces(key, name, size)`` whose different pieces hold more than :data:`TRANSFORM_BYTES`."""
+    return (pieces.select("key", "name", "size").distinct().groupBy("key").agg(F.sum("size").alias("size"))
+            .where(F.col("size") > TRANSFORM_BYTES).select("key"))
+
+
+def _small_enough(uses: DataFrame, large: DataFrame) -> DataFrame:
+    """The pieces of the ``large`` keys, halved until every key fits or has equal windows only."""
+    pieces = saved(uses.join(large, "key", "left_semi").groupBy("key", "name").agg(
+        F.max("part").alias("part"), F.first("up").alias("up"), F.sum("copies").alias("copies"))
+        .select(F.col("key").alias("from_key"), F.col("name").alias("from_name"), "key", "name", "part", "up",
+                F.lit(0).cast("long").alias("shift"), "copies", F.lit(0).cast("long").alias("low"),
+                F.lit(512).cast("long").alias("high")), "halves")
+    while True:
+        sized = pieces.where("high - low > 1").withColumn("size", F.octet_length("part"))
+        large = saved(_outgrown(sized), "large")
+        if large.isEmpty():
+            return pieces
+        split = _halves(pieces.join(large, "key", "left_semi"))
+        before, pieces = pieces, saved(pieces.join(large, "key", "left_anti").unionByName(split), "halves")
+        drop_saved(before)
+        drop_saved(large)
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)`` -> one row per row: doc_id, n_bytes, spans (removed byte ranges, end exclusive), kept.
 
     A byte goes if a string of :data:`MIN_BYTES` bytes covers it that starts anywhere else too, in the
     same or another row; all copies go. A null text counts as empty. Repeated rows are rows of their
     own, so their long texts go entirely; shorter texts never lose a byte. An empty table gives
-    an empty one. Written tables are deleted but for the texts and what the lazy result reads.
+    an empty one. Texts are named by their MD5, and equal ones are cut into pieces once, with their
+    number as weight.
     """
-    texts = saved(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"),
-                              F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")).alias("body")), "bodies")
-    long = texts.where(F.octet_length("body") >= MIN_BYTES).select("row", "body")
-    found = saved(long.mapInPandas(_anchored, "row long, first long, last long, up long, key long"), "anchors")
+    body = F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary"))
+    texts = docs.select("doc_id", body.alias("body")).withColumn("text_name", F.unhex(F.md5("body")))
+    long = texts.where(F.octet_length("body") >= MIN_BYTES).select("text_name", "body")
+    found = saved(long.mapInPandas(_anchored, "text_name binary, first long, last long, up long, key long"), "anchors")
     shared = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    listed = (found.join(shared, "key").groupBy("row")
-              .agg(F.collect_list(F.struct("first", "last", "up", "key")).alias("found")))
-    uses = saved(long.join(listed, "row").mapInPandas(
-        _cut_pieces, "row long, first long, up long, key long, name binary, part binary"), "pieces")
+    listed = (found.join(shared, "key").groupBy("text_name")
+              .agg(F.collect_set(F.struct("first", "last", "up", "key")).alias("found")))
+    uses = saved(long.groupBy("text_name").agg(F.first("body").alias("body"), F.count(F.lit(1)).alias("copies"))
+                 .join(listed, "text_name").mapInPandas(
+                     _cut_pieces, "text_name binary, copies long, first long, up long, key long, name binary, size long, part binary"),
+                 "pieces")
     drop_saved(found)
-    pieces = (uses.groupBy("key", "name").agg(F.max("part").alias("part"), F.first("up").alias("up"), F.count(F.lit(1)).alias("weight"))
-              .select(F.col("key").alias("from_key"), F.col("name").alias("from_name"), "key", "name", "part", "up",
-                      F.lit(0).cast("long").alias("shift"), "weight", F.lit(0).cast("long").alias("low"), F.lit(512).cast("long").alias("high")))
-    pieces = saved(pieces, "distinct-pieces")
-    while True:
-        sizes = (pieces.select("key", "name", F.octet_length("part").alias("size"), "low", "high").distinct()
-                 .groupBy("key", "low", "high").agg(F.sum("size").alias("size")))
-        large = saved(sizes.where(f"size > {TRANSFORM_BYTES} and high - low > 1").select("key"), "large")
-        if large.isEmpty():
-            break
-        split = _halves(pieces.join(large, "key", "left_semi"))
-        before, pieces = pieces, saved(pieces.join(large, "key", "left_anti").unionByName(split), "distinct-pieces")
-        drop_saved(before)
-    merged = pieces.groupBy("key", "name").agg(F.max("part").alias("part"), F.sum("weight").alias("weight"))
-    spans = (merged.repartition("key").sortWithinPartitions("key")
-             .mapInPandas(_expanded, "key long, name binary, spans array<long>").where("size(spans) > 0"))
+    large = saved(_outgrown(uses), "large")
+    halved = _small_enough(uses, large)
+    columns = ("key", "name", "part", "copies")
+    merged = (uses.join(large, "key", "left_anti").select(*columns).unionByName(halved.select(*columns))
+              .repartition("key").groupBy("key", "name").agg(F.max("part").alias("part"), F.sum("copies").alias("weight")))
+    spans = saved(merged.sortWithinPartitions("key")
+                  .mapInPandas(_expanded, "key long, name binary, spans array<long>").where("size(spans) > 0"), "spans")
     # back to the pieces as cut from the texts, and from these to the texts
-    named = saved(spans.join(pieces.select("key", "name", "from_key", "from_name", "shift"), ["key", "name"])
-                  .select("from_key", "from_name", F.expr("transform(spans, x -> x + shift)").alias("spans")), "spans")
-    hits = (uses.select("row", "first", F.col("key").alias("from_key"), F.col("name").alias("from_name"))
-            .join(named, ["from_key", "from_name"])
-            .groupBy("row").agg(F.flatten(F.collect_list(F.expr("transform(spans, x -> x + first)"))).alias("windows")))
-    return (texts.join(hits, "row", "left").select("doc_id", "body", "windows")
+    back = (spans.join(halved.select("key", "name", "from_key", "from_name", "shift"), ["key", "name"])
+            .select(F.col("from_key").alias("key"), F.col("from_name").alias("name"),
+                    F.expr("transform(spans, x -> x + shift)").alias("spans")))
+    hits = (uses.select("text_name", "first", "key", "name").join(spans.unionByName(back), ["key", "name"])
+            .groupBy("text_name").agg(F.flatten(F.collect_list(F.expr("transform(spans, x -> x + first)"))).alias("windows")))
+    return (texts.join(hits, "text_name", "left").select("doc_id", "body", "windows")
             .mapInPandas(_removed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, "
                                    "spans array<struct<start: bigint, end: bigint>>, kept binary"))
 
