@@ -304,7 +304,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", body.alias("body")).withColumn("text_name", F.unhex(F.md5("body")))
     long = texts.where(F.octet_length("body") >= MIN_BYTES).select("text_name", "body")
     found = saved(long.mapInPandas(_anchored, "text_name binary, first long, last long, up long, key long"), "anchors")
-    shared = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # written, so that the join below is one of two plain scans and can split a hot key
+    shared = saved(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "shared")
     listed = (found.join(shared, "key").groupBy("text_name")
               .agg(F.collect_set(F.struct("first", "last", "up", "key")).alias("found")))
     uses = saved(long.groupBy("text_name").agg(F.first("body").alias("body"), F.count(F.lit(1)).alias("copies"))
@@ -312,6 +313,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                      _cut_pieces, "text_name binary, copies long, first long, up long, key long, name binary, size long, part binary"),
                  "pieces")
     drop_saved(found)
+    drop_saved(shared)
     large = saved(_outgrown(uses), "large")
     halved = _small_enough(uses, large)
     columns = ("key", "name", "part", "copies")
