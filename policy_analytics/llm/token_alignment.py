@@ -29,6 +29,8 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 # Text bytes of a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
+# Token ends that an interval may have to be settled without halving it further.
+SHORT = 12
 
 
 class ByteTokens:
@@ -73,17 +75,29 @@ def _tokenizers(byte_path: str, piece_path: str):
     return ByteTokens(byte_path), PieceTokens(piece_path)
 
 
+def _ends(ends: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which offsets are among the ``ends``, by bisect."""
+    place = np.searchsorted(ends, at)
+    inside = place < len(ends)
+    inside[inside] = ends[place[inside]] == at[inside]
+    return inside
+
+
 def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
     """Which of the strictly increasing ``ends_a`` are in ``ends_b`` as well, as booleans.
 
     Divide and conquer: every open interval [lo, hi) of ends tries its middle, then the ends
     around it, each by a bisect in ``ends_b``; at the first cut it splits in two, and without
-    one it is a leaf.
+    one it is a leaf. Intervals of at most :data:`SHORT` ends bisect all of them at once.
     """
     cut = np.zeros(len(ends_a), bool)
     lo, hi = np.array([0]), np.array([len(ends_a)])
     while len(lo):
-        lo, hi = lo[lo < hi], hi[lo < hi]
+        short = hi - lo <= SHORT
+        size = (hi - lo)[short]
+        at = np.repeat(lo[short] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        cut[at] = _ends(ends_b, ends_a[at])
+        lo, hi = lo[~short], hi[~short]
         middle = (lo + hi) // 2
         found = np.full(len(lo), -1)
         trying = np.arange(len(lo))
@@ -93,8 +107,7 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
                 at = middle[trying] + side
                 inside = (at >= lo[trying]) & (at < hi[trying])
                 who, at = trying[inside], at[inside]
-                place = np.searchsorted(ends_b, ends_a[at])
-                hit = (place < len(ends_b)) & (ends_b[np.minimum(place, len(ends_b) - 1)] == ends_a[at])
+                hit = _ends(ends_b, ends_a[at])
                 found[who[hit]] = at[hit]
                 trying = trying[found[trying] < 0]
             step += 1
