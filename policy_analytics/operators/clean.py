@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import rules
 from ..functions.names import standardise_columns
+from ..session import together
 
 # The critical key columns per table type (rows without them are dropped).
 CRITICAL_KEYS = {
@@ -54,6 +55,7 @@ class CleanResult:
     converted: list[str] = field(default_factory=list)
     renamed: list[str] = field(default_factory=list)
     make_log: object = None
+    staged: DataFrame | None = None
 
 
 def _count_if(cond: Column) -> Column:
@@ -64,7 +66,8 @@ def convert(df: DataFrame, table_type: str, as_of: dt.date, policy: Policy = Pol
     """Standardised frame with converted columns and metric expressions.
 
     Returns ``(frame, converted, renamed, metrics)``; ``frame`` keeps the raw value of
-    every converted column as ``__raw_<name>`` for the audit aggregate.
+    every converted column as ``__raw_<name>`` and every parsed date as ``__parsed_<name>``;
+    ``metrics`` are the conditions whose rows the audit counts.
     """
     df, renamed = standardise_columns(df, table_type)
     types = dict((f.name, f.dataType) for f in df.schema.fields)
@@ -84,44 +87,85 @@ def convert(df: DataFrame, table_type: str, as_of: dt.date, policy: Policy = Pol
         if c in cols:
             new[c] = rules.clean_prefixed_id(c, letter, policy.strict_ids)
             converted.append(c)
-            metrics[f"{c}_invalid_before"] = _count_if(raw(c).isNotNull() & ~raw(c).cast("string").rlike(pat))
-            metrics[f"{c}_invalid_after"] = _count_if(conv(c).isNotNull() & ~conv(c).rlike(pat))
+            metrics[f"{c}_invalid_before"] = raw(c).isNotNull() & ~raw(c).cast("string").rlike(pat)
+            metrics[f"{c}_invalid_after"] = conv(c).isNotNull() & ~conv(c).rlike(pat)
     if "mandantid" in cols:
         new["mandantid"] = rules.clean_tenant("mandantid", policy.casefold_tenant)
         converted.append("mandantid")
-        metrics["mandantid_invalid_before"] = _count_if(
+        metrics["mandantid_invalid_before"] = (
             raw("mandantid").isNotNull() & ~raw("mandantid").cast("string").isin(*rules.TENANTS))
-        metrics["mandantid_invalid_after"] = _count_if(
+        metrics["mandantid_invalid_after"] = (
             conv("mandantid").isNotNull() & ~conv("mandantid").isin(*rules.TENANTS))
-    if "birthdate" in cols:
-        parsed = rules.parse_date_multi("birthdate", types["birthdate"])
-        new["birthdate"] = rules.within_dates(parsed, rules.MIN_BIRTHDATE, as_of)
-        converted.append("birthdate")
-        p = rules.parse_date_multi(raw("birthdate"), types["birthdate"])
-        metrics["birthdate_invalidated"] = _count_if(p.isNotNull() & ~p.between(F.lit(rules.MIN_BIRTHDATE), F.lit(as_of)))
-    if "date" in cols:
-        parsed = rules.parse_date_iso("date", types["date"])
-        new["date"] = rules.within_dates(parsed, rules.MIN_SERIES_DATE, as_of)
-        converted.append("date")
-        p = rules.parse_date_iso(raw("date"), types["date"])
-        metrics["date_invalidated"] = _count_if(p.isNotNull() & ~p.between(F.lit(rules.MIN_SERIES_DATE), F.lit(as_of)))
+    parsed: dict[str, Column] = {}
+    for c, parse, low in (("birthdate", rules.parse_date_multi, rules.MIN_BIRTHDATE),
+                          ("date", rules.parse_date_iso, rules.MIN_SERIES_DATE)):
+        if c in cols:
+            parsed[f"__parsed_{c}"] = parse(c, types[c])
+            new[c] = rules.within_dates(F.col(f"__parsed_{c}"), low, as_of)
+            converted.append(c)
+            metrics[f"{c}_invalidated"] = F.col(f"__parsed_{c}").isNotNull() & conv(c).isNull()
     if "surrender_value" in cols:
-        t = types["surrender_value"]
-        new["surrender_value"] = rules.parse_amount("surrender_value", t, policy.decimal_comma)
+        parsed["__parsed_surrender_value"] = rules.signed_amount("surrender_value", types["surrender_value"], policy.decimal_comma)
+        signed = F.col("__parsed_surrender_value")
+        new["surrender_value"] = F.when(signed >= 0, signed)
         converted.append("surrender_value")
-        metrics["negative_values"] = _count_if(rules.signed_amount(raw("surrender_value"), t, policy.decimal_comma) < 0)
+        metrics["negative_values"] = signed < 0
 
     frame = df.select(*[F.col(c).alias(f"__raw_{c}") for c in converted], *df.columns)
+    frame = frame.withColumns(parsed) if parsed else frame
     frame = frame.withColumns(new) if new else frame
     return frame, converted, renamed, metrics
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its scan has fewer partitions than that (parsing text is the costly part)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+# Bits of the bitmap that distinct_rows broadcasts, whatever the table's size: 131,072 words at most.
+TWIN_BITS = 1 << 23
+
+
+def distinct_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` without repeats; only rows with a suspected twin cross the network whole.
+
+    Digests of 64 bits are counted first. Those that repeat are marked in a bitmap of fixed size;
+    a row whose bit is clear has no twin and stays where it is, the others are grouped by all
+    their columns, so digests and bits that merely collide cost a shuffle but never a row.
+    ``rows`` is read twice and must be cheap to read and the same both times (a written table).
+    """
+    cols = rows.columns
+    place = F.pmod(F.xxhash64(*cols), F.lit(TWIN_BITS))
+    repeated = (rows.groupBy(F.xxhash64(*cols).alias("h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                .select(F.pmod("h", F.lit(TWIN_BITS)).alias("place")))
+    marks = F.broadcast(repeated.groupBy(F.expr("place div 64").alias("__word"))
+                        .agg(F.bit_or(F.expr("shiftleft(1L, int(place % 64))")).alias("__bits")))
+    seen = (rows.withColumn("__place", place).withColumn("__word", F.expr("__place div 64")).join(marks, "__word", "left")
+            .withColumn("__twin", F.expr("coalesce(getbit(__bits, int(__place % 64)) = 1, false)")))
+    suspected = seen.where("__twin").groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).select(*cols)
+    return seen.where(~F.col("__twin")).select(*cols).unionByName(suspected)
+
+
 def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
-                policy: Policy = Policy()) -> CleanResult:
-    """C1-C14 for one table: cleaned data plus a one-row audit record."""
+                policy: Policy = Policy(), staging: str | None = None) -> CleanResult:
+    """C1-C14 for one table: cleaned data plus a one-row audit record.
+
+    With ``staging``, a folder in shared storage, the converted rows and the audit's flags are
+    written there once, and table, audit and key histogram all read that: the raw table is read
+    and parsed a single time. Rows are then deduplicated by digest (:func:`distinct_rows`).
+    """
     original_cols = len(df.columns)
-    frame, converted, renamed, metrics = convert(df, table_type, as_of, policy)
-    out_cols = [c for c in frame.columns if not c.startswith("__raw_")]
+    if staging is not None:
+        df = _spread(df)
+    frame, converted, renamed, conditions = convert(df, table_type, as_of, policy)
+    out_cols = [c for c in frame.columns if not c.startswith(("__raw_", "__parsed_"))]
+    if staging is not None:
+        frame = frame.select(*out_cols, *[cond.alias(f"__flag_{k}") for k, cond in conditions.items()])
+        frame.write.parquet(staging)
+        frame = df.sparkSession.read.schema(frame.schema).parquet(staging)
+        conditions = {k: F.col(f"__flag_{k}") for k in conditions}
+    metrics = {k: _count_if(cond) for k, cond in conditions.items()}
     keys = [k for k in CRITICAL_KEYS.get(table_type, ()) if k in out_cols]
     key_ok = F.lit(True)
     for k in keys:
@@ -139,7 +183,9 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
         tenant_mode = conv.where(F.col(ok)).agg(F.mode("mandantid", True).alias("__mode")).scalar()
         imputed_tenant = F.coalesce("mandantid", tenant_mode)
         conv = conv.withColumn("mandantid", imputed_tenant)
-    if policy.dedupe:
+    if policy.dedupe and staging is not None:
+        data = distinct_rows(conv.where(F.col(ok)).select(*out_cols))
+    elif policy.dedupe:
         data = (conv.groupBy(*out_cols).agg(F.max(ok).alias(ok))
                 .where(F.col(ok)).select(*out_cols))
     else:
@@ -170,7 +216,8 @@ def clean_table(df: DataFrame, table_type: str, as_of: dt.date,
         return _finish_log(log, table_type, original_cols, out_cols, keys, m, metrics,
                            converted, renamed, policy)
 
-    return CleanResult(data=data, log=make_log(), converted=converted, renamed=renamed, make_log=make_log)
+    return CleanResult(data=data, log=make_log(), converted=converted, renamed=renamed, make_log=make_log,
+                       staged=frame.select(*out_cols) if staging is not None else None)
 
 
 def _finish_log(log, table_type, original_cols, out_cols, keys, m, metrics, converted, renamed, policy):
@@ -222,16 +269,14 @@ def clean_all(tables: dict[str, DataFrame | None], as_of: dt.date,
     return data, union_logs(results)
 
 
-def clean_all_results(tables: dict[str, DataFrame | None], as_of: dt.date,
-                      policy: Policy = Policy()) -> tuple[dict[str, DataFrame], dict[str, CleanResult]]:
-    """C15 with the per-table results (for logs built from written row counts)."""
-    data, results = {}, {}
-    for name, df in tables.items():
-        if df is None:
-            continue
-        results[name] = clean_table(df, name, as_of, policy)
-        data[name] = results[name].data
-    return data, results
+def clean_all_results(tables: dict[str, DataFrame | None], as_of: dt.date, policy: Policy = Policy(),
+                      staging: str | None = None) -> tuple[dict[str, DataFrame], dict[str, CleanResult]]:
+    """C15 with the per-table results (for logs built from written row counts); ``staging``: see :func:`clean_table`."""
+    present = {n: df for n, df in tables.items() if df is not None}
+    calls = [lambda n=n, df=df: clean_table(df, n, as_of, policy, f"{staging.rstrip('/')}/{n}" if staging else None)
+             for n, df in present.items()]
+    results = dict(zip(present, together(calls) if staging else [c() for c in calls], strict=True))
+    return {n: r.data for n, r in results.items()}, results
 
 
 def union_logs(results: dict[str, CleanResult], counts: dict[str, int | None] | None = None) -> DataFrame | None:

@@ -66,3 +66,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def together(calls: list) -> list:
+    """Results of independent calls that each run Spark jobs, submitted at once (one thread each)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    if not calls:
+        return []
+    inherit = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return [f.result() for f in [pool.submit(inherit(c)) for c in calls]]

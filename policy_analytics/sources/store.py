@@ -4,35 +4,41 @@ Layout under ``root`` (a folder in the shared storage the cluster names, never a
 machine-local path)::
 
     tables/<table>/version_id=<v>/part-*.parquet   data, one partition per version
+    file_index/<table>/version_id=<v>/             key range, rows and digest of every data file
     cleaning_logs/version_id=<v>/part-*.parquet    audit rows as JSON text
     data_versions/part-*.parquet                   one metadata row per version
 
 Publishing writes every data table into a fresh ``version_id=`` folder (``errorifexists``:
 a repeated id fails instead of overwriting), then the logs, and appends the metadata row
 last. The metadata row is the commit point: readers only trust listed versions, so a
-failed run leaves no visible version. Tables are written clustered by their key
-(S20: rebalanced by key and sorted), so Parquet min/max statistics prune key lookups.
+failed run leaves no visible version. Every file of a table holds one range of its key
+(S20, :mod:`.layout`), so a lookup opens only the files whose range holds the key.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_dir
+from ..functions.stats import one_row
+from ..session import shared_dir, together
+from . import layout
 
 TABLES = ("contracts", "customers", "timeseries")
-# Clustering keys per table (the reference indexes the same columns). Files are
-# grouped by the first key (a contract's rows land in one file; AQE splits a hot contract)
-# and sorted by all keys.
+# Clustering keys per table (the reference indexes the same columns). A file
+# holds one range of the first key, a hot key's rows are split by the second.
 CLUSTER_KEYS = {"contracts": ("contractid",), "customers": ("customerid",),
                 "timeseries": ("contractid", "date")}
+# Keys that one lookup may name; join the loaded table for more.
+MAX_LOOKUP_KEYS = 10_000
 
 VERSION_SCHEMA = T.StructType([
     T.StructField("version_id", T.StringType()),
@@ -61,30 +67,46 @@ def create_version_id(now: dt.datetime | None = None) -> str:
     return (now or dt.datetime.now(dt.timezone.utc)).strftime("v%Y%m%d_%H%M%S")
 
 
-def cluster(df: DataFrame, table: str) -> DataFrame:
-    """Rebalance by the table's key (AQE splits a hot key, merges small partitions),
-    then sort each file by the key so Parquet row-group min/max statistics prune lookups.
-    Unlike a range partitioning this needs no sampling pass over the input."""
-    keys = [k for k in CLUSTER_KEYS.get(table, ()) if k in df.columns]
-    if not keys:
-        return df
-    return df.hint("rebalance", keys[0]).sortWithinPartitions(*keys)
-
-
 def _table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/tables/{table}"
 
 
+def _write_table(df: DataFrame, table: str, root: str, version_id: str, mode: str,
+                 histogram: DataFrame | None, rows_per_file: int) -> None:
+    """Write one table by key range, then its file index, read off the written files."""
+    keys = CLUSTER_KEYS.get(table, ())
+    path = f"{_table_path(root, table)}/version_id={version_id}"
+    (layout.by_range(df, keys, histogram, rows_per_file).write.mode(mode)
+     .options(**layout.bloom_options(keys, df.columns, rows_per_file)).parquet(path))
+    spark = df.sparkSession
+    (layout.file_index(spark.read.schema(df.schema).parquet(path), keys).coalesce(1)
+     .write.mode(mode).parquet(_index_path(root, table, version_id)))
+
+
+def _index_path(root: str, table: str, version_id: str) -> str:
+    return f"{root.rstrip('/')}/file_index/{table}/version_id={version_id}"
+
+
+def _rows_written(spark: SparkSession, root: str, tables: list[str], version_id: str) -> dict[str, int]:
+    """Rows per table of a version, from the file indexes."""
+    index = spark.read.schema(layout.INDEX_SCHEMA).parquet(*[_index_path(root, t, version_id) for t in tables])
+    table = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3)
+    return {r["t"]: r["n"] for r in index.groupBy(table.alias("t")).agg(F.sum("rows").alias("n")).collect()}
+
+
 def publish(tables: dict[str, DataFrame | None], logs, root: str,
             notes: str = "Data cleaning pipeline run", version_id: str | None = None,
             cleaning_seconds: float | None = None, now: dt.datetime | None = None,
-            data_mode: str = "errorifexists") -> dict:
+            data_mode: str = "errorifexists", histograms: dict[str, DataFrame] | None = None,
+            rows_per_file: int = layout.ROWS_PER_FILE) -> dict:
     """Write a new version; returns id, per-table rows, durations and success.
 
     ``logs`` is a DataFrame or a function of the written row counts returning one (so the
     audit can use the counts from the written files instead of recomputing the tables).
     ``data_mode="overwrite"`` is only for re-publishing a version id that is known not to
-    be listed (left over by a failed attempt, invisible to readers).
+    be listed (left over by a failed attempt, invisible to readers). ``histograms`` gives, per
+    table, a written table with its keys (see :func:`.layout.by_range`); without one the table
+    itself is computed for the histogram too.
     """
     start = time.perf_counter()
     spark = next(df for df in tables.values() if df is not None).sparkSession
@@ -92,21 +114,17 @@ def publish(tables: dict[str, DataFrame | None], logs, root: str,
     counts: dict[str, int | None] = {}
     names: dict[str, str | None] = {}
     try:
-        for t in TABLES:
-            df = tables.get(t)
-            if df is None:
-                counts[t], names[t] = None, None
-                continue
-            path = f"{_table_path(root, t)}/version_id={version_id}"
-            cluster(df, t).write.mode(data_mode).parquet(path)
-            counts[t] = spark.read.parquet(path).count()          # Parquet footers only
-            names[t] = f"{t}_{version_id}"
+        there = [t for t in TABLES if tables.get(t) is not None]
+        together([lambda t=t: _write_table(tables[t], t, root, version_id, data_mode, (histograms or {}).get(t), rows_per_file)
+                  for t in there])
+        counts = dict.fromkeys(TABLES) | dict.fromkeys(there, 0) | _rows_written(spark, root, there, version_id)
+        names = {t: f"{t}_{version_id}" if t in there else None for t in TABLES}
         if callable(logs):
             logs = logs(counts)
         if logs is not None:
             log_json = logs if "log_json" in logs.columns else logs.select(
                 F.col("table_type"), F.to_json(F.struct(*[F.col(c) for c in logs.columns])).alias("log_json"))
-            log_json.write.mode(data_mode).parquet(f"{root.rstrip('/')}/cleaning_logs/version_id={version_id}")
+            log_json.coalesce(1).write.mode(data_mode).parquet(f"{root.rstrip('/')}/cleaning_logs/version_id={version_id}")
         store_seconds = round(time.perf_counter() - start, 2)
         present = [v for v in counts.values() if v is not None]
         meta = spark.createDataFrame([(
@@ -121,6 +139,33 @@ def publish(tables: dict[str, DataFrame | None], logs, root: str,
         return {"version_id": version_id, "row_counts": counts, "error": str(e), "success": False}
 
 
+def lookup(spark: SparkSession, root: str, version_id: str, table: str, keys: list[str],
+           days: tuple[dt.date, dt.date] | None = None) -> DataFrame | None:
+    """The rows of some keys (and, for a dated table, of a range of days); unknown version -> None.
+
+    Only files whose key and day range holds one of ``keys`` are opened; in them, row groups are
+    passed over by their statistics and Bloom filters. At most :data:`MAX_LOOKUP_KEYS` keys.
+    """
+    if len(keys) > MAX_LOOKUP_KEYS:
+        raise ValueError(f"{len(keys)} keys in one lookup: join load_version() for more than {MAX_LOOKUP_KEYS}")
+    whole = (load_version(spark, root, version_id) or {}).get(table)
+    if whole is None:
+        return None
+    key, *more = CLUSTER_KEYS[table]
+    wanted = F.col(key).isin(list(keys))
+    named = F.from_json(F.lit(json.dumps(sorted(set(keys)))), "array<string>")
+    held = F.exists(named, lambda k: (k >= F.col("low_key")) & (k <= F.col("high_key")))
+    if days is not None and more:
+        wanted = wanted & F.col(more[0]).between(*days)
+        held = held & (F.col("high_day") >= F.lit(days[0])) & (F.col("low_day") <= F.lit(days[1]))
+    index = spark.read.schema(layout.INDEX_SCHEMA).parquet(_index_path(root, table, version_id))
+    files = [r["file"] for r in index.where(held).select("file").collect()]     # at most layout.MAX_FILES
+    base = f"{_table_path(root, table)}/version_id={version_id}"
+    if not files:
+        return whole.where(F.lit(False))
+    return spark.read.schema(whole.schema).parquet(*[f"{base}/{f}" for f in files]).where(wanted)
+
+
 def list_versions(spark: SparkSession, root: str) -> DataFrame:
     """Versions newest first (ties by id)."""
     v = spark.read.schema(VERSION_SCHEMA).parquet(f"{root.rstrip('/')}/data_versions")
@@ -184,15 +229,59 @@ def sample_rows(spark: SparkSession, root: str, pattern: str, version_id: str, n
     return {t: df.limit(n) for t, df in tables.items() if rx.search(t)}
 
 
+def load_log(spark: SparkSession, root: str, version_id: str) -> DataFrame | None:
+    """The audit rows of a listed version as ``(table_type, log_json)``; unknown id -> None."""
+    if not is_listed(spark, root, version_id):
+        return None
+    return (spark.read.schema("table_type string, log_json string")
+            .parquet(f"{root.rstrip('/')}/cleaning_logs/version_id={version_id}"))
+
+
+def verify_version(spark: SparkSession, root: str, version_id: str) -> DataFrame | None:
+    """Per table of a listed version the rows found and whether its content is as written.
+
+    Every file's rows and digest are computed anew and held against the file index: a file that
+    is missing, altered, added or unreadable makes its table ``ok = false``.
+    """
+    meta = (spark.read.schema(VERSION_SCHEMA).parquet(f"{root.rstrip('/')}/data_versions")
+            .where(F.col("version_id") == version_id).limit(1).collect())
+    if not meta:
+        return None
+    rows = []
+    for t in TABLES:
+        if meta[0][f"{t}_table_name"] is None:
+            continue
+        try:
+            # per file one small row; the comparison itself runs in Spark
+            found = layout.file_index(spark.read.parquet(f"{_table_path(root, t)}/version_id={version_id}"),
+                                      CLUSTER_KEYS[t]).select("file", F.col("rows").alias("n"), F.col("digest").alias("d"))
+            index = spark.read.schema(layout.INDEX_SCHEMA).parquet(_index_path(root, t, version_id)).select("file", "rows", "digest")
+            n, same = index.join(found, "file", "full").agg(
+                F.coalesce(F.sum("n"), F.lit(0)).cast("long"),
+                F.coalesce(F.every(F.col("rows").eqNullSafe(F.col("n")) & F.col("digest").eqNullSafe(F.col("d"))), F.lit(True))).first()
+        except (PySparkException, Py4JJavaError) as e:
+            n, same = None, False
+            note = str(e).splitlines()[0]
+        else:
+            note = None if same else "content differs from the file index"
+        rows.append((t, n, meta[0][f"{t}_rows"], bool(same) and n == meta[0][f"{t}_rows"], note))
+    return spark.createDataFrame(rows, "table_name string, rows long, listed_rows long, ok boolean, note string")
+
+
 def verify_store(spark: SparkSession, root: str) -> DataFrame:
-    """Tables present, versions listed, newest version readable and non-empty -> ok."""
+    """Tables of the newest version, versions listed, rows found, and whether all is as published.
+
+    ``ok``: at least one version, and every table of the newest one has rows and the content that was written.
+    """
     versions = spark.read.schema(VERSION_SCHEMA).parquet(f"{root.rstrip('/')}/data_versions")
     newest = latest_version(spark, root)
-    tables = load_version(spark, root, newest) if newest else {}
-    nonempty = [df.limit(1).count() > 0 for df in (tables or {}).values()]
-    stats = versions.agg(F.count(F.lit(1)).alias("versions"))
-    return stats.select(F.lit(len(tables or {})).cast("long").alias("tables"), "versions",
-                        (F.lit(bool(nonempty) and all(nonempty)) & (F.col("versions") > 0)).alias("ok"))
+    checked = verify_version(spark, root, newest) if newest else None
+    if checked is None:
+        return spark.createDataFrame([(0, 0, 0, False)], "tables long, versions long, rows long, ok boolean")
+    return one_row(versions.agg(F.count(F.lit(1)).alias("versions")),
+                   checked.agg(F.count(F.lit(1)).alias("tables"), F.sum("rows").cast("long").alias("rows"),
+                               F.every(F.col("ok") & (F.col("rows") > 0)).alias("ok"))
+                   ).select("tables", "versions", "rows", "ok")
 
 
 def is_listed(spark: SparkSession, root: str, version_id: str) -> bool:

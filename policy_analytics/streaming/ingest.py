@@ -14,6 +14,7 @@ earlier attempt died before the commit row, overwrites the unlisted leftovers.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -33,9 +34,10 @@ def publish_batch(df: DataFrame, batch_id: int, root: str, as_of: dt.date,
     vid = version_for_batch(batch_id)
     if store.is_listed(spark, root, vid):
         return None
-    res = clean.clean_table(df, table_type, as_of)
+    res = clean.clean_table(df, table_type, as_of, staging=f"{root.rstrip('/')}/staging/{vid}-{uuid.uuid4().hex}")
     out = store.publish({table_type: res.data}, lambda counts: res.make_log(counts[table_type]), root,
-                        notes=f"stream batch {batch_id}", version_id=vid, data_mode="overwrite")
+                        notes=f"stream batch {batch_id}", version_id=vid, data_mode="overwrite",
+                        histograms={table_type: res.staged})
     if not out["success"]:
         raise RuntimeError(f"batch {batch_id} failed: {out.get('error')}")
     return out
