@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,76 +109,77 @@ def percent_of_total(count_col: str, partition: Sequence[str] = (), digits: int
 # Exact quantiles
 # --------------------------------------------------------------------------- #
 
+def _slice_of(value: Column, bounds: Column, count: int) -> Column:
+    """How many of the ``count`` ascending ``bounds`` lie at or below ``value``: a binary search of log2(count) steps."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(count.bit_length()))])
+    found = F.aggregate(steps, F.lit(0), lambda i, s: F.when(
+        (i + s <= F.size(bounds)) & (F.get(bounds, i + s - 1) <= value), i + s).otherwise(i))
+    return F.coalesce(found, F.lit(0))          # never NULL, so no join pushes a test of it below the counting
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     probs: Sequence[float], names: Sequence[str],
-                    num_partitions: int | None = None) -> DataFrame:
+                    slices: int | None = None) -> DataFrame:
     """Exact type-7 quantiles of ``value`` per ``keys`` (linear interpolation).
 
     Same numbers as ``percentile``/``median``, but no group is ever held by one task:
 
     1. value counts per ``(keys, value)`` (partial aggregation collapses repeats);
-    2. a range exchange on ``(keys, value)`` spreads even a hot group over many
-       partitions, each a contiguous slice of the sorted order;
-    3. a running count inside each ``(partition, keys)`` slice plus slice offsets from a
-       small table (one row per slice) give every distinct value its global rank range;
-    4. only the rows holding the target ranks survive, then one small ``groupBy``.
+    2. boundary values cut these into ``slices`` of about equal length: a bounded sketch
+       (``percentile_approx``) of the counted values, read as a scalar subquery when the query
+       runs. The slice is a function of the value alone, so even a hot group spreads over many
+       tasks, and any recomputation deals the values alike;
+    3. within a ``(keys, slice)`` a running count, plus the offset of the slice from a table
+       with one row per ``(keys, slice)``, gives every distinct value its ranks;
+    4. only the slices and then the rows holding the target ranks survive, then one small ``groupBy``.
+
+    The values cross the network twice: to be counted and to be ranked. Nothing runs while the
+    plan is built. ``slices`` defaults to four per shuffle partition, 20,000 at most. NULL keys
+    are groups like any other.
 
     Returns ``keys + names`` with one row per group that has a non-null value.
     """
     keys = list(keys)
-    v = F.col(value)
-    base = df.select(*keys, value).where(v.isNotNull() & ~F.isnan(v))
-    vc = base.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    parts = [num_partitions] if num_partitions else []
-    ordered = (vc.repartitionByRange(*parts, *keys, value)
-               .withColumn("_pid", F.spark_partition_id()))
-    w_local = (Window.partitionBy("_pid", *keys).orderBy(value)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ordered = ordered.withColumn("_hi", F.sum("_c").over(w_local))
-    # Both branches below must see the same partition ids. With exchange reuse (the
-    # default) they read one shuffle; without it, fix the slices in the shared folder.
-    spark = df.sparkSession
-    if str(spark.conf.get("spark.sql.exchange.reuse", "true")).lower() != "true":
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        ordered = ordered.checkpoint(eager=True)
-
-    slices = ordered.groupBy("_pid", *keys).agg(F.max("_hi").alias("_pt"))
-    w_prev = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (slices
-              .withColumn("_off", F.coalesce(F.sum("_pt").over(w_prev), F.lit(0)))
-              .withColumn("_n", F.sum("_pt").over(Window.partitionBy(*keys))))
+    v = F.col("_v")
+    if slices is None:
+        slices = min(20_000, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    # one struct as the key: equal also where a field is NULL, in groupings and plain joins
+    key = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("all"))
+    base = df.select(key.alias("_k"), F.col(value).alias("_v")).where(v.isNotNull() & ~F.isnan(v))
+    counts = base.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # reading the count as well makes this the same exchange as the one ranked below
+    bounds = counts.agg(F.percentile_approx(F.when(F.col("_c") > 0, v), [i / slices for i in range(1, slices)], max(10_000, 10 * slices))).scalar()
+    cut = counts.withColumn("_b", bounds).withColumn("_s", _slice_of(v, F.col("_b"), slices - 1)).drop("_b")
+    up_to = Window.partitionBy("_k", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = cut.withColumn("_hi", F.sum("_c").over(up_to))
+
+    sums = cut.groupBy("_k", "_s").agg(F.sum("_c").alias("_t"))
+    before = Window.partitionBy("_k").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    sums = (sums.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+            .withColumn("_n", F.sum("_t").over(Window.partitionBy("_k"))))
     for i, q in enumerate(probs):
         pos = F.lit(1.0) + (F.col("_n") - 1) * F.lit(float(q))
-        slices = (slices.withColumn(f"_lo{i}", F.floor(pos))
-                  .withColumn(f"_up{i}", F.ceil(pos))
-                  .withColumn(f"_fr{i}", pos - F.floor(pos)))
-    slices = slices.drop("_pt")
-
-    # a NULL key is a group like any other
-    slices = slices.withColumnsRenamed({c: f"__{c}" for c in ["_pid", *keys]})
-    same = F.col("_pid") == F.col("___pid")
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    g = ordered.join(slices, same)
+        sums = (sums.withColumn(f"_lo{i}", F.floor(pos))
+                .withColumn(f"_up{i}", F.ceil(pos))
+                .withColumn(f"_fr{i}", pos - F.floor(pos)))
+
+    def in_slice(rank: str) -> Column:
+        return (F.col(rank) > F.col("_off")) & (F.col(rank) <= F.col("_off") + F.col("_t"))
+    # slices that hold a target rank, at most two per group and quantile
+    wanted = sums.where(reduce(lambda a, b: a | b, [in_slice(f"_{e}{i}") for i in range(len(probs)) for e in ("lo", "up")]))
+    g = ranked.join(wanted.drop("_t", "_n"), ["_k", "_s"])
     g = g.withColumn("_hi", F.col("_hi") + F.col("_off")).withColumn("_lo", F.col("_hi") - F.col("_c") + 1)
 
-    def holds(rank: Column) -> Column:
-        return (F.col("_lo") <= rank) & (rank <= F.col("_hi"))
-
-    keep = None
-    for i in range(len(probs)):
-        k = holds(F.col(f"_lo{i}")) | holds(F.col(f"_up{i}"))
-        keep = k if keep is None else keep | k
-    g = g.where(keep)
+    def holds(rank: str) -> Column:
+        return (F.col("_lo") <= F.col(rank)) & (F.col(rank) <= F.col("_hi"))
     aggs = []
     for i in range(len(probs)):
-        aggs += [F.max(F.when(holds(F.col(f"_lo{i}")), v)).alias(f"_a{i}"),
-                 F.max(F.when(holds(F.col(f"_up{i}")), v)).alias(f"_b{i}"),
+        aggs += [F.max(F.when(holds(f"_lo{i}"), v)).alias(f"_a{i}"),
+                 F.max(F.when(holds(f"_up{i}"), v)).alias(f"_b{i}"),
                  F.max(f"_fr{i}").alias(f"_f{i}")]
-    out = g.groupBy(*keys).agg(*aggs)
+    out = g.groupBy("_k").agg(*aggs)
     # an exact rank returns its value as is (no 0 * (b - a) term, which is NaN for infinities)
-    return out.select(*keys, *[
+    return out.select(*[F.col("_k").getField(c).alias(c) for c in keys], *[
         F.when(F.col(f"_f{i}") == 0, F.col(f"_a{i}"))
          .otherwise(F.col(f"_a{i}") + F.col(f"_f{i}") * (F.col(f"_b{i}") - F.col(f"_a{i}"))).alias(name)
         for i, name in enumerate(names)
