@@ -2,7 +2,7 @@
 
 Scalar checks of a table are fused into one aggregate; duplicate checks are grouped
 counts (partial aggregation, so a repeated key is combined map-side); referential
-checks are semi / anti joins on distinct keys. Example lists are ``orderBy + limit``
+checks are bit arithmetic on key sets (:mod:`.keysets`). Example lists are ``orderBy + limit``
 (top-k per partition, never a full gather).
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions import rules
 from ..functions.stats import one_row, rnd
+from . import keysets
 
 # Column-name pattern of value columns checked for negatives, the id
 # patterns per id column, number of examples shown, and the age window of the stats.
@@ -176,60 +177,50 @@ def numeric_profile(df: DataFrame, table: str, digits: int | None = 2) -> DataFr
 
 # ------------------------------------------------------------------ referential checks
 
-def _keys(df: DataFrame, col: str) -> DataFrame:
-    return df.where(F.col(col).isNotNull()).select(col).distinct()
-
-
 def key_counts(contracts: DataFrame, customers: DataFrame, series: DataFrame) -> DataFrame:
     """Q16: distinct non-null keys per table."""
     return _union([
-        _keys(contracts, "contractid").agg(F.lit("contracts").alias("table_name"), F.count(F.lit(1)).alias("distinct_keys")),
-        _keys(customers, "customerid").agg(F.lit("customers").alias("table_name"), F.count(F.lit(1)).alias("distinct_keys")),
-        _keys(series, "contractid").agg(F.lit("timeseries").alias("table_name"), F.count(F.lit(1)).alias("distinct_keys")),
-    ])
+        keysets.key_set(df, key).agg(F.lit(name).alias("table_name"), *keysets.size("bits")).withColumnRenamed("bits", "distinct_keys")
+        for name, df, key in (("contracts", contracts, "contractid"), ("customers", customers, "customerid"),
+                              ("timeseries", series, "contractid"))])
 
 
-def _contract_links(contracts: DataFrame, customers: DataFrame, series: DataFrame) -> DataFrame:
-    """One row per distinct contract with flags: has a customer, has a series.
+def _with_customer(contracts: DataFrame, customers: DataFrame) -> DataFrame:
+    """The contracts that have a customer, as a key set.
 
     When customers carry ``contractid`` (the reference's layout) a contract has customer
     data if its id appears there; otherwise through ``customerid``.
     """
-    base = _keys(contracts, "contractid")
     if "contractid" in customers.columns:
-        with_cust = _keys(customers, "contractid")
-    else:
-        c = contracts.where(F.col("contractid").isNotNull()).select("contractid", "customerid")
-        with_cust = c.join(_keys(customers, "customerid"), "customerid", "left_semi").select("contractid").distinct()
-    with_ts = _keys(series, "contractid")
-    return (base.join(with_cust.withColumn("_cust", F.lit(True)), "contractid", "left")
-            .join(with_ts.withColumn("_ts", F.lit(True)), "contractid", "left"))
+        return keysets.key_set(customers, "contractid")
+    links = contracts.where(F.col("contractid").isNotNull()).select("contractid", "customerid")
+    return keysets.key_set(keysets.having(links, "customerid", keysets.key_set(customers, "customerid")), "contractid")
 
 
 def key_coverage(contracts: DataFrame, customers: DataFrame, series: DataFrame,
                  digits: int | None = 1) -> DataFrame:
     """Q17: contracts -> customers and contracts -> series: matched, missing, coverage %."""
-    links = _contract_links(contracts, customers, series).agg(
-        F.count(F.lit(1)).alias("contracts"),
-        F.count_if(F.col("_cust").isNotNull()).cast("long").alias("m_cust"),
-        F.count_if(F.col("_ts").isNotNull()).cast("long").alias("m_ts"))
+    links = keysets.side_by_side(keysets.key_set(contracts, "contractid"), m_cust=_with_customer(contracts, customers),
+                                 m_ts=keysets.key_set(series, "contractid")) \
+        .agg(*keysets.size("bits", "m_cust", "m_ts")).withColumnRenamed("bits", "contracts")
 
     def rel(name, m):
-        return links.select(F.lit(name).alias("relation"), "contracts", F.col(m).alias("matched"),
-                            (F.col("contracts") - F.col(m)).alias("missing"),
-                            rnd(F.try_divide(100.0 * F.col(m), F.col("contracts")), digits).alias("coverage_percent"))
-    return rel("contracts_to_customers", "m_cust").unionByName(rel("contracts_to_timeseries", "m_ts"))
+        return F.struct(F.lit(name).alias("relation"), "contracts", F.col(m).alias("matched"),
+                        (F.col("contracts") - F.col(m)).alias("missing"),
+                        rnd(F.try_divide(100.0 * F.col(m), F.col("contracts")), digits).alias("coverage_percent"))
+    return links.select(F.inline(F.array(rel("contracts_to_customers", "m_cust"), rel("contracts_to_timeseries", "m_ts"))))
 
 
 def missing_customers(contracts: DataFrame, customers: DataFrame) -> DataFrame:
-    """Q18: contracts whose customer is absent from customers."""
-    return (contracts.where(F.col("contractid").isNotNull()).select("contractid", "customerid")
-            .join(_keys(customers, "customerid"), "customerid", "left_anti").distinct())
+    """Q18: contracts whose customer is absent from customers (or that name none)."""
+    links = contracts.where(F.col("contractid").isNotNull()).select("contractid", "customerid")
+    return keysets.having(links, "customerid", keysets.key_set(customers, "customerid"), inside=False).distinct()
 
 
 def missing_series(contracts: DataFrame, series: DataFrame) -> DataFrame:
     """Q18: contracts without any series row."""
-    return _keys(contracts, "contractid").join(_keys(series, "contractid"), "contractid", "left_anti")
+    return keysets.members(keysets.minus(keysets.key_set(contracts, "contractid"), keysets.key_set(series, "contractid")),
+                           "contractid")
 
 
 def orphan_keys(contracts: DataFrame, customers: DataFrame, series: DataFrame) -> DataFrame:
@@ -239,13 +230,12 @@ def orphan_keys(contracts: DataFrame, customers: DataFrame, series: DataFrame) -
     ``customerid``.
     """
     link = "contractid" if "contractid" in customers.columns else "customerid"
-    oc = _keys(customers, link).join(_keys(contracts, link), link, "left_anti").withColumnRenamed(link, "key")
-    ot = _keys(series, "contractid").join(_keys(contracts, "contractid"), "contractid", "left_anti") \
-        .withColumnRenamed("contractid", "key")
+    oc = keysets.minus(keysets.key_set(customers, link), keysets.key_set(contracts, link))
+    ot = keysets.minus(keysets.key_set(series, "contractid"), keysets.key_set(contracts, "contractid"))
 
-    def summary(df, kind):
-        n = df.agg(F.count(F.lit(1)).alias("orphans"))
-        ex = df.orderBy("key").limit(DUPLICATE_EXAMPLES).agg(_examples("key", "examples"))
+    def summary(found, kind):
+        n = found.agg(*keysets.size("bits")).withColumnRenamed("bits", "orphans")
+        ex = keysets.members(found, "key").orderBy("key").limit(DUPLICATE_EXAMPLES).agg(_examples("key", "examples"))
         return one_row(n, ex).select(F.lit(kind).alias("kind"), "orphans", "examples")
     return summary(oc, "customers_without_contract").unionByName(summary(ot, "timeseries_without_contract"))
 
