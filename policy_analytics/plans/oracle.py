@@ -11,7 +11,9 @@ AS_OF = "DATE '2024-12-31'"
 FIXTURE_CTES = f"""
 contracts AS (
   SELECT concat('V', CAST(p_partkey AS VARCHAR)) AS contractid,
-         concat('K', CAST(p_partkey % 1200 AS VARCHAR)) AS customerid,
+         CASE WHEN p_partkey % 23 = 5 THEN NULL
+              WHEN p_partkey % 31 = 9 THEN concat('K', CAST(p_partkey + 100000000 AS VARCHAR))
+              ELSE concat('K', CAST(p_partkey * 3 // 4 AS VARCHAR)) END AS customerid,
          CASE WHEN p_size % 3 = 0 THEN 'LV2' ELSE 'LV1' END AS mandantid
   FROM part),
 customers AS (
@@ -20,12 +22,12 @@ customers AS (
               ELSE CAST(DATE '1930-01-01' + CAST((c_custkey * 7919) % 27000 AS INTEGER) AS DATE) END AS birthdate
   FROM customer),
 timeseries AS (
-  SELECT concat('V', CAST(l_partkey AS VARCHAR)) AS contractid,
+  SELECT concat('V', CAST(l_partkey + CASE WHEN l_partkey % 29 = 3 THEN 100000000 ELSE 0 END AS VARCHAR)) AS contractid,
          CAST(l_shipdate AS DATE) AS date,
          CASE WHEN l_linenumber = 7 AND l_quantity < 5 THEN NULL
               ELSE 10000 + 4 * date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) + 2 * l_quantity
          END AS surrender_value
-  FROM lineitem),
+  FROM lineitem WHERE l_partkey % 19 <> 7),
 daily_rates AS (
   SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) / 100000 - 1 AS interest_rate
   FROM orders GROUP BY CAST(o_orderdate AS DATE)),

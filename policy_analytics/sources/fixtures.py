@@ -31,10 +31,13 @@ def _s(c) -> F.Column:
 # ----------------------------------------------------------------- clean views
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One contract per part; some name no customer, some one that does not exist."""
     p = table(spark, sf_dir, "part")
     return p.select(
         F.concat(F.lit("V"), _s(p.p_partkey)).alias("contractid"),
-        F.concat(F.lit("K"), _s(p.p_partkey % 1200)).alias("customerid"),
+        F.when(p.p_partkey % 23 == 5, F.lit(None).cast("string"))
+         .when(p.p_partkey % 31 == 9, F.concat(F.lit("K"), _s(p.p_partkey + 100000000)))
+         .otherwise(F.concat(F.lit("K"), _s(F.expr("p_partkey * 3 div 4")))).alias("customerid"),
         F.when(p.p_size % 3 == 0, F.lit("LV2")).otherwise(F.lit("LV1")).alias("mandantid"),
     )
 
@@ -50,10 +53,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    """The series of most contracts, and some of contracts that do not exist."""
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 19 != 7)
     d = li.l_shipdate.cast("date")
     return li.select(
-        F.concat(F.lit("V"), _s(li.l_partkey)).alias("contractid"),
+        F.concat(F.lit("V"), _s(li.l_partkey + F.when(li.l_partkey % 29 == 3, 100000000).otherwise(0))).alias("contractid"),
         d.alias("date"),
         F.when((li.l_linenumber == 7) & (li.l_quantity < 5), F.lit(None).cast("double"))
          .otherwise(10000 + 4 * F.datediff(d, F.lit(dt.date(1995, 1, 1))) + 2 * li.l_quantity)

@@ -15,7 +15,8 @@ from oracle_check import compare  # noqa: E402
 from policy_analytics.plans import registry  # noqa: E402
 from policy_analytics.sources.fixtures import TABLES  # noqa: E402
 
-ORACLES = E.oracle_sql()
+registry.load_all()
+ORACLES = registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +36,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    s = E.queries()[name](spark, SMOKE).toPandas()
+    s = registry.QUERIES[name](spark, SMOKE).toPandas()
     d = con.execute(ORACLES[name]).df()
     status, msg = compare(s, d)
     assert status in ("OK", "APPROX"), f"{name}: {status} {msg}"

@@ -2,10 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SMOKE
+from policy_analytics.plans import registry
 
-SIDE_EFFECT = {"snapshot_counts", "snapshot_roundtrip", "snapshot_verify", "json_records",
+registry.load_all()
+SIDE_EFFECT = {"snapshot_counts", "snapshot_roundtrip", "snapshot_verify", "snapshot_lookup", "json_records",
                "json_array_records", "csv_roundtrip"}
 
 
@@ -13,15 +14,15 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECT))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - SIDE_EFFECT))
 def test_no_python_udf_and_no_cartesian(spark, name):
-    p = plan(E.queries()[name](spark, SMOKE))
+    p = plan(registry.QUERIES[name](spark, SMOKE))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
 def test_series_scan_is_pruned(spark):
-    p = plan(E.queries()["growth"](spark, SMOKE))
+    p = plan(registry.QUERIES["growth"](spark, SMOKE))
     assert "ReadSchema: struct<l_partkey:bigint,l_linenumber:int,l_quantity:double,l_shipdate:timestamp_ntz>" in p
 
 
@@ -29,7 +30,7 @@ def test_growth_shuffles(spark):
     """Contract-day aggregate (one exchange on contract and date), then the window (one on contract)."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        p = E.queries()["volatility"](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
+        p = registry.QUERIES["volatility"](spark, SMOKE)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     ex = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
