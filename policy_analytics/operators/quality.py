@@ -247,42 +247,39 @@ def table_issues(df: DataFrame, table: str, as_of: dt.date) -> DataFrame:
     (invalid ids or 1 when all ids are missing, births out of range, unexpected tenants,
     negative values) for one table; one row.
 
-    All scalar checks are one fused aggregate; duplicates are two grouped counts and the
-    tenant domain a grouped count over the (few) unexpected values.
+    The table is read once, into its distinct rows with their counts; every number is one
+    aggregate over these: counts weighted by the repeats, repeated rows and ids as rows less
+    distinct ones (NULL is one id), unexpected tenants as distinct values.
     """
-    missing = [F.count_if(_missing(df, c)) for c in df.columns]
+    weighted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    zero = F.lit(0).cast("long")
+
+    def rows_where(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col("__n"))), zero)
+    n = F.coalesce(F.sum("__n"), zero)
+    basic = [rows_where(_missing(df, c)) for c in df.columns] + [n - F.count(F.lit(1))]
     business = []
     for col in ("contractid", "customerid"):
         if col in df.columns:
             c = F.col(col).cast("string")
             non_empty = c.isNotNull() & (c != "")
-            business.append(F.count_if(non_empty & ~c.rlike(ID_PATTERNS[col])))
+            business.append(rows_where(non_empty & ~c.rlike(ID_PATTERNS[col])))
             if col == "contractid":
                 business.append(F.when(F.count_if(non_empty) == 0, F.lit(1)).otherwise(F.lit(0)))
+                null_id = F.when(F.count_if(F.col(col).isNull()) > 0, F.lit(1)).otherwise(F.lit(0))
+                basic.append(n - F.count_distinct(col) - null_id)
     if "birthdate" in df.columns:
         b = F.col("birthdate")
-        business += [F.count_if(b > F.lit(as_of)), F.count_if(b < F.lit(rules.MIN_BIRTHDATE))]
-    business += [F.count_if(F.col(f.name) < 0) for f in df.schema.fields
+        business += [rows_where(b > F.lit(as_of)), rows_where(b < F.lit(rules.MIN_BIRTHDATE))]
+    business += [rows_where(F.col(f.name) < 0) for f in df.schema.fields
                  if isinstance(f.dataType, T.NumericType) and VALUE_NAME_PATTERN.search(f.name)]
-    zero = F.lit(0).cast("long")
-    fused = df.agg(reduce(lambda a, b: a + b, missing, zero).cast("long").alias("_m"),
-                   reduce(lambda a, b: a + b, business, zero).cast("long").alias("_b"))
-    parts = [fused,
-             df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-               .agg(F.coalesce(F.sum(F.col("_n") - 1), zero).cast("long").alias("_dr"))]
-    extra_basic, extra_business = [], []
-    if "contractid" in df.columns:
-        parts.append(df.groupBy("contractid").agg(F.count(F.lit(1)).alias("_n"))
-                     .agg(F.coalesce(F.sum(F.col("_n") - 1), zero).cast("long").alias("_di")))
-        extra_basic.append(F.col("_di"))
     if "mandantid" in df.columns:
-        parts.append(tenant_domain(df, table).agg(F.count(F.lit(1)).alias("_t")))
-        extra_business.append(F.col("_t"))
-    basic = reduce(lambda a, b: a + b, extra_basic, F.col("_m") + F.col("_dr"))
-    biz = reduce(lambda a, b: a + b, extra_business, F.col("_b"))
-    return one_row(*parts).select(F.lit(table).alias("table_name"), basic.cast("long").alias("basic_issues"),
-                                  biz.cast("long").alias("business_issues")) \
-        .withColumn("issues_found", F.col("basic_issues") + F.col("business_issues"))
+        m = F.col("mandantid")
+        business.append(F.count_distinct(F.when(~m.isin(*rules.TENANTS), m)))
+    out = weighted.agg(reduce(lambda a, b: a + b, basic, zero).cast("long").alias("basic_issues"),
+                       reduce(lambda a, b: a + b, business, zero).cast("long").alias("business_issues"))
+    return out.select(F.lit(table).alias("table_name"), "basic_issues", "business_issues",
+                      (F.col("basic_issues") + F.col("business_issues")).alias("issues_found"))
 
 
 def referential_issues(contracts: DataFrame, customers: DataFrame, series: DataFrame) -> DataFrame:
