@@ -141,12 +141,24 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     """
     keys = list(keys)
     v = F.col("_v")
-    if slices is None:
-        slices = min(20_000, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    # one struct as the key: equal also where a field is NULL, in groupings and plain joins
-    key = F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("all"))
-    base = df.select(key.alias("_k"), F.col(value).alias("_v")).where(v.isNotNull() & ~F.isnan(v))
+    base = df.select(group_key(keys), F.col(value).alias("_v")).where(v.isNotNull() & ~F.isnan(v))
     counts = base.groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    return quantiles_of_counts(counts, keys, probs, names, slices)
+
+
+def group_key(keys: Sequence[str]) -> Column:
+    """The keys as one struct ``_k``: equal also where a field is NULL, in groupings and plain joins."""
+    return (F.struct(*[F.col(c) for c in keys]) if keys else F.struct(F.lit(0).alias("all"))).alias("_k")
+
+
+def quantiles_of_counts(counts: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                        names: Sequence[str], slices: int | None = None) -> DataFrame:
+    """:func:`exact_quantiles` of values that are counted already: ``(_k, _v, _c)``, one row per
+    ``(_k, _v)``, ``_k`` by :func:`group_key`. Values with count 0 take no part."""
+    keys = list(keys)
+    v = F.col("_v")
+    if slices is None:
+        slices = min(20_000, max(64, 4 * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     # reading the count as well makes this the same exchange as the one ranked below
     bounds = counts.agg(F.percentile_approx(F.when(F.col("_c") > 0, v), [i / slices for i in range(1, slices)], max(10_000, 10 * slices))).scalar()
     cut = counts.withColumn("_b", bounds).withColumn("_s", _slice_of(v, F.col("_b"), slices - 1)).drop("_b")

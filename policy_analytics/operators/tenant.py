@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.names import require
-from ..functions.stats import percent_of_total, quantiles, rnd
+from ..functions.stats import group_key, percent_of_total, quantiles, quantiles_of_counts, rnd
 
 
 def tenant_distribution(contracts: DataFrame, digits: int | None = 1) -> DataFrame:
@@ -24,8 +24,8 @@ def tenant_distribution(contracts: DataFrame, digits: int | None = 1) -> DataFra
 
 
 def contracts_with_customers(contracts: DataFrame, customers_with_age: DataFrame) -> DataFrame:
-    """Contracts joined to ``(customerid, age, age_group)`` of customers."""
-    cust = customers_with_age.select("customerid", "age", "age_group")
+    """Contracts joined to ``(customerid, age, age_group)`` of customers (X14); the band may be absent."""
+    cust = customers_with_age.select(*[c for c in ("customerid", "age", "age_group") if c in customers_with_age.columns])
     return (contracts.join(cust, "customerid")
             .where(F.col("mandantid").isNotNull() & F.col("age").isNotNull()))
 
@@ -50,28 +50,67 @@ def tenant_age_bands(contracts: DataFrame, customers_with_age: DataFrame, digits
     return c.withColumn("percentage", percent_of_total("n", ["mandantid"], digits))
 
 
+def tenant_value_counts(timeseries: DataFrame, contracts: DataFrame) -> DataFrame:
+    """Weighted values per tenant: ``(_k, _v, _c)`` with ``_k`` = struct(mandantid).
+
+    The series is counted per ``(contractid, value)`` before tenants are joined, so the join
+    sees every distinct value of a contract once. The same aggregate gives one more row per
+    contract, with a NULL value: these rows count a tenant's contracts (``_v`` NULL). A contract
+    that is listed several times under a tenant counts its values as often, itself once.
+    """
+    counted = (timeseries.select("contractid", "surrender_value").where("contractid IS NOT NULL AND surrender_value IS NOT NULL")
+               .groupingSets([["contractid", "surrender_value"], ["contractid"]], "contractid", "surrender_value")
+               .agg(F.count(F.lit(1)).alias("n")))
+    listed = (contracts.where(F.col("mandantid").isNotNull() & F.col("contractid").isNotNull())
+              .groupBy("contractid", "mandantid").agg(F.count(F.lit(1)).alias("times")))
+    weight = F.when(F.col("surrender_value").isNull(), 1).otherwise(F.col("n") * F.col("times"))
+    return (counted.join(listed, "contractid")
+            .select(group_key(["mandantid"]), F.col("surrender_value").alias("_v"), weight.alias("_w"))
+            .groupBy("_k", "_v").agg(F.sum("_w").alias("_c")))
+
+
 def tenant_values(timeseries: DataFrame, contracts: DataFrame, digits: int | None = 2,
                   accuracy: int | None = None) -> DataFrame:
     """M4: surrender value statistics per tenant incl. exact median and quartiles.
 
-    ``accuracy`` switches the quartiles to ``percentile_approx`` (see ``stats.quantiles``).
+    Everything comes from :func:`tenant_value_counts`, so the series is read and joined once.
+    Moments are taken around the mean of the tenant's finite values, which keeps the variance
+    free of cancellation. ``accuracy`` switches the quartiles to ``percentile_approx`` (see
+    ``stats.quantiles``), which reads the joined series a second time. A tenant with NaN values
+    only has no quartiles.
     """
-    j = (timeseries.select("contractid", "surrender_value")
-         .join(contracts.select("contractid", "mandantid"), "contractid")
-         .where(F.col("mandantid").isNotNull() & F.col("surrender_value").isNotNull()))
-    v = F.col("surrender_value")
-    stats = j.groupBy("mandantid").agg(
-        F.count(F.lit(1)).alias("observations"),
-        F.countDistinct("contractid").alias("contracts"),
-        rnd(F.avg(v), digits).alias("mean_surrender_value"),
-        rnd(F.stddev_samp(v), digits).alias("std_surrender_value"),
-        rnd(F.min(v), digits).alias("min_surrender_value"),
-        rnd(F.max(v), digits).alias("max_surrender_value"),
+    counts = tenant_value_counts(timeseries, contracts)
+    v, c = F.col("_v"), F.col("_c")
+    finite = v.isNotNull() & (F.abs(v) < F.lit(float("inf")))
+    name = F.col("_k").getField("mandantid")
+    # the mean of each tenant in one map: one entry per row of the result
+    centres = (counts.groupBy(name.alias("t"))
+               .agg(F.try_divide(F.sum(F.when(finite, v * c)), F.sum(F.when(finite, c))).alias("m"))
+               .agg(F.map_from_entries(F.collect_list(F.struct("t", F.coalesce("m", F.lit(0.0)))))).scalar())
+    off = v - F.try_element_at(F.col("_m"), name)
+    n, s1, s2 = F.col("_n"), F.col("_s1"), F.col("_s2")
+    # aggregates skip the NULL values of the contract rows
+    moments = counts.withColumn("_m", centres).groupBy(name.alias("mandantid")).agg(
+        F.sum(F.when(v.isNotNull(), c)).alias("_n"), F.sum(F.when(v.isNull(), c)).alias("_contracts"),
+        F.sum(v * c).alias("_sum"), F.sum(off * c).alias("_s1"), F.sum(off * off * c).alias("_s2"),
+        F.min(v).alias("_min"), F.max(v).alias("_max"))
+    stats = moments.select(
+        "mandantid", n.alias("observations"), F.col("_contracts").alias("contracts"),
+        rnd(F.try_divide("_sum", n), digits).alias("mean_surrender_value"),
+        rnd(F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), F.try_divide(s2 - s1 * s1 / n, n - 1)))), digits).alias("std_surrender_value"),
+        rnd("_min", digits).alias("min_surrender_value"),
+        rnd("_max", digits).alias("max_surrender_value"),
     )
-    qs = quantiles(j, ["mandantid"], "surrender_value", [0.5, 0.25, 0.75],
-                   ["median_surrender_value", "q25_surrender_value", "q75_surrender_value"], accuracy)
-    qs = qs.select("mandantid", *[rnd(c, digits).alias(c) for c in qs.columns if c != "mandantid"])
-    return stats.join(qs, "mandantid")
+    probs, names = [0.5, 0.25, 0.75], ["median_surrender_value", "q25_surrender_value", "q75_surrender_value"]
+    if accuracy is None:
+        counted = counts.select("_k", "_v", F.when(v.isNotNull() & ~F.isnan(v), c).otherwise(0).alias("_c"))
+        qs = quantiles_of_counts(counted, ["mandantid"], probs, names)
+    else:
+        rows = (timeseries.select("contractid", "surrender_value").where(F.col("surrender_value").isNotNull())
+                .join(contracts.select("contractid", "mandantid"), "contractid").where(F.col("mandantid").isNotNull()))
+        qs = quantiles(rows, ["mandantid"], "surrender_value", probs, names, accuracy)
+    qs = qs.select("mandantid", *[rnd(q, digits).alias(q) for q in names])
+    return stats.join(qs, "mandantid", "left")
 
 
 def tenant_volatility(volatility: DataFrame, contracts: DataFrame, digits: int | None = 3,
