@@ -111,6 +111,74 @@ def csv_roundtrip(spark, d):
     return io.read_table(spark, f"{root}/contracts", "csv", CONTRACT_SCHEMA)
 
 
+LANDED_SCHEMA = T.StructType([T.StructField("contract_id", T.StringType()), T.StructField("datum", T.DateType()),
+                              T.StructField("rueckkaufswert", T.DoubleType())])
+
+
+def land_csv(spark, d):
+    """The raw series as CSV lines, columns not in the order of the schema; some lines lack a field, some amounts are no numbers."""
+    raw = fx.raw_timeseries(spark, d)
+    text = F.concat_ws(",", "datum", "rueckkaufswert", F.coalesce("contract_id", F.lit("")))
+    path = shared_dir(spark, f"csv/{store.uuid.uuid4().hex}")
+    amount = F.when(F.col("rueckkaufswert").startswith("EUR "), F.substring("rueckkaufswert", 5, 30)).otherwise(F.col("rueckkaufswert"))
+    lines = raw.withColumn("rueckkaufswert", amount).select(
+        F.when(F.col("datum") == "1985-01-01", F.concat_ws(",", "datum", "rueckkaufswert")).otherwise(text)
+        .alias("datum,rueckkaufswert,contract_id"))
+    # the separator does not occur, so that lines and header are written as they are
+    lines.write.option("header", "true").option("sep", "\x01").option("quote", "").csv(path)
+    return path
+
+
+LANDED = """
+landed AS (SELECT contract_id, datum, regexp_replace(rueckkaufswert, '^EUR ', '') AS amount FROM raw_timeseries),
+judged AS (SELECT contract_id, datum, amount, datum <> '1985-01-01' AND amount <> 'n/a' AS sound FROM landed)
+"""
+
+
+@register("csv_accepted", q("""
+SELECT contract_id, CAST(datum AS DATE) AS datum, CAST(amount AS DOUBLE) AS rueckkaufswert FROM judged WHERE sound""", LANDED))
+def csv_accepted(spark, d):
+    """Sound lines of a landed CSV whose header has another column order than the schema."""
+    return io.read_csv(spark, land_csv(spark, d), LANDED_SCHEMA, reject="line").where("line IS NULL").drop("line")
+
+
+@register("csv_intake_log", q("""
+SELECT 'timeseries' AS source, count(*) AS lines, count_if(sound) AS accepted, count_if(NOT sound) AS rejected FROM judged""", LANDED))
+def csv_intake_log(spark, d):
+    """Lines, accepted and rejected lines of the landed CSV."""
+    return io.intake_log({"timeseries": (io.read_csv(spark, land_csv(spark, d), LANDED_SCHEMA, reject="line"), "line")})
+
+
+def land_json(spark, d):
+    """The raw series as JSON documents of all shapes: records, arrays, keyed objects, scalars, and cut lines."""
+    raw = fx.raw_timeseries(spark, d).where("contract_id IS NOT NULL")
+    one = F.to_json(F.struct("contract_id", "datum", "rueckkaufswert"))
+    other = F.to_json(F.struct(F.col("contract_id").alias("Contract ID"), F.col("datum").alias(" DATE"), F.col("rueckkaufswert").alias("Surrender-Value")))
+    line = (F.when(F.col("datum") == "1985-01-01", F.substring(one, 1, 30))
+            .when(F.col("rueckkaufswert") == "n/a", F.lit('["n/a"]'))
+            .when(F.col("rueckkaufswert") == "-1.00", F.lit("-1.00"))
+            .when(F.col("rueckkaufswert") < "EUR 2", F.concat(F.lit("["), one, F.lit(","), other, F.lit("]")))
+            .when(F.col("rueckkaufswert") < "EUR 3", F.concat(F.lit('{"a":'), other, F.lit("}")))
+            .otherwise(other))
+    path = shared_dir(spark, f"json/{store.uuid.uuid4().hex}")
+    raw.select(line.alias("value")).write.text(path)
+    return path
+
+
+@register("json_shapes", q("""
+SELECT NULL AS contractid, NULL AS date, 'n/a' AS surrender_value, count(*) AS n FROM r WHERE sound AND rueckkaufswert = 'n/a' HAVING count(*) > 0
+UNION ALL SELECT NULL, NULL, '-1', count(*) FROM r WHERE sound AND rueckkaufswert = '-1.00' HAVING count(*) > 0
+UNION ALL SELECT NULL, NULL, 'bad', count(*) FROM r WHERE NOT sound HAVING count(*) > 0
+UNION ALL SELECT contract_id, datum, rueckkaufswert, CAST(sum(CASE WHEN rueckkaufswert < 'EUR 2' THEN 2 ELSE 1 END) AS BIGINT)
+FROM r WHERE sound AND rueckkaufswert LIKE 'EUR %' GROUP BY ALL""", """
+r AS (SELECT *, datum <> '1985-01-01' AS sound FROM raw_timeseries WHERE contract_id IS NOT NULL)"""))
+def json_shapes(spark, d):
+    """S3: records, arrays, keyed objects and scalars under several field names, with how often each row occurs; malformed lines counted."""
+    rows = io.read_json_shapes(spark, land_json(spark, d), corrupt="line")
+    return (rows.withColumn("surrender_value", F.when(F.col("line").isNotNull(), F.lit("bad")).otherwise(F.col("surrender_value")))
+            .groupBy("contractid", "date", "surrender_value").agg(F.count(F.lit(1)).alias("n")))
+
+
 @register("source_profile", q("""
 SELECT 'contracts' AS source, count(*) AS rows, CAST(3 AS BIGINT) AS columns, count(*) > 0 AS present
 FROM raw_contracts

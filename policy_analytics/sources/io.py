@@ -7,13 +7,14 @@ landed as Parquet / CSV / JSON and read here with explicit schemas.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import rules
-from ..functions.names import standardise_columns
+from ..functions.names import ALIASES, standardise_columns
 
 SERIES_RECORD = T.StructType([
     T.StructField("contract_id", T.StringType()),
@@ -24,7 +25,12 @@ SERIES_RECORD = T.StructType([
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | None = None, **options) -> DataFrame:
-    """Scan a landed table (``SELECT *``); CSV/JSON need a schema or a header."""
+    """Scan a landed table (``SELECT *``); CSV/JSON need a schema or a header.
+
+    CSV with a schema goes through :func:`read_csv` and fails on a bad line.
+    """
+    if fmt == "csv" and schema is not None and str(options.get("header", "true")).lower() == "true":
+        return read_csv(spark, path, schema, **options)
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)
@@ -33,6 +39,44 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return r.options(**options).load(path)
 
 
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, reject: str | None = None, **options) -> DataFrame:
+    """CSV with a header, read by column name, no line lost and no value nulled unseen.
+
+    The columns of ``schema`` may stand in any order in the files, among others, which are
+    left out. A column that the header lacks is an error when the frame is built, and a file whose header
+    differs from the first one's is an error when it is read. Lines with missing or surplus
+    fields or unreadable values fail the read; with ``reject`` they are kept instead, with
+    their text in a column of that name (null for sound lines). Empty fields are NULL, not bad.
+    """
+    options = {**options, "header": "true"}
+    header = spark.read.options(**options).csv(path).columns          # reads the first line of one file
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path}: header {header} lacks {missing}")
+    if reject is not None and reject in header:
+        raise ValueError(f"{path}: column {reject!r} is in the header")
+    types = {f.name: f.dataType for f in schema.fields}
+    by_header = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    reader = spark.read.options(**options, enforceSchema="false", columnPruning="false")
+    names = [f.name for f in schema.fields]
+    # true for every row, and needs every declared column: the reader converts only what is needed,
+    # and a bad value in a column that a query leaves out would pass
+    read_whole = F.xxhash64(*names) >= F.lit(-(1 << 63))
+    if reject is None:
+        return reader.schema(by_header).option("mode", "FAILFAST").csv(path).where(read_whole).select(*names)
+    kept = T.StructType([*by_header.fields, T.StructField(reject, T.StringType())])
+    lines = reader.schema(kept).option("columnNameOfCorruptRecord", reject).csv(path)
+    return lines.select(*names, F.when(read_whole, F.col(reject)).alias(reject))
+
+
+def intake_log(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Rows read, accepted and rejected per landed table: ``name -> (frame, its reject column)``, one aggregate each."""
+    parts = [df.agg(F.count(F.lit(1)).alias("lines"), F.count(F.when(F.col(c).isNull(), 1)).alias("accepted"),
+                    F.count(c).alias("rejected")).select(F.lit(name).alias("source"), "lines", "accepted", "rejected")
+             for name, (df, c) in tables.items()]
+    return reduce(lambda x, y: x.unionByName(y), parts)
+
+
 def typed_raw(df: DataFrame, table_type: str) -> DataFrame:
     """Reader typing of a raw table: standard names, dates and amounts typed, nothing validated.
 
@@ -88,6 +132,81 @@ def read_series_json(spark: SparkSession, path: str, keyed: bool = False,
             .where(F.col("r").isNotNull() | F.col(corrupt).isNotNull()).select("r.*", corrupt))
 
 
+def read_json_shapes(spark: SparkSession, path: str, table_type: str = "timeseries", whole_file: bool = False,
+                     corrupt: str | None = None) -> DataFrame:
+    """S3: JSON of any of the landed shapes, even mixed, as the standard columns of ``table_type`` (strings).
+
+    Every line (with ``whole_file`` every file) is one JSON document, parsed as VARIANT:
+
+    * an array: each element is a row;
+    * an object with a known field name: one row;
+    * any other object: keyed rows, each value a row;
+    * a scalar, alone, as an element or under a key: a row with only the column ``value``, or
+      what the alias table makes of it. ``null`` gives no row, an empty array or object neither.
+
+    Field names follow C1 and C2 (``Contract_ID``, ``datum``, ...); unknown fields are left
+    out, nested fields keep their JSON text. Two fields of one row that mean one column raise, as in C2.
+    Malformed documents fail the read; with ``corrupt`` their text is kept in a column of that
+    name (null for sound rows). An element that is itself an array is malformed; each counts.
+    """
+    aliases: dict[str, list[str]] = {}
+    for name, target in ALIASES[table_type].items():
+        aliases.setdefault(target, []).append(name)
+    scalar_column = ALIASES[table_type].get("value", "value")
+    columns = [*aliases, *([] if scalar_column in aliases else [scalar_column])]
+    raw = spark.read.text(path, wholetext=whole_file).where(F.trim("value") != "")
+    doc = raw.select(F.col("value").alias("line"), F.try_parse_json("value").alias("doc"))
+    doc = doc.withColumn("kind", _kind("doc"))
+    entries = F.try_variant_get("doc", "$", "map<string,variant>")
+    known = F.exists(F.map_keys(entries), lambda k: _normalised(k).isin(*ALIASES[table_type]))
+    elements = (F.when(F.col("kind") == "array", F.try_variant_get("doc", "$", "array<variant>"))
+                .when((F.col("kind") == "object") & ~known, F.map_values(entries))
+                .when(F.col("kind") == "null", F.array().cast("array<variant>"))
+                .when(F.col("kind").isNotNull(), F.array("doc")))
+    rows = doc.select("line", "kind", F.explode_outer(elements).alias("e"))
+    rows = rows.where(F.col("kind").isNull() | F.col("e").isNotNull()).withColumn("of", _kind("e"))
+    rows = rows.where(F.col("of").isNull() | (F.col("of") != "null"))
+    bad = F.col("of").isNull() | (F.col("of") == "array")
+    named = F.transform(F.map_entries(F.when(F.col("of") == "object", F.try_variant_get("e", "$", "map<string,variant>"))),
+                        lambda p: F.struct(_normalised(p["key"]).alias("k"), p["value"].alias("v")))
+    rows = rows.withColumn("named", named)
+    out = []
+    for c in columns:
+        found = _fields_named("named", aliases.get(c, [c]))
+        text = _text(F.get(found, F.lit(0))["v"])
+        value = (F.when(F.size(found) > 1, F.raise_error(F.concat(F.lit(f"several fields mean {c!r}: "), F.substring("line", 1, 200))).cast("string"))
+                 .otherwise(text))
+        if c == scalar_column:
+            value = F.when(F.col("of") == "object", value).when(~bad, _text(F.col("e")))
+        out.append(value.alias(c))
+    if corrupt is None:
+        stop = F.when(bad, F.raise_error(F.concat(F.lit("malformed JSON: "), F.substring("line", 1, 200))).cast("boolean"))
+        return rows.where(F.coalesce(stop, F.lit(True))).select(*out)
+    return rows.select(*out, F.when(bad, F.col("line")).alias(corrupt))
+
+
+def _fields_named(fields: str, names: list[str]) -> Column:
+    return F.filter(fields, lambda p: p["k"].isin(*names))
+
+
+def _kind(v) -> Column:
+    """``object``, ``array``, ``null`` or ``scalar``; NULL for no document."""
+    s = F.schema_of_variant(v)
+    return (F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array")
+            .when(s == "VOID", "null").when(s.isNotNull(), "scalar"))
+
+
+def _text(v) -> Column:
+    """A variant as text: scalars as they are, nested values as JSON, JSON null as NULL."""
+    return F.coalesce(F.try_variant_get(v, "$", "string"), F.when(_kind(v).isin("object", "array"), F.to_json(v)))
+
+
+def _normalised(name: Column) -> Column:
+    """:func:`normalise_name` as a column."""
+    s = F.regexp_replace(F.lower(F.trim(name)), "[^a-z0-9_]", "_")
+    return F.regexp_replace(F.regexp_replace(s, "_{2,}", "_"), "_$", "")
+
+
 def write_series_json(df: DataFrame, path: str, keyed: bool = False, key: str = "row_id") -> None:
     """Write records as JSON lines (or keyed objects ``{"<key>": {record}}``)."""
     if not keyed:

@@ -7,7 +7,7 @@ from policy_analytics.plans import registry
 
 registry.load_all()
 SIDE_EFFECT = {"snapshot_counts", "snapshot_roundtrip", "snapshot_verify", "snapshot_lookup", "json_records",
-               "json_array_records", "csv_roundtrip"}
+               "json_array_records", "csv_roundtrip", "csv_accepted", "csv_intake_log", "json_shapes"}
 
 
 def plan(df):
