@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import require
 from ..functions.stats import bin_left_closed, percent_of_total, rnd
@@ -38,12 +39,20 @@ def classify_age_groups(customers: DataFrame, as_of: dt.date,
                         labels: Sequence[str] = DEFAULT_LABELS) -> DataFrame:
     """A2/A3: keep rows with a birthdate; add ``age`` and left-closed ``age_group``.
 
-    Bands are ``[0, b1), [b1, b2), ..., [bk, inf)``; a negative age has no band.
+    Bands are ``[0, b1), [b1, b2), ..., [bk, inf)``; a negative age has no band. A column
+    that is no date is an error when the frame is built; rows of which none has a birthdate are an
+    error when it is read (one matching row ends that search). An empty table gives an empty result.
     """
     require(customers, ["birthdate"], "customers")
+    kind = customers.schema["birthdate"].dataType
+    if not isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise TypeError(f"birthdate must be a date, not {kind.simpleString()}")
     if len(labels) != len(breaks) + 1:
         raise ValueError(f"{len(breaks)} breaks need {len(breaks) + 1} labels")
-    return (customers.where(F.col("birthdate").isNotNull())
+    born = F.col("birthdate").isNotNull()
+    any_born = customers.where(born).select(F.lit(True).alias("found")).limit(1).scalar()
+    none_born = F.when(any_born.isNull(), F.raise_error(F.lit("no customer has a valid birthdate")).cast("boolean"))
+    return (customers.where(F.when(born, True).otherwise(F.coalesce(none_born, F.lit(False))))
             .withColumn("age", age_years("birthdate", as_of))
             .withColumn("age_group", bin_left_closed("age", band_breaks(breaks), labels)))
 

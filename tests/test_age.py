@@ -36,3 +36,18 @@ def test_custom_bands_need_matching_labels(spark):
     except ValueError:
         return
     raise AssertionError("expected ValueError")
+
+
+def test_unusable_birthdates_are_errors(spark):
+    import pytest
+    as_of = dt.date(2024, 12, 31)
+    text = spark.createDataFrame([("K1", "1950-01-01")], "customerid string, birthdate string")
+    with pytest.raises(TypeError, match="birthdate must be a date"):
+        age.classify_age_groups(text, as_of)
+    schema = "customerid string, birthdate date"
+    none = spark.createDataFrame([("K1", None), ("K2", None)], schema)
+    with pytest.raises(Exception, match="no customer has a valid birthdate"):
+        age.classify_age_groups(none, as_of).collect()
+    assert age.classify_age_groups(spark.createDataFrame([], schema), as_of).collect() == []
+    some = spark.createDataFrame([("K1", None), ("K2", dt.date(1950, 1, 1))], schema)
+    assert [r.customerid for r in age.classify_age_groups(some, as_of).collect()] == ["K2"]
