@@ -14,7 +14,7 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, saved, seeded, small_frame, table
+from .common import WORD, saved, small_frame, table
 
 # The weights of the sources in code point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -110,22 +110,25 @@ def _path(start, patterns, of_source, flow, next_copy, costs):
 
 
 def mix(docs: DataFrame, members, size, key: str = "doc_id", weights=WEIGHTS, seed: int = 9,
-        keep: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
+        keep: tuple[str, ...] = (), content=None) -> tuple[DataFrame, dict]:
     """``(key, *keep, size, copies, members)`` per row and the targets per source.
 
     ``members`` is a column with the array of a row's sources (a null entry is a source of
     its own), ``size`` a column of its words. ``copies`` is 0 to 3: every row of a pattern
     gets the whole copies of the pattern's flow, and the rest of the flow goes to rows in a
-    seeded order of the key. Rows of size 0 take no part and get one copy. The order is
+    seeded order of the key, the ``content`` (a column, for example a hash of the text) and, for rows alike in
+    all of these, a number from 0. So null or repeated keys cost no row its own place, and
+    rows that share a number are interchangeable. Rows of size 0 take no part and get one copy. The order is
     cut in two levels of bins, whose sums are a bounded table per pattern; up to three
     documents that fit what is then missing close the gap. Reruns agree.
     """
     spark = docs.sparkSession
     # names of the caller's columns cannot clash below: all work columns start with "__"
-    rows = saved(docs.select(
-        F.col(key), *[F.col(c) for c in keep], size.cast("long").alias("__size"),
-        F.array_sort(members).alias("__members"), seeded(F.col(key), seed).alias("__hash"))
-        .withColumn("__pattern", F.to_json(F.transform("__members", lambda m: F.struct(m.alias("s"))))), "mix")
+    alike = [F.col(key), *[F.col(c) for c in keep], size.cast("long").alias("__size"), F.array_sort(members).alias("__members"),
+             (F.lit(0).cast("long") if content is None else content).alias("__content")]
+    rows = saved(_numbered(docs.select(*alike))
+                 .withColumn("__hash", F.xxhash64(F.col(key), "__content", "__number", F.lit(seed))).drop("__content", "__number")
+                 .withColumn("__pattern", F.to_json(F.transform("__members", lambda m: F.struct(m.alias("s"))))), "mix")
     sums = rows.groupBy("__pattern").agg(F.sum("__size").alias("words"), F.first("__members").alias("members"),
                                          F.count(F.lit(1)).alias("n")).limit(MAX_PATTERNS + 1).collect()
     if len(sums) > MAX_PATTERNS:
@@ -148,6 +151,21 @@ def mix(docs: DataFrame, members, size, key: str = "doc_id", weights=WEIGHTS, se
     return chosen, goal
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__number``, from 0 among equal rows.
+
+    Equal rows are counted per input partition, map-side, and every count is written out
+    again as its numbers: a window runs over the partitions that hold equal rows, one entry
+    each, and no task writes out more rows than a partition read.
+    """
+    names = rows.columns
+    counts = rows.groupBy(*names, F.spark_partition_id().alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    several = Window.partitionBy(*names).orderBy("__part")
+    starts = counts.withColumn("__from", F.sum("__n").over(several) - F.col("__n"))
+    spread = starts.repartition(*names, "__part")
+    return spread.select(*names, F.explode(F.sequence("__from", F.col("__from") + F.col("__n") - 1)).alias("__number"))
+
+
 def _select(rows: DataFrame, plan: DataFrame, key: str) -> DataFrame:
     """Copies per row: the base, and one more for rows whose running size in seeded order
     stays below the pattern's rest."""
@@ -204,14 +222,14 @@ def _boundary(rows: DataFrame, bin_, rest) -> DataFrame:
 
 
 def _mixed(docs: DataFrame, keep: tuple[str, ...] = ()):
-    return mix(docs, F.array(F.col("source")), words(F.col("text")), keep=keep)
+    return mix(docs, F.array(F.col("source")), words(F.col("text")), keep=keep, content=F.xxhash64("text"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``(doc_id, size, source_size, target, taken)`` per row, one source per row.
 
-    Null texts have size 0, null sources are one source. Repeated rows are rows of their
-    own; when they are the closing row they share it.
+    Null texts have size 0, null sources are one source. Repeated rows, and rows with null or
+    repeated ids, are rows of their own, taken one by one. An empty table gives an empty result.
     """
     rows, goal = _mixed(docs, keep=("source",))
     spark = docs.sparkSession
@@ -225,15 +243,20 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def sample_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the rows the mix takes, as often as it takes them, all columns kept."""
+    """Pipeline stage: the rows the mix takes, as often as it takes them, all columns kept.
+
+    Null and repeated ids and repeated rows are rows like any other; an empty table stays empty.
+    """
     names = docs.columns
-    copies = saved(_mixed(docs.withColumn("__row", F.xxhash64(*names)), keep=("__row",))[0]
-                   .groupBy("doc_id", "__row").agg(F.max("copies").alias("__copies")), "copies")
-    rows = docs.withColumn("__row", F.xxhash64(*names)).alias("d")
-    taken = rows.join(copies.select(F.col("doc_id").alias("__id"), F.col("__row").alias("__same"), "__copies"),
-                      F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__same")))
-    return (taken.where("__copies > 0").withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(names))
+    rows = docs.withColumn("__row", F.xxhash64(*names))
+    copies = saved(_mixed(rows, keep=("__row",))[0].where("copies > 0")
+                   .groupBy("doc_id", "__row").agg(F.sum("copies").alias("__copies")), "copies")
+    # equal rows are interchangeable: one of them stands for all that the mix takes of them
+    one = rows.groupBy("doc_id", "__row").agg(F.first(F.struct(*names)).alias("__one")).alias("d")
+    taken = one.join(copies.select(F.col("doc_id").alias("__id"), F.col("__row").alias("__same"), "__copies"),
+                     F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__same")))
+    return (taken.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
+            .select("__one.*"))
 
 
 def op9_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -319,3 +319,22 @@ def test_pipeline_stages(spark):
     import corpus_pipeline
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "mixing", "packing"]
     assert corpus_pipeline.run(spark, SMOKE).count() > 0
+
+
+@pytest.mark.parametrize("ids", ["null", "same", "rows"])
+def test_mix_of_null_and_repeated_ids(spark, ids):
+    # 600 rows of source b with one id, none, or equal in every column, next to sources a and c
+    text = (lambda i: "w " * 10) if ids == "rows" else (lambda i: f"n{i} " + "w " * 9)
+    hot = [(None if ids == "null" else 7, "b", text(i)) for i in range(600)]
+    rows = hot + [(1000 + i, s, f"x{i} " + "y " * 9) for s in ("a", "c") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = [mixing.mixed_documents(docs.repartition(n)).select("size", "source_size", "target", "taken").collect() for n in (3, 7)]
+    assert len(out[0]) == len(rows)
+    taken = {}
+    for r in out[0]:
+        taken[r.target] = taken.get(r.target, 0) + r.taken
+        assert 0 <= r.taken <= 3 * r.size
+    assert all(abs(t - n) <= 10 for t, n in taken.items()), taken
+    assert sorted(map(tuple, out[0])) == sorted(map(tuple, out[1]))
+    kept = mixing.sample_mix(spark, docs, SMOKE)
+    assert kept.columns == docs.columns and kept.count() == sum(r.taken for r in out[0]) // 10
