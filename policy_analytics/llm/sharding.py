@@ -9,6 +9,8 @@ left between the shards.
 
 from __future__ import annotations
 
+import bisect
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,24 +84,83 @@ def _propagate(labels: DataFrame, links: DataFrame, shards: int, seed: int) -> D
     return out
 
 
+def _closest(xs: list, ys: list | None, want: float) -> tuple[float, int, int | None] | None:
+    """Of the sorted blocks ``(size, index)``, the one of size nearest to ``want``; with ``ys``
+    the pair whose difference is nearest. Returns (difference, place in xs, place in ys)."""
+    if ys is None:
+        at = bisect.bisect_left(xs, (want, -1))
+        found = [(xs[i][0], i, None) for i in (at - 1, at) if 0 <= i < len(xs)]
+    else:
+        found, j = [], 0
+        for i, (n, _) in enumerate(xs):                      # both lists ascend, so does the partner
+            while j + 1 < len(ys) and abs(n - ys[j + 1][0] - want) <= abs(n - ys[j][0] - want):
+                j += 1
+            if ys:
+                found.append((n - ys[j][0], i, j))
+    return min(found, key=lambda f: (abs(f[0] - want), f[1]), default=None)
+
+
+def _even_moves(blocks: list[tuple[int, bool, int, int]], load: list[int], near: float) -> list[tuple[int, bool, int, int]]:
+    """Moves ``(shard, linked, bin, to)`` of blocks ``(shard, linked, bin, size)`` that even out ``load``.
+
+    A block, or the difference of two that change places, goes from a fuller to an emptier
+    shard when it brings both well between their loads, nearest to the middle first. Blocks
+    with links move only where those without cannot help. Every step makes the loads more
+    even, so it ends; it ends early when no shard is further than ``near`` from the share.
+    """
+    share = sum(load) / len(load)
+    now = [b[0] for b in blocks]
+
+    def step(lists: list[list], a: int, b: int) -> bool:
+        gap = load[a] - load[b]
+        best = _closest(lists[a], None, gap / 2)
+        if best is None or abs(best[0] - gap / 2) > near / 2:
+            pair = _closest(lists[a], lists[b], gap / 2)
+            if best is None or pair is not None and abs(pair[0] - gap / 2) < abs(best[0] - gap / 2):
+                best = pair
+        if best is None:
+            return False
+        moved, i, j = best
+        # blocks far smaller than the gap move one after another; exchanges must be worth a step
+        if not (0 if j is None else 0.05 * gap) < moved < 0.95 * gap:
+            return False
+        there = lists[a].pop(i)
+        back = None if j is None else lists[b].pop(j)
+        bisect.insort(lists[b], there)
+        now[there[1]] = b
+        if back is not None:
+            bisect.insort(lists[a], back)
+            now[back[1]] = a
+        load[a] -= moved
+        load[b] += moved
+        return True
+
+    for linked in (False, True):
+        lists: list[list] = [[] for _ in load]
+        for i, (_, tied, _, n) in enumerate(blocks):
+            if n and (linked or not tied):
+                lists[now[i]].append((n, i))
+        for xs in lists:
+            xs.sort()
+        while max(abs(n - share) for n in load) > near:
+            order = sorted(range(len(load)), key=lambda s: (load[s], s))
+            top, low = order[-1], order[0]
+            pairs = [(top, s) for s in order[:-1]] + [(s, low) for s in reversed(order[1:-1])]
+            if not any(load[x] > load[y] and step(lists, x, y) for x, y in pairs):
+                break
+    return [(s, tied, k, now[i]) for i, (s, tied, k, _) in enumerate(blocks) if now[i] != s]
+
+
 def _even_out(labels: DataFrame, shards: int, bins: int, seed: int) -> DataFrame | None:
-    """Move blocks from shards above the even share to shards below it, unlinked rows first."""
+    """Move blocks of rows between shards until these are even; the table of blocks is
+    bounded by shards x bins x 2."""
     load = _loads(labels, shards)
-    share = sum(load) / shards
-    if max(abs(n - share) for n in load) <= EVEN_TO * share:
+    near = EVEN_TO * sum(load) / shards
+    if max(abs(n - sum(load) / shards) for n in load) <= near:
         return None
-    over = [s for s in range(shards) if load[s] > share]
     bin_ = F.pmod(seeded(F.col("node"), seed), F.lit(bins)).cast("int")
-    sums = labels.where(F.col("shard").isin(over)).groupBy("shard", "linked", bin_.alias("bin")).agg(F.sum("size").alias("n"))
-    moves = []
-    for r in sorted(sums.collect(), key=lambda r: (r["linked"], -r["n"], r["bin"], r["shard"])):
-        a, n = r["shard"], int(r["n"])
-        b = min(range(shards), key=lambda s: (load[s], s))
-        if load[a] - n >= share - EVEN_TO * share and load[b] + n <= share + EVEN_TO * share or \
-                max(abs(load[a] - n - share), abs(load[b] + n - share)) < max(abs(load[a] - share), abs(load[b] - share)):
-            load[a] -= n
-            load[b] += n
-            moves.append((a, r["linked"], r["bin"], b))
+    sums = labels.groupBy("shard", "linked", bin_.alias("bin")).agg(F.sum("size").alias("n"))
+    moves = _even_moves(sorted((r["shard"], r["linked"], r["bin"], int(r["n"])) for r in sums.collect()), load, near)
     if not moves:
         return None
     plan = F.broadcast(small_frame(labels.sparkSession, moves, "shard int, linked boolean, bin int, to int"))
@@ -111,7 +172,8 @@ def balanced_labels(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
     """``nodes(node, size)`` and ``links(node, hub)`` -> ``(node, size, shard)``.
 
     Nodes that share a hub are linked; hubs with one node are left out. ``node`` is a
-    unique long. Sizes per shard end within one block of the even share. Empty inputs give
+    unique long. Sizes per shard end within ``EVEN_TO`` of the even share, or as near as blocks
+    and exchanges of two blocks come to it. Empty inputs give
     an empty result.
     """
     several = links.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
@@ -130,8 +192,8 @@ def balanced_labels(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
         labels = nxt
     for i, bins in enumerate(EVEN_BINS):
         nxt = _even_out(labels, shards, bins, seed + 101 + i)
-        if nxt is None:
-            break
+        if nxt is None:                  # even, or no block helps; other blocks may
+            continue
         drop_saved(labels)
         labels = nxt
     drop_saved(links)
