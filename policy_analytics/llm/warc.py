@@ -26,8 +26,10 @@ VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"          # of every record, so that reruns agree
 RECORDS_PER_ARCHIVE = 2000
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
+PIECE = 1 << 16              # bytes that are decompressed at once
+HAS_DIGEST = re.compile(rb"(?i)\r\nWARC-Block-Digest:")
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
-READ_SCHEMA = ("archive string, kind string, start long, end long, reason string, record_id string, record_type string, "
+READ_SCHEMA = ("archive string, kind string, start long, end long, inner_start long, inner_end long, reason string, record_id string, record_type string, "
                "refers_to string, target_uri string, payload_bytes long, payload_digest string, payload binary")
 
 
@@ -99,23 +101,37 @@ def parse_record(data: bytes, at: int) -> tuple[dict | None, int, str]:
             "payload_digest": (digest or "").removeprefix("sha1:") or None, "payload": payload}, end + 4, ""
 
 
-def _member(data: bytes, at: int) -> tuple[bytes | None, int, str]:
-    """Contents and end of the gzip member at ``at``; the checksum is checked."""
-    unzip = zlib.decompressobj(31)
-    try:
-        out = unzip.decompress(memoryview(data)[at:])
-    except zlib.error as e:
-        return None, at, f"member damaged: {e}"[:80]
-    if not unzip.eof:
-        return None, at, "member cut short"
-    return out, len(data) - len(unzip.unused_data), ""
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """Contents and end of the gzip member at ``at``; the checksum is checked.
+
+    Of a damaged or cut member the contents up to the damage, with ``at`` as end.
+    """
+    unzip, out, view = zlib.decompressobj(31), [], memoryview(data)
+    for start in range(at, len(data), PIECE):
+        piece, before = view[start:start + PIECE], unzip.copy()
+        try:
+            out.append(unzip.decompress(piece))
+        except zlib.error as e:
+            unzip = before                                # what lies before the damaged byte still counts
+            try:
+                for i in range(len(piece)):
+                    out.append(unzip.decompress(piece[i:i + 1]))
+            except zlib.error:
+                pass
+            return b"".join(out), at, f"member damaged: {e}"[:80]
+        if unzip.eof:
+            return b"".join(out), start + len(piece) - len(unzip.unused_data), ""
+    return b"".join(out), at, "member cut short"
 
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Records and gaps of an archive in order; no byte is passed over without a log.
 
-    Handles plain archives, a member per record, and members with several records. Offsets
-    are bytes of the archive. An empty archive gives nothing.
+    Handles plain archives, a member per record, and members with several records. ``start``
+    and ``end`` are bytes of the archive, ``inner_start`` and ``inner_end`` of the member's contents (null
+    outside members). Of a damaged member of several records every record whose stated block digest holds is kept;
+    the bytes of the member are a gap all the same, and so is what it held besides, as far
+    as it could be read. An empty archive gives nothing.
     """
     at, bad_from, why = 0, None, ""
     while at < len(data):
@@ -123,8 +139,9 @@ def salvage(data: bytes) -> Iterator[dict]:
         end = at
         if data[at:at + 3] == b"\x1f\x8b\x08":
             inner, end, reason = _member(data, at)
-            if inner is not None:
-                found = list(_records_of_member(inner))
+            found = list(_records_of_member(inner, checked=end == at))
+            if end == at and len(found) < 2:              # one record: its member is quarantined whole
+                found = []
         elif data[at:at + 5] == b"WARC/":
             record, end, reason = parse_record(data, at)
             found = [record] if record else []
@@ -136,26 +153,44 @@ def salvage(data: bytes) -> Iterator[dict]:
                 yield {"kind": "record", "start": at, "end": end, "reason": None} | x
             at = end
             continue
+        nxt = START.search(data, at + 1)
+        end = nxt.start() if nxt else len(data)
+        if any(x.get("kind") != "gap" for x in found):    # records of a damaged member
+            if bad_from is not None:
+                yield {"kind": "gap", "start": bad_from, "end": at, "reason": why}
+                bad_from = None
+            for x in found:
+                yield {"kind": "record", "start": at, "end": end, "reason": None} | x
         if bad_from is None:
             bad_from, why = at, reason
-        nxt = START.search(data, at + 1)
-        at = nxt.start() if nxt else len(data)
+        at = end
     if bad_from is not None:
         yield {"kind": "gap", "start": bad_from, "end": len(data), "reason": why}
 
 
-def _records_of_member(inner: bytes) -> Iterator[dict]:
-    """Records inside a member; damage inside it is a gap with the member's offsets."""
-    at = 0
+def _records_of_member(inner: bytes, checked: bool = False) -> Iterator[dict]:
+    """Records inside a member; damage inside it is a gap with its place in the contents.
+
+    With ``checked`` only records with a block digest count, which :func:`parse_record` has compared.
+    """
+    at, bad_from, why = 0, None, ""
     while at < len(inner):
         record, end, reason = parse_record(inner, at)
+        if record and checked and not HAS_DIGEST.search(inner[at:inner.find(b"\r\n\r\n", at)]):
+            record, reason = None, "no block digest in a damaged member"
         if record:
-            yield record
+            if bad_from is not None:
+                yield {"kind": "gap", "reason": why, "inner_start": bad_from, "inner_end": at}
+                bad_from = None
+            yield record | {"inner_start": at, "inner_end": end}
             at = end
             continue
-        yield {"kind": "gap", "reason": f"in a member at {at}: {reason}"}
+        if bad_from is None:
+            bad_from, why = at, f"in a member at {at}: {reason}"
         nxt = START.search(inner, at + 1)
         at = nxt.start() if nxt else len(inner)
+    if bad_from is not None:
+        yield {"kind": "gap", "reason": why, "inner_start": bad_from, "inner_end": len(inner)}
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", body: str = "html",
@@ -216,15 +251,17 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
 
 def _frame(part: list[dict], names: list[str]) -> pd.DataFrame:
     out = pd.DataFrame(part, columns=names)
-    return out.astype({"start": "Int64", "end": "Int64", "payload_bytes": "Int64"})
+    return out.astype({c: "Int64" for c in ("start", "end", "inner_start", "inner_end", "payload_bytes")})
 
 
 def op3_warc_roundtrip(spark, sf_dir: str) -> DataFrame:
-    """All ``pages`` written as WARC records and read back."""
+    """All ``pages`` written as WARC records and read back; a gap in what was just written is an error."""
     path = fresh_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
     number = lambda c: F.expr(f"try_cast(substring({c}, 10) as bigint)")
-    return read_archives(spark, path, with_payload=False).where("kind = 'record'").select(
+    lost = F.raise_error(F.concat_ws(" ", F.lit("gap in"), "archive", "start", "reason")).cast("boolean")
+    sound = F.when(F.col("kind") == "record", True).otherwise(lost)
+    return read_archives(spark, path, with_payload=False).where(sound).select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 

@@ -338,3 +338,30 @@ def test_mix_of_null_and_repeated_ids(spark, ids):
     assert sorted(map(tuple, out[0])) == sorted(map(tuple, out[1]))
     kept = mixing.sample_mix(spark, docs, SMOKE)
     assert kept.columns == docs.columns and kept.count() == sum(r.taken for r in out[0]) // 10
+
+
+def test_shards_are_even_and_few_links_are_cut(spark):
+    docs = spark.read.parquet(f"{SMOKE.replace('0.001', '0.01')}/documents.parquet")
+    rows = sharding.shard_documents(docs)
+    sizes = [r["n"] for r in rows.groupBy("shard").agg(F.sum("size").alias("n")).collect()]
+    share = sum(sizes) / 8
+    assert len(sizes) == 8
+    assert max(abs(n - share) for n in sizes) <= max(sharding.EVEN_TO * share, rows.agg(F.min("size")).first()[0]), sizes
+    labels = rows.select(F.struct("doc_id", "slot", "shard").alias("node"), "shard")
+    links = rows.select(F.struct("doc_id", "slot", "shard").alias("node"), F.struct("text_crc32", "size").alias("hub"))
+    cut = sharding.cut_share(labels, links).first()
+    assert cut.links > 0 and cut.kept >= 0.9 * cut.links, cut
+
+
+def test_even_moves_on_lumpy_blocks():
+    import random
+    r = random.Random(3)
+    blocks = [(s, r.random() < 0.3, k, r.choice([1, 40, 2500, 9000])) for s in range(8) for k in range(60 + 20 * s)]
+    load = [sum(n for s, _, _, n in blocks if s == t) for t in range(8)]
+    share = sum(load) / 8
+    moves = {(s, tied, k): to for s, tied, k, to in sharding._even_moves(blocks, list(load), 0.0002 * share)}
+    after = [0] * 8
+    for s, tied, k, n in blocks:
+        after[moves.get((s, tied, k), s)] += n
+    assert sum(after) == sum(load) and max(abs(n - share) for n in after) <= 0.0002 * share + 40
+    assert sharding._even_moves([], [0, 0], 0.0) == []

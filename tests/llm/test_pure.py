@@ -212,3 +212,28 @@ def test_predictions_are_a_distribution():
     y[:, 0] = np.arange(L.MODEL_IDS)
     logs = L.score_windows(w, t, x, y, np.ones(L.MODEL_IDS, bool))
     assert np.exp(logs).sum() == pytest.approx(1.0, abs=1e-3)
+
+
+def test_damaged_member_of_several_records_keeps_the_sound_ones():
+    import gzip
+
+    from policy_analytics.llm import warc
+    plain = [warc.build_record(f"urn:page:{i}", f"http://x/{i}", random.Random(i).randbytes(3000), None) for i in range(6)]
+    member = gzip.compress(b"".join(plain), 6, mtime=0)
+    tail = gzip.compress(warc.build_record("urn:page:99", None, b"last", None), 6, mtime=0)
+    sums = bytearray(member)
+    sums[-6] ^= 1                                            # one bad byte in the checksum
+    got = list(warc.salvage(bytes(sums) + tail))
+    assert [x["record_id"] for x in got if x["kind"] == "record"] == [f"urn:page:{i}" for i in range(6)] + ["urn:page:99"]
+    gaps = [x for x in got if x["kind"] == "gap"]
+    assert gaps[0]["start"] == 0 and gaps[-1]["end"] == len(member)
+    got = list(warc.salvage(member[:-2000] + tail))          # the end of the member is missing
+    ids = [x["record_id"] for x in got if x["kind"] == "record"]
+    assert ids[:5] == [f"urn:page:{i}" for i in range(5)] and ids[-1] == "urn:page:99" and "urn:page:5" not in ids
+    inside = [x for x in got if x["kind"] == "gap" and x.get("inner_start") is not None]
+    assert inside and inside[0]["inner_start"] == sum(map(len, plain[:5]))
+    broken = b"".join(plain[:2]) + plain[2].replace(b"WARC/1", b"XXXX/1") + b"".join(plain[3:])
+    got = list(warc.salvage(gzip.compress(broken, 6, mtime=0)))   # a sound member with a bad record
+    assert [x["record_id"] for x in got if x["kind"] == "record"] == [f"urn:page:{i}" for i in (0, 1, 3, 4, 5)]
+    gap = next(x for x in got if x["kind"] == "gap")
+    assert (gap["inner_start"], gap["inner_end"]) == (len(plain[0] + plain[1]), len(plain[0] + plain[1] + plain[2]))
