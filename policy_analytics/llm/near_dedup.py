@@ -6,19 +6,24 @@ collide when they share k-mers in the same order (small edit distance), not mere
 Colliding texts are verified: their labelled k-mers are aligned within the band that the
 threshold allows, and in-order matches over all k-mers must reach the similarity. Verified
 links become classes by connected components.
+
+Texts that meet in crowded buckets, such as those that share one very common passage, are
+paired by their rarest k-mers instead: a pair that reaches the similarity has a matched k-mer
+among the rarest fifth of both texts, under any order of k-mers, so no such pair is lost.
 """
 
 from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, drop_saved, saved, seeded, sift, table
@@ -30,8 +35,8 @@ SKETCHES = 20
 MIX_AT_ONCE = 1 << 17      # k-mer hashes that are held at once
 SIMILARITY = 0.8
 STAR_ROUNDS = 1            # rounds in which classes of a bucket are tied to a leader
-WIDE_BUCKET = 8            # pairs of classes a text; buckets with more are refined by a further sketch
-REFINEMENTS = 2            # further sketches at most
+WIDE_BUCKET = 8            # pairs across classes a text; texts of buckets with more are paired by rare k-mers
+COMMON = 1 << 18           # common k-mers that tasks hold (8 bytes each); bounds time, never results
 WORDS = re.compile(WORD)
 
 
@@ -136,50 +141,53 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> flo
 
 
 def sketch_rows(rows: DataFrame, sketches: int = SKETCHES, sample: int = SAMPLE, k: int = K) -> DataFrame:
-    """``rows(row, key, text)`` -> ``(row, key, sha, n, keys)``; no keys for texts without words."""
+    """``rows(row, key, text)`` -> ``(row, key, sha, n, keys, kmers)``; no keys for texts without words."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict[str, int] = {}
         for b in batches:
-            shas, sizes, keys = [], [], []
+            shas, sizes, keys, all_kmers = [], [], [], []
             for t in b["text"]:
                 words = normalised_words(t)
                 shas.append(hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest())
                 x = kmers(words, memo, k)
                 sizes.append(len(x))
+                all_kmers.append(x.view(np.int64))
                 keys.append(order_minhash(x, sketches, sample) if len(x) else np.zeros(0, dtype=np.int64))
-            yield b[["row", "key"]].astype({"key": "Int64"}).assign(sha=shas, n=sizes, keys=keys)
+            yield b[["row", "key"]].astype({"key": "Int64"}).assign(sha=shas, n=sizes, keys=keys, kmers=all_kmers)
 
-    return rows.select("row", "key", "text").mapInPandas(make, "row long, key long, sha binary, n long, keys array<long>")
+    return rows.select("row", "key", "text").mapInPandas(
+        make, "row long, key long, sha binary, n long, keys array<long>, kmers array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, k: int = K) -> DataFrame:
-    """``pairs(a, b)`` whose texts reach the similarity, as ``(a, b, found)``."""
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``pairs(a, b)`` of ``texts(id, kmers)`` that reach the similarity, as ``(a, b, found)``."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[str, int] = {}
-        last, left = None, None
         for batch in batches:
-            found = []
-            for a, ta, tb in zip(batch["a"], batch["ta"], batch["tb"], strict=True):
-                if a != last:
-                    last, left = a, kmers(normalised_words(ta), memo, k)
-                found.append(aligned(left, kmers(normalised_words(tb), memo, k), similarity))
-            out = batch[["a", "b"]].assign(found=found)
+            found = [aligned(ka, kb, similarity) for ka, kb in zip(batch["ka"], batch["kb"], strict=True)]
+            out = batch[["a", "b"]].assign(found=np.array(found, dtype=float))
             yield out[out["found"] > 0]
 
-    pairs = saved(pairs.select("a", "b"), "pairs")
-    one = sift(texts, "id", pairs, "a").select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    two = sift(texts, "id", pairs, "b").select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInPandas(check, "a long, b long, found double")
+    one = sift(texts, "id", pairs, "a").select(F.col("id").alias("a"), F.col("kmers").alias("ka"))
+    two = sift(texts, "id", pairs, "b").select(F.col("id").alias("b"), F.col("kmers").alias("kb"))
+    return pairs.select("a", "b").join(one, "a").join(two, "b").mapInPandas(check, "a long, b long, found double")
 
 
 def _members(sketches: DataFrame) -> DataFrame:
-    """``(key, sketch, id, n)`` of buckets with two texts or more."""
+    """``(key, id, n, mass)`` of buckets with two texts or more.
+
+    ``mass`` is the size of all buckets of a text: in a group of near copies, those that
+    changed least meet most of the others.
+    """
     rows = sketches.select("id", "n", F.posexplode("keys").alias("sketch", "key"))
-    rows = rows.withColumn("key", F.xxhash64("key", "sketch"))
+    rows = rows.select("id", "n", F.xxhash64("key", "sketch").alias("key"))
     several = saved(rows.groupBy("key").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "buckets")
-    return saved(rows.join(several, "key").select("key", "sketch", "id", "n"), "members")
+    met = saved(sift(rows, "key", several, "key").join(several, "key"), "met")
+    members = saved(met.drop("texts").join(met.groupBy("id").agg(F.sum("texts").alias("mass")), "id"), "members")
+    drop_saved(several)
+    drop_saved(met)
+    return members
 
 
 def _similar_length(similarity: float):
@@ -189,15 +197,16 @@ def _similar_length(similarity: float):
 def _star_pairs(members: DataFrame, classes: DataFrame | None, turn: int, similarity: float) -> DataFrame:
     """In every bucket, one text of each class is paired with the bucket's leader.
 
-    The leader and the class texts are least under a hash of the round, minima that are
-    combined map-side; a bucket of n texts gives at most n - 1 pairs.
+    The leader and the class texts are those of the greatest mass, then least under a hash of
+    the round; these are minima that are combined map-side. A bucket of n texts gives at most
+    n - 1 pairs, and buckets of one group mostly have the same leader.
     """
     if classes is None:
         rows = members.withColumn("cls", F.col("id"))
     else:
         rows = (members.join(classes.withColumnRenamed("node", "id"), "id", "left")
                 .withColumn("cls", F.coalesce("root", F.col("id"))))
-    pick = F.min(F.struct(seeded(F.col("id"), 600 + turn).alias("h"), F.col("id").alias("id"), F.col("n").alias("n")))
+    pick = F.min(F.struct((-F.col("mass")).alias("m"), seeded(F.col("id"), 600 + turn).alias("h"), F.col("id").alias("id"), F.col("n").alias("n")))
     per_class = saved(rows.groupBy("key", "cls").agg(pick.alias("p")), "per-class")
     lead = saved(per_class.groupBy("key").agg(F.min("p").alias("lead"), F.count(F.lit(1)).alias("k")).where("k > 1"), "lead")
     pairs = per_class.join(lead, "key").where(F.col("p.id") != F.col("lead.id")).select(
@@ -209,43 +218,131 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct()
 
 
-def _residual_pairs(members: DataFrame, classes: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+def _across(rows: DataFrame, alike) -> DataFrame:
+    """Pairs of ``rows(key, cls, id, n, ...)`` with one key and two classes that satisfy ``alike``.
+
+    Rows of one class are never joined: the classes of a key are numbered, two numbers differ
+    first in one bit, and rows meet in the node of that bit only, from its two sides. A row
+    enters as many nodes as the number of classes has bits. ``alike(column)`` takes a function
+    that gives a column of the left ("a") or right ("b") row.
+    """
+    keys = saved(rows.groupBy("key").agg(F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y").select("key"), "mixed")
+    rows = saved(sift(rows, "key", keys, "key").join(keys, "key"), "mixed-rows")
+    per_key = Window.partitionBy("key")
+    classes = rows.select("key", "cls").distinct()
+    turns = saved(classes.select("key", "cls", (F.row_number().over(per_key.orderBy("cls")) - 1).alias("turn"))
+                  .join(classes.groupBy("key").agg(F.length(F.bin(F.count(F.lit(1)) - 1)).cast("int").alias("bits")), "key"), "turns")
+    nodes = (rows.join(turns, ["key", "cls"])
+             .withColumn("bit", F.explode(F.sequence(F.lit(0), F.col("bits") - 1)))
+             .withColumn("side", F.expr("shiftright(turn, bit) & 1"))
+             .withColumn("node", F.expr("shiftright(turn, bit + 1)")))
+    nodes = saved(nodes.drop("turn", "bits", "cls"), "nodes")
+    named = [c for c in nodes.columns if c not in ("key", "bit", "node", "side")]
+
+    def side(number: int, name: str) -> DataFrame:
+        return nodes.where(F.col("side") == number).select("key", "bit", "node", *[F.col(c).alias(f"l{name}_{c}") for c in named])
+
+    pairs = side(0, "a").join(side(1, "b"), ["key", "bit", "node"]).where(alike(lambda s, c: F.col(f"l{s}_{c}")))
+    pairs = saved(_ordered(pairs.select(F.col("la_id").alias("la"), F.col("lb_id").alias("lb"))), "across")
+    for t in (keys, rows, turns, nodes):
+        drop_saved(t)
+    return pairs
+
+
+def _common_kmers(texts: DataFrame, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``most`` of the most frequent k-mers of ``texts(kmers)``, sorted, with about their numbers of texts.
+
+    k-mers are counted per Arrow batch and summed where a batch holds several. The result
+    only orders k-mers: pairs are complete whatever it holds.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                h, c = np.unique(np.concatenate(list(b["kmers"])), return_counts=True)
+                yield pd.DataFrame({"kmer": h[c > 1], "c": c[c > 1]})
+
+    counts = saved(texts.select("kmers").mapInPandas(count, "kmer long, c long").groupBy("kmer").agg(F.sum("c").alias("c")), "common")
+    width = F.length(F.bin("c"))
+    total, least = 0, 65
+    for r in sorted(counts.groupBy(width.alias("w")).count().collect(), key=lambda r: -r["w"]):
+        total += r["count"]
+        if total > most:
+            break
+        least = r["w"]
+    top = counts.where(width >= least).toPandas().sort_values("kmer")
+    drop_saved(counts)
+    return top["kmer"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
+
+
+def _rare_kmers(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], similarity: float) -> DataFrame:
+    """``texts(id, kmers)`` -> ``(id, n, rare, at)``: the rarest k-mers of each text, in that order, and their places."""
+
+    def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frequent, counts = common
+        for b in batches:
+            rare, at = [], []
+            for h in b["kmers"]:
+                c = np.zeros(len(h), dtype=np.int64)
+                if len(frequent):
+                    i = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
+                    c = np.where(frequent[i] == h, counts[i], 0)
+                first = np.lexsort((h, c))[:len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
+                rare.append(h[first])
+                at.append(first.astype(np.int32))
+            yield b[["id"]].assign(n=[len(h) for h in b["kmers"]], rare=rare, at=at)
+
+    return texts.select("id", "kmers").mapInPandas(pick, "id long, n long, rare array<long>, at array<int>")
+
+
+def _rare_pairs(wide: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of different classes in ``wide(id, cls)`` that may reach the similarity.
+
+    A pair has matches of at least s / (1 + s) of its k-mers (both counted). The first match in
+    the order of k-mers is then among the rarest of both texts, has enough k-mers behind it
+    in that order, and lies in the band.
+    """
+    chosen = sift(texts, "id", wide, "id")
+    rare = saved(_rare_kmers(chosen, _common_kmers(chosen), similarity).join(wide, "id"), "rare")
+    rows = rare.select("id", "n", "cls", F.posexplode(F.arrays_zip("rare", "at")).alias("rank", "r")).select(
+        F.col("r.rare").alias("key"), "cls", "id", "n", F.col("r.at").alias("at"), "rank")
+    need, band = similarity / (1 + similarity), (1 - similarity) / (1 + similarity)
+
+    def alike(c):
+        both = c("a", "n") + c("b", "n")
+        behind = F.least(c("a", "n") - c("a", "rank"), c("b", "n") - c("b", "rank"))
+        return ((F.least(c("a", "n"), c("b", "n")) >= similarity * F.greatest(c("a", "n"), c("b", "n")) - 1e-9)
+                & (behind >= need * both - 1e-9) & (F.abs(c("a", "at") - c("b", "at")) <= band * both + 1e-9))
+
+    pairs = _across(rows, alike)
+    drop_saved(rare)
+    return pairs
+
+
+def _residual_pairs(members: DataFrame, classes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The remaining pairs of texts of different classes in a bucket.
 
-    Buckets of one class are done. Buckets with many pairs across classes are divided by each
-    later sketch, and once more: texts that merely share a passage rarely agree in three
-    sketches, similar ones do. A pair that agrees in several sketches is paired where the
-    path of its buckets is the first of them, so once; with two or fewer, wherever it meets.
+    Buckets of one class are done. In buckets with few pairs across classes all those are
+    taken; the texts of the others are paired by their rarest k-mers, exactly.
     """
     rows = (members.join(classes.withColumnRenamed("node", "id"), "id", "left")
-            .select("key", F.array("sketch").alias("path"), "id", "n", F.coalesce("root", F.col("id")).alias("cls")))
-    brief = sketches.select("id", F.transform("keys", lambda k: F.hash(k)).alias("brief"))
-    narrow, spent = None, []
-    for turn in range(REFINEMENTS + 1):
-        # pairs across classes from the class sizes, which are combined map-side
-        c = F.col("c").cast("double")
-        mixed = saved(rows.groupBy("key", "cls").agg(F.count(F.lit(1)).alias("c"))
-                      .groupBy("key").agg(F.sum(c).alias("width"), F.sum(c * c).alias("within"), F.count(F.lit(1)).alias("k"))
-                      .where("k > 1").select("key", ((F.col("width") * F.col("width") - F.col("within")) / 2 > WIDE_BUCKET * F.col("width")).alias("wide")), "mixed")
-        rows = saved(rows.join(mixed, "key"), "mixed-rows")
-        spent += [mixed, rows]
-        done = (rows if turn == REFINEMENTS else rows.where("not wide")).drop("wide")
-        narrow = done if narrow is None else narrow.unionByName(done)
-        if turn < REFINEMENTS:
-            wide = rows.where("wide").join(sketches.select("id", "keys"), "id")
-            rows = saved(wide.select("key", "id", "n", "cls", "path", F.posexplode("keys").alias("next", "other"))
-                         .where(F.col("next") > F.element_at("path", -1))
-                         .select(F.xxhash64("key", "other", "next").alias("key"), F.array_append("path", F.col("next")).alias("path"), "id", "n", "cls"), "refined")
-            spent.append(rows)
-    narrow = saved(narrow.join(brief, "id"), "residual")
-    for t in spent:
+            .select("key", "id", "n", F.coalesce("root", F.col("id")).alias("cls")))
+    # pairs across classes from the class sizes, which are combined map-side
+    c = F.col("c").cast("double")
+    mixed = saved(rows.groupBy("key", "cls").agg(F.count(F.lit(1)).alias("c"))
+                  .groupBy("key").agg(F.sum(c).alias("width"), F.sum(c * c).alias("within"), F.count(F.lit(1)).alias("k"))
+                  .where("k > 1").select("key", ((F.col("width") * F.col("width") - F.col("within")) / 2 > WIDE_BUCKET * F.col("width")).alias("wide")), "mixed")
+    rows = saved(sift(rows, "key", mixed, "key").join(mixed, "key"), "mixed-rows")
+
+    def alike(c):
+        return F.least(c("a", "n"), c("b", "n")) >= similarity * F.greatest(c("a", "n"), c("b", "n")) - 1e-9
+
+    narrow = _across(rows.where("not wide").drop("wide"), alike)
+    wide = saved(rows.where("wide").select("id", "cls").distinct(), "wide")
+    crowded = _rare_pairs(wide, texts, similarity)
+    for t in (mixed, rows, wide):
         drop_saved(t)
-    left = narrow.select("key", "path", F.col("id").alias("la"), F.col("n").alias("na"), F.col("cls").alias("ca"), F.col("brief").alias("ba"))
-    right = narrow.select("key", F.col("id").alias("lb"), F.col("n").alias("nb"), F.col("cls").alias("cb"), F.col("brief").alias("bb"))
-    agreed = F.expr("filter(transform(arrays_zip(ba, bb), (x, i) -> if(x.ba = x.bb, i, null)), i -> i is not null)")
-    once = (F.size(agreed) <= 2) | (F.slice(agreed, F.lit(1), F.size("path")) == F.col("path"))
-    pairs = left.join(right, "key").where((F.col("ca") < F.col("cb")) & _similar_length(similarity) & once)
-    return _ordered(pairs)
+    return narrow.unionByName(crowded).distinct()
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -258,25 +355,23 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     without words are alike; null keys join the classes of their texts but never name one
     unless alone. Repeated rows count each; an empty table gives an empty result.
     """
-    staged = saved(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("key"),
-                               F.col(text).alias("text")), "staged")
-    rows = saved(sketch_rows(staged), "sketched")
+    rows = saved(sketch_rows(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("key"),
+                                         F.col(text).alias("text"))), "sketched")
     # a text is named by its least row number; the digest of its words tells texts apart
     named = saved(rows.groupBy("sha").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"),
                                           F.min("key").alias("least")), "named")
     sketches = saved(rows.where("n > 0").select(F.col("row").alias("id"), "n", "keys").join(named.select("id"), "id", "left_semi"), "sketches")
-    texts = staged.select(F.col("row").alias("id"), "text")
+    texts = rows.select(F.col("row").alias("id"), "kmers")
     members = _members(sketches)
     links, classes, tested = None, None, None
     for turn in range(STAR_ROUNDS + 1):
         pairs = (_star_pairs(members, classes, turn, similarity) if turn < STAR_ROUNDS
-                 else _residual_pairs(members, classes, sketches, similarity))
+                 else _residual_pairs(members, classes, texts, similarity))
         pairs = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = saved(verified(pairs, texts, similarity), "links")
         links = found if links is None else links.unionByName(found)
         classes = saved(components(links), "classes")
-    drop_saved(staged)
     degree = (links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links")))
     of_text = (named.join(classes.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left")
                .select("sha", "copies", "least", F.coalesce("root", "id").alias("root"), F.coalesce("links", F.lit(0).cast("long")).alias("links")))

@@ -210,6 +210,40 @@ def test_near_classes_equal_all_pairs(spark, odd_docs, no_docs):
     assert near_dedup.near_classes(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("common", [0, 1 << 18])
+def test_rare_kmers_find_all_similar_pairs(spark, monkeypatch, common):
+    """Texts around one common passage: every similar pair of two classes is proposed, no pair of one class, few others."""
+    import random
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    texts = {}
+    for i in range(90):
+        own = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(rng.choice([4, 8, 25, 60]))]
+        cut = rng.randint(0, len(own))
+        texts[i] = own[:cut] + passage + own[cut:]
+    texts[90], texts[91] = texts[0][:-1] + ["x"], passage * 2
+    memo = {}
+    x = {i: near_dedup.kmers(t, memo) for i, t in texts.items()}
+    cls = {i: 1000 if i % 3 == 0 else i for i in texts}
+    monkeypatch.setattr(near_dedup._common_kmers, "__defaults__", (common,))
+    rows = spark.createDataFrame([(i, h.view("int64").tolist()) for i, h in x.items()], "id long, kmers array<long>").repartition(3)
+    wide = spark.createDataFrame(list(cls.items()), "id long, cls long")
+    got = {(r["a"], r["b"]) for r in near_dedup._rare_pairs(wide, near_dedup.saved(rows, "texts"), 0.8).collect()}
+    want = {(a, b) for a, b in itertools.combinations(sorted(x), 2) if cls[a] != cls[b] and near_dedup.aligned(x[a], x[b]) > 0}
+    assert want and want <= got
+    assert all(cls[a] != cls[b] for a, b in got)
+    if common:
+        assert len(got) < len(x) * (len(x) - 1) / 8
+
+
+def test_across_pairs_each_two_classes_once(spark):
+    rows = [(k, c, 100 * k + i, 10) for k, classes in enumerate([[1] * 20 + [2], [3, 4, 5, 6, 7], [8] * 9, [9]]) for i, c in enumerate(classes)]
+    frame = spark.createDataFrame(rows, "key long, cls long, id long, n long")
+    got = sorted((r["a"], r["b"]) for r in near_dedup._across(frame, lambda c: c("a", "n") == c("b", "n")).collect())
+    assert got == sorted((min(x[2], y[2]), max(x[2], y[2])) for x, y in itertools.combinations(rows, 2) if x[0] == y[0] and x[1] != y[1])
+    assert near_dedup._across(frame.where("false"), lambda c: c("a", "n") == c("b", "n")).count() == 0
+
+
 def test_near_stage_keeps_clean_rows(spark, odd_docs):
     out = near_dedup.keep_one_of_each_class(spark, odd_docs, SMOKE)
     assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(map(str, [1, 3, 5, 7, None, 9]))
