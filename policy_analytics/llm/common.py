@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,21 @@ def drop_saved(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within the block, jobs hand at most ``rows`` rows at once to Python workers.
+
+    For rows that carry long lists: what a worker holds is bounded by a few of them.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A DataFrame of a bounded number of driver-side rows (JVM-side local relation)."""
     kind = T._parse_datatype_string(schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, drop_saved, saved, seeded, sift, table
+from .common import WORD, arrow_batches, drop_saved, saved, seeded, sift, table
 from .components import components
 
 K = 5                      # words in a k-mer
@@ -36,6 +36,7 @@ MIX_AT_ONCE = 1 << 17      # k-mer hashes that are held at once
 SIMILARITY = 0.8
 STAR_ROUNDS = 1            # rounds in which classes of a bucket are tied to a leader
 WIDE_BUCKET = 8            # pairs across classes a text; texts of buckets with more are paired by rare k-mers
+BATCH = 1000               # rows that a Python worker gets at once
 COMMON = 1 << 18           # common k-mers that tasks hold (8 bytes each); bounds time, never results
 WORDS = re.compile(WORD)
 
@@ -355,6 +356,11 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     without words are alike; null keys join the classes of their texts but never name one
     unless alone. Repeated rows count each; an empty table gives an empty result.
     """
+    with arrow_batches(docs.sparkSession, BATCH):
+        return _near_classes(docs, key, text, similarity)
+
+
+def _near_classes(docs: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
     rows = saved(sketch_rows(docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("key"),
                                          F.col(text).alias("text"))), "sketched")
     # a text is named by its least row number; the digest of its words tells texts apart
