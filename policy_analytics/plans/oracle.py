@@ -8,6 +8,9 @@ from __future__ import annotations
 
 AS_OF = "DATE '2024-12-31'"
 
+# lineitem rows that the ``timeseries`` view leaves out, so that some contracts have no series
+SERIES_CUT = " WHERE l_partkey % 19 <> 7"
+
 FIXTURE_CTES = f"""
 contracts AS (
   SELECT concat('V', CAST(p_partkey AS VARCHAR)) AS contractid,
@@ -27,7 +30,7 @@ timeseries AS (
          CASE WHEN l_linenumber = 7 AND l_quantity < 5 THEN NULL
               ELSE 10000 + 4 * date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) + 2 * l_quantity
          END AS surrender_value
-  FROM lineitem WHERE l_partkey % 19 <> 7),
+  FROM lineitem{SERIES_CUT}),
 daily_rates AS (
   SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) / 100000 - 1 AS interest_rate
   FROM orders GROUP BY CAST(o_orderdate AS DATE)),
@@ -66,10 +69,11 @@ raw_timeseries AS (
 """
 
 
-def q(body: str, ctes: str = "") -> str:
-    """Fixture CTEs, optional extra CTEs, then the query body."""
+def q(body: str, ctes: str = "", whole_series: bool = False) -> str:
+    """Fixture CTEs (``whole_series``: the series of every lineitem row), optional extra CTEs, then the query body."""
+    fixtures = FIXTURE_CTES.replace(SERIES_CUT, "") if whole_series else FIXTURE_CTES
     extra = f",\n{ctes.strip().rstrip(',')}" if ctes.strip() else ""
-    return f"WITH {FIXTURE_CTES.strip()}{extra}\n{body.strip()}"
+    return f"WITH {fixtures.strip()}{extra}\n{body.strip()}"
 
 
 def age_band_case(col: str, breaks, labels) -> str:

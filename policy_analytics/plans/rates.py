@@ -218,10 +218,10 @@ def rate_status(spark, d):
 SELECT contractid, count(*) AS dates, CAST(count_if(step > 35) AS BIGINT) AS large_gaps, max(step) AS max_gap_days
 FROM (SELECT contractid, d, date_diff('day', lag(d) OVER (PARTITION BY contractid ORDER BY d), d) AS step
       FROM (SELECT DISTINCT contractid, date AS d FROM timeseries WHERE date IS NOT NULL) a) b
-GROUP BY contractid"""), headline=True)
+GROUP BY contractid""", whole_series=True), headline=True)
 def contract_gaps(spark, d):
     """R8 per contract: gaps of more than 35 days in each contract's series."""
-    return rates.gaps(fx.timeseries(spark, d), key="contractid").withColumn(
+    return rates.gaps(fx.whole_timeseries(spark, d), key="contractid").withColumn(
         "max_gap_days", F.col("max_gap_days").cast("long"))
 
 

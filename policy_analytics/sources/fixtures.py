@@ -54,10 +54,18 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The series of most contracts, and some of contracts that do not exist."""
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 19 != 7)
+    return _series(table(spark, sf_dir, "lineitem").where(F.col("l_partkey") % 19 != 7))
+
+
+def whole_timeseries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series of every ``lineitem`` row; without a part key the contract is ``V``, as ``concat`` gives in the SQL."""
+    return _series(table(spark, sf_dir, "lineitem"))
+
+
+def _series(li: DataFrame) -> DataFrame:
     d = li.l_shipdate.cast("date")
     return li.select(
-        F.concat(F.lit("V"), _s(li.l_partkey + F.when(li.l_partkey % 29 == 3, 100000000).otherwise(0))).alias("contractid"),
+        F.concat_ws("", F.lit("V"), _s(li.l_partkey + F.when(li.l_partkey % 29 == 3, 100000000).otherwise(0))).alias("contractid"),
         d.alias("date"),
         F.when((li.l_linenumber == 7) & (li.l_quantity < 5), F.lit(None).cast("double"))
          .otherwise(10000 + 4 * F.datediff(d, F.lit(dt.date(1995, 1, 1))) + 2 * li.l_quantity)
