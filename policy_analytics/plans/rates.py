@@ -225,10 +225,10 @@ def contract_gaps(spark, d):
         "max_gap_days", F.col("max_gap_days").cast("long"))
 
 
-@register("contract_outliers", q(_outlier_sql("surrender_value", "timeseries", "contractid")))
+@register("contract_outliers", q(_outlier_sql("surrender_value", "timeseries", "contractid"), whole_series=True))
 def contract_outliers(spark, d):
     """R11 per contract: values beyond 3 sd of the contract mean, where n > 10."""
-    return rates.outliers(fx.timeseries(spark, d), "surrender_value", key="contractid")
+    return rates.outliers(fx.whole_timeseries(spark, d), "surrender_value", key="contractid")
 
 
 @register("contract_jumps", q(_jump_sql("surrender_value", "timeseries", CONTRACT_JUMP, "contractid")))
