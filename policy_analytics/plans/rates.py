@@ -231,10 +231,10 @@ def contract_outliers(spark, d):
     return rates.outliers(fx.whole_timeseries(spark, d), "surrender_value", key="contractid")
 
 
-@register("contract_jumps", q(_jump_sql("surrender_value", "timeseries", CONTRACT_JUMP, "contractid")))
+@register("contract_jumps", q(_jump_sql("surrender_value", "timeseries", CONTRACT_JUMP, "contractid"), whole_series=True))
 def contract_jumps(spark, d):
     """R15 per contract: day-to-day changes of the daily mean value above 1000."""
-    return rates.jumps(fx.timeseries(spark, d), "surrender_value", key="contractid",
+    return rates.jumps(fx.whole_timeseries(spark, d), "surrender_value", key="contractid",
                        threshold=CONTRACT_JUMP).withColumn("max_change", F.round("max_change", 6))
 
 
