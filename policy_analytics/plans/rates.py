@@ -242,10 +242,10 @@ def contract_jumps(spark, d):
 SELECT contractid, max(date) AS latest_date, date_diff('day', max(date), {AS_OF}) AS days_old,
        CASE WHEN date_diff('day', max(date), {AS_OF}) > 30 THEN 'stale'
             WHEN date_diff('day', max(date), {AS_OF}) > 7 THEN 'aged' ELSE 'fresh' END AS recency
-FROM timeseries GROUP BY contractid"""))
+FROM timeseries GROUP BY contractid""", whole_series=True))
 def contract_recency(spark, d):
     """R13 per contract: days since the latest observation."""
-    return rates.recency(fx.timeseries(spark, d), fx.AS_OF, key="contractid")
+    return rates.recency(fx.whole_timeseries(spark, d), fx.AS_OF, key="contractid")
 
 
 @register("contract_value_stats", q("""
