@@ -26,7 +26,11 @@ def _ts(spark, d):
 
 
 def _growth(spark, d):
-    return series.calculate_monthly_growth(_ts(spark, d))
+    return _plain_growth(_ts(spark, d))
+
+
+def _plain_growth(ts):
+    return series.calculate_monthly_growth(ts)
 
 
 def _vol(spark, d):
@@ -147,10 +151,10 @@ def _present(g):
     return g.withColumn("monthly_growth_rate", F.round("monthly_growth_rate", 6))
 
 
-@register("growth", q(GROWTH_OUT.format("growth"), GROWTH), headline=True)
+@register("growth", q(GROWTH_OUT.format("growth"), GROWTH, whole_series=True), headline=True)
 def growth(spark, d):
     """Monthly growth rate per contract observation (gap > 0)."""
-    return _present(_growth(spark, d))
+    return _present(_plain_growth(fx.whole_timeseries(spark, d)))
 
 
 @register("growth_stats", q("""
