@@ -164,10 +164,11 @@ SELECT count(monthly_growth_rate) AS rates,
        round(min(monthly_growth_rate), 2) AS min_rate, round(max(monthly_growth_rate), 2) AS max_rate,
        (SELECT min(date) FROM growth_t1) AS first_date, (SELECT max(date) FROM growth_t1) AS last_date,
        round(median(monthly_growth_rate), 2) AS median_rate
-FROM growth""", GROWTH))
+FROM growth""", GROWTH, whole_series=True))
 def growth_stats(spark, d):
     """T4: mean, median, sd, min, max rate; contracts and date span of the input series."""
-    return series.growth_stats(_growth(spark, d), _ts(spark, d))
+    ts = fx.whole_timeseries(spark, d)
+    return series.growth_stats(_plain_growth(ts), ts)
 
 
 @register("growth_variant", q(GROWTH_OUT.format("gv"), GV))
