@@ -47,8 +47,11 @@ def _classified(spark, d):
 
 def _gv(spark, d):
     """The variant growth the demo analyses (T16-T19, D3, D6, D7) run on."""
-    return series.calculate_monthly_growth(_ts(spark, d), min_observations=0, month_days=30.44,
-                                           positive_only=True, min_rates=3)
+    return _variant_growth(_ts(spark, d))
+
+
+def _variant_growth(ts):
+    return series.calculate_monthly_growth(ts, min_observations=0, month_days=30.44, positive_only=True, min_rates=3)
 
 
 def _vv(spark, d):
@@ -171,10 +174,10 @@ def growth_stats(spark, d):
     return series.growth_stats(_plain_growth(ts), ts)
 
 
-@register("growth_variant", q(GROWTH_OUT.format("gv"), GV))
+@register("growth_variant", q(GROWTH_OUT.format("gv"), GV, whole_series=True))
 def growth_variant(spark, d):
     """Positive values only, exponent 30.44 / days, at least 3 rates per contract."""
-    return _present(_gv(spark, d))
+    return _present(_variant_growth(fx.whole_timeseries(spark, d)))
 
 
 @register("growth_sample", q("""

@@ -12,7 +12,7 @@ from oracle_check import compare  # noqa: E402
 from policy_analytics.plans import registry  # noqa: E402
 
 registry.load_all()
-NAMES = ["contract_gaps", "contract_outliers", "contract_jumps", "contract_recency", "growth", "growth_stats"]
+NAMES = ["contract_gaps", "contract_outliers", "contract_jumps", "contract_recency", "growth", "growth_stats", "growth_variant"]
 
 
 @pytest.fixture(scope="module")
