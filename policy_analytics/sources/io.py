@@ -149,62 +149,71 @@ def read_json_shapes(spark: SparkSession, path: str, table_type: str = "timeseri
     Malformed documents fail the read; with ``corrupt`` their text is kept in a column of that
     name (null for sound rows). An element that is itself an array is malformed; each counts.
     """
-    aliases: dict[str, list[str]] = {}
-    for name, target in ALIASES[table_type].items():
-        aliases.setdefault(target, []).append(name)
-    scalar_column = ALIASES[table_type].get("value", "value")
-    columns = [*aliases, *([] if scalar_column in aliases else [scalar_column])]
+    known_names = ALIASES[table_type]
+    scalar_column = known_names.get("value", "value")
+    targets = {scalar_column: scalar_column, **known_names} if scalar_column not in known_names.values() else known_names
+    columns = list(dict.fromkeys([*known_names.values(), scalar_column]))
     raw = spark.read.text(path, wholetext=whole_file).where(F.trim("value") != "")
+    # all the query needs of a document is taken in one place: no step below goes back to the VARIANT
     doc = raw.select(F.col("value").alias("line"), F.try_parse_json("value").alias("doc"))
-    doc = doc.withColumn("kind", _kind("doc"))
-    entries = F.try_variant_get("doc", "$", "map<string,variant>")
-    known = F.exists(F.map_keys(entries), lambda k: _normalised(k).isin(*ALIASES[table_type]))
-    elements = (F.when(F.col("kind") == "array", F.try_variant_get("doc", "$", "array<variant>"))
-                .when((F.col("kind") == "object") & ~known, F.map_values(entries))
-                .when(F.col("kind") == "null", F.array().cast("array<variant>"))
-                .when(F.col("kind").isNotNull(), F.array("doc")))
-    rows = doc.select("line", "kind", F.explode_outer(elements).alias("e"))
-    rows = rows.where(F.col("kind").isNull() | F.col("e").isNotNull()).withColumn("of", _kind("e"))
-    rows = rows.where(F.col("of").isNull() | (F.col("of") != "null"))
-    bad = F.col("of").isNull() | (F.col("of") == "array")
-    named = F.transform(F.map_entries(F.when(F.col("of") == "object", F.try_variant_get("e", "$", "map<string,variant>"))),
-                        lambda p: F.struct(_normalised(p["key"]).alias("k"), p["value"].alias("v")))
-    rows = rows.withColumn("named", named)
+    doc = doc.withColumn("fields", _fields("doc"))
+    known = F.exists(F.map_keys("fields"), lambda k: _target(k, known_names).isNotNull())
+    elements = (F.when(F.col("doc").isNull(), F.array(_element(bad=F.lit(True))))
+                .when(F.col("fields").isNotNull() & known, F.array(_element(fields=F.col("fields"))))
+                .when(F.col("fields").isNotNull(), _elements(F.map_values(F.try_variant_get("doc", "$", "map<string,variant>"))))
+                .otherwise(F.coalesce(_elements(F.try_variant_get("doc", "$", "array<variant>")),
+                                      F.array(_element(text=F.try_variant_get("doc", "$", "string"))))))
+    rows = doc.select("line", F.explode(elements).alias("e")).select("line", "e.*")
+    rows = rows.where(F.col("bad") | F.col("fields").isNotNull() | F.col("text").isNotNull())      # JSON null gives no row
+    rows = rows.withColumn("names", F.transform(F.map_keys("fields"), lambda k: _target(k, targets)))
+    # only rows in which a name (or no known name) occurs twice are searched for a second field of a column
+    rows = rows.select("line", "bad", "text", "names", F.map_values("fields").alias("values"),
+                       (F.size(F.array_distinct("names")) < F.size("names")).alias("repeats"))
     out = []
     for c in columns:
-        found = _fields_named("named", aliases.get(c, [c]))
-        text = _text(F.get(found, F.lit(0))["v"])
-        value = (F.when(F.size(found) > 1, F.raise_error(F.concat(F.lit(f"several fields mean {c!r}: "), F.substring("line", 1, 200))).cast("string"))
-                 .otherwise(text))
+        at = F.array_position("names", c).cast("int")
+        more = F.col("repeats") & F.array_contains(F.slice("names", at + 1, F.size("names")), c)
+        value = (F.when(at == 0, F.lit(None).cast("string"))
+                 .when(more, F.raise_error(F.concat(F.lit(f"several fields mean {c!r}: "), F.substring("line", 1, 200))).cast("string"))
+                 .otherwise(F.get("values", at - 1)))
         if c == scalar_column:
-            value = F.when(F.col("of") == "object", value).when(~bad, _text(F.col("e")))
+            value = F.when(F.col("names").isNotNull(), value).otherwise(F.col("text"))
         out.append(value.alias(c))
+    bad = F.col("bad")
     if corrupt is None:
         stop = F.when(bad, F.raise_error(F.concat(F.lit("malformed JSON: "), F.substring("line", 1, 200))).cast("boolean"))
         return rows.where(F.coalesce(stop, F.lit(True))).select(*out)
     return rows.select(*out, F.when(bad, F.col("line")).alias(corrupt))
 
 
-def _fields_named(fields: str, names: list[str]) -> Column:
-    return F.filter(fields, lambda p: p["k"].isin(*names))
+def _fields(v) -> Column:
+    """The fields of a VARIANT object as text: scalars as they are, nested values as JSON, JSON null as NULL; NULL if it is no object."""
+    return F.try_variant_get(v, "$", "map<string,string>")
 
 
-def _kind(v) -> Column:
-    """``object``, ``array``, ``null`` or ``scalar``; NULL for no document."""
-    s = F.schema_of_variant(v)
-    return (F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array")
-            .when(s == "VOID", "null").when(s.isNotNull(), "scalar"))
+def _element(fields=None, text=None, bad=None) -> Column:
+    """One row to be: the fields of an object or the text of a scalar; ``bad``: malformed. Nothing of it: JSON null."""
+    return F.struct((F.lit(None).cast("map<string,string>") if fields is None else fields).alias("fields"),
+                    (F.lit(None).cast("string") if text is None else text).alias("text"),
+                    (F.lit(False) if bad is None else bad).alias("bad"))
 
 
-def _text(v) -> Column:
-    """A variant as text: scalars as they are, nested values as JSON, JSON null as NULL."""
-    return F.coalesce(F.try_variant_get(v, "$", "string"), F.when(_kind(v).isin("object", "array"), F.to_json(v)))
+def _elements(variants: Column) -> Column:
+    """The rows of an array of VARIANTs; an element that is itself an array is malformed."""
+    def element(p):
+        array = p["f"].isNull() & F.try_variant_get(p["v"], "$", "array<variant>").isNotNull()
+        return _element(p["f"], F.when(p["f"].isNull() & ~array, F.try_variant_get(p["v"], "$", "string")), array)
+    return F.transform(F.transform(variants, lambda v: F.struct(v.alias("v"), _fields(v).alias("f"))), element)
+
+
+def _target(name: Column, targets: dict[str, str]) -> Column:
+    """The standard column that a field name means, by C1 and C2; NULL for none."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in targets.items() for x in kv]), _normalised(name))
 
 
 def _normalised(name: Column) -> Column:
     """:func:`normalise_name` as a column."""
-    s = F.regexp_replace(F.lower(F.trim(name)), "[^a-z0-9_]", "_")
-    return F.regexp_replace(F.regexp_replace(s, "_{2,}", "_"), "_$", "")
+    return F.rtrim(F.regexp_replace(F.lower(F.trim(name)), "[^a-z0-9]+", "_"), F.lit("_"))
 
 
 def write_series_json(df: DataFrame, path: str, keyed: bool = False, key: str = "row_id") -> None:

@@ -94,3 +94,25 @@ def test_whole_files_and_other_tables(spark, tmp_path):
     path = _files(tmp_path, '[\n {"Customer ID": "K1",\n  "dob": "1950-01-01"},\n {"customerid": "K2"}\n]', ext="json")
     df = io.read_json_shapes(spark, path, "customers", whole_file=True)
     assert {(r.customerid, r.birthdate, r.value) for r in df.collect()} == {("K1", "1950-01-01", None), ("K2", None, None)}
+
+
+def test_documents_are_taken_apart_once(spark, tmp_path):
+    """No step after the parsing goes back to VARIANTs or their schemas: that was most of the time of the intake."""
+    path = _files(tmp_path, "\n".join(LINES), ext="json")
+    plan = io.read_json_shapes(spark, path, corrupt="line")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[:plan.index("Generate explode")]
+    assert "variant" not in above.lower() and "schema_of_variant" not in plan.lower()
+
+
+def test_names_that_mean_nothing_may_repeat(spark, tmp_path):
+    path = _files(tmp_path, '{"contract_id":"V1","a":1,"b":2,"Surrender  VALUE-":{"q":[1,null]},"__datum":"x"}\n'
+                            '{"k":{"a":1,"A":2},"m":[1],"n":null}\n{"Contract-ID":true,"contractid":"V2"}', ext="json")
+    df = io.read_json_shapes(spark, path, corrupt="line")
+    got = df.where("contractid IS NULL OR contractid <> 'x'")
+    with pytest.raises(Exception, match="several fields mean 'contractid'"):
+        got.collect()
+    (tmp_path / "f0.json").write_text('{"contract_id":"V1","a":1,"b":2,"Surrender  VALUE-":{"q":[1,null]},"__datum":"x"}\n'
+                                      '{"k":{"a":1,"A":2},"m":[1],"n":null}')
+    rows = io.read_json_shapes(spark, path, corrupt="line").collect()
+    assert sorted(map(tuple, rows), key=str) == sorted([("V1", '{"q":[1,null]}', None, None), (None, None, None, None),
+                                                        (None, None, None, '{"k":{"a":1,"A":2},"m":[1],"n":null}')], key=str)
