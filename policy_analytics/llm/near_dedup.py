@@ -37,6 +37,7 @@ SIMILARITY = 0.8
 STAR_ROUNDS = 1            # rounds in which classes of a bucket are tied to a leader
 WIDE_BUCKET = 8            # pairs across classes a text; texts of buckets with more are paired by rare k-mers
 BATCH = 1000               # rows that a Python worker gets at once
+WORDS_HELD = 1 << 16       # words whose hashes a Python worker remembers; bounds memory, never results
 COMMON = 1 << 18           # common k-mers that tasks hold (8 bytes each); bounds time, never results
 WORDS = re.compile(WORD)
 
@@ -70,7 +71,7 @@ def kmers(words: list[str], memo: dict[str, int], k: int = K) -> np.ndarray:
     for w in words:
         h = get(w)
         if h is None:
-            if len(memo) > 300_000:
+            if len(memo) >= WORDS_HELD:
                 memo.clear()
             h = memo[w] = xxhash.xxh3_64_intdigest(w)
         ids.append(h)

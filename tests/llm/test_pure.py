@@ -237,3 +237,11 @@ def test_damaged_member_of_several_records_keeps_the_sound_ones():
     assert [x["record_id"] for x in got if x["kind"] == "record"] == [f"urn:page:{i}" for i in (0, 1, 3, 4, 5)]
     gap = next(x for x in got if x["kind"] == "gap")
     assert (gap["inner_start"], gap["inner_end"]) == (len(plain[0] + plain[1]), len(plain[0] + plain[1] + plain[2]))
+
+
+def test_words_held_are_bounded_and_change_no_kmer():
+    memo = {}
+    texts = [[f"w{i}_{j}" for j in range(1000)] for i in range(70)]
+    for words in texts:
+        assert np.array_equal(N.kmers(words, memo), N.kmers(words, {}))
+    assert len(memo) <= 1 << 16
