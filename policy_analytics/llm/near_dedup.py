@@ -36,8 +36,10 @@ MIX_AT_ONCE = 1 << 17      # k-mer hashes that are held at once
 SIMILARITY = 0.8
 STAR_ROUNDS = 1            # rounds in which classes of a bucket are tied to a leader
 WIDE_BUCKET = 8            # pairs across classes a text; texts of buckets with more are paired by rare k-mers
-BATCH = 1000               # rows that a Python worker gets at once
+BATCH = 256                # rows that a Python worker gets at once
+BATCH_BYTES = 2 << 20      # and about their bytes; both bound memory, never results
 WORDS_HELD = 1 << 16       # words whose hashes a Python worker remembers; bounds memory, never results
+COUNTED = 1 << 20          # k-mers of a task that are counted together
 COMMON = 1 << 18           # common k-mers that tasks hold (8 bytes each); bounds time, never results
 WORDS = re.compile(WORD)
 
@@ -254,15 +256,25 @@ def _across(rows: DataFrame, alike) -> DataFrame:
 def _common_kmers(texts: DataFrame, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
     """Up to ``most`` of the most frequent k-mers of ``texts(kmers)``, sorted, with about their numbers of texts.
 
-    k-mers are counted per Arrow batch and summed where a batch holds several. The result
-    only orders k-mers: pairs are complete whatever it holds.
+    k-mers are counted per COUNTED k-mers of a task and summed where such a part holds several.
+    The result only orders k-mers: pairs are complete whatever it holds.
     """
 
+    def several(parts: list[np.ndarray]) -> pd.DataFrame:
+        h, c = np.unique(np.concatenate(parts), return_counts=True)
+        return pd.DataFrame({"kmer": h[c > 1], "c": c[c > 1]})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, held = [], 0
         for b in batches:
-            if len(b):
-                h, c = np.unique(np.concatenate(list(b["kmers"])), return_counts=True)
-                yield pd.DataFrame({"kmer": h[c > 1], "c": c[c > 1]})
+            # copies: an array of a batch would keep the whole batch
+            parts += [np.array(x) for x in b["kmers"]]
+            held += sum(map(len, b["kmers"]))
+            if held >= COUNTED:
+                yield several(parts)
+                parts, held = [], 0
+        if parts:
+            yield several(parts)
 
     counts = saved(texts.select("kmers").mapInPandas(count, "kmer long, c long").groupBy("kmer").agg(F.sum("c").alias("c")), "common")
     width = F.length(F.bin("c"))
@@ -357,7 +369,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", simil
     without words are alike; null keys join the classes of their texts but never name one
     unless alone. Repeated rows count each; an empty table gives an empty result.
     """
-    with arrow_batches(docs.sparkSession, BATCH):
+    with arrow_batches(docs.sparkSession, BATCH, BATCH_BYTES):
         return _near_classes(docs, key, text, similarity)
 
 

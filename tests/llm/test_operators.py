@@ -399,3 +399,24 @@ def test_even_moves_on_lumpy_blocks():
         after[moves.get((s, tied, k), s)] += n
     assert sum(after) == sum(load) and max(abs(n - share) for n in after) <= 0.0002 * share + 40
     assert sharding._even_moves([], [0, 0], 0.0) == []
+
+
+def test_near_classes_hand_on_few_bytes_at_once(spark, monkeypatch):
+    """Long texts reach a Python worker in batches of bounded bytes, and the settings come back."""
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 20_000).alias("text"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    sizes = []
+
+    def watch(rows):
+        def measure(batches):
+            for b in batches:
+                yield b[["row"]].iloc[:1].assign(bytes=int(b["text"].str.len().sum()), rows=len(b))
+        sizes.extend(rows.select("row", "text").mapInPandas(measure, "row long, bytes long, rows long").collect())
+        raise InterruptedError
+
+    monkeypatch.setattr(near_dedup, "sketch_rows", watch)
+    with pytest.raises(InterruptedError):
+        near_dedup.near_classes(docs)
+    assert sum(r["rows"] for r in sizes) == 60
+    assert max(r["bytes"] for r in sizes) <= near_dedup.BATCH_BYTES + 220_000
+    assert before == (spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"), spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch"))
