@@ -12,11 +12,14 @@ joined back, so that a frequent pair costs a chunk one row.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,6 +32,11 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 # Text bytes of a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
+# Where a space follows a word: no token of either kind reaches over it (see ``by_stretch``).
+BEHIND_WORD = re.compile(r"(?<=[^\s\u180e\u200b\ufeff])(?= )")
+ENDS_IN_WORD = re.compile(r"[^\s\u180e\u200b\ufeff]\Z")
+# Stretches that are encoded as one text.
+TOGETHER = 256
 # Token ends that an interval may have to be settled without halving it further.
 SHORT = 12
 
@@ -49,6 +57,13 @@ class ByteTokens:
         size = self.tokenizer.get_vocab_size(with_added_tokens=False)
         self.pieces = [bytes(byte[c] for c in self.tokenizer.id_to_token(i)) for i in range(size)]
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
+        # the byte-level pattern never matches from a character that is no space into a space
+        spec = json.loads(self.tokenizer.to_str())
+        cutter = spec["pre_tokenizer"] or {}
+        self.by_stretch = (spec["normalizer"] is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True)
+                           and not cutter["add_prefix_space"] and all(t["special"] for t in spec["added_tokens"])
+                           and spec["truncation"] is None and spec["padding"] is None
+                           and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout"))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         spaced = [" " + t for t in texts]
@@ -65,6 +80,14 @@ class PieceTokens:
                        else self.model.id_to_piece(i).replace("▁", " ").encode()
                        for i in range(self.model.get_piece_size())]
         self.lengths = np.array([len(p) for p in self.pieces], np.int64)
+        # pairs are merged only into pieces, and no piece has a space behind another character
+        from sentencepiece import sentencepiece_model_pb2
+        spec = sentencepiece_model_pb2.ModelProto.FromString(self.model.serialized_model_proto())
+        norm = spec.normalizer_spec
+        self.by_stretch = (spec.trainer_spec.model_type == 2 and not norm.precompiled_charsmap and norm.add_dummy_prefix
+                           and norm.escape_whitespaces and not norm.remove_extra_whitespaces
+                           and not spec.trainer_spec.treat_whitespace_as_suffix
+                           and all(p.type in (1, 2, 3, 6) and "▁" not in p.piece.lstrip("▁") for p in spec.pieces))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
@@ -114,7 +137,8 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
             trying = trying[(middle[trying] + step < hi[trying]) | (middle[trying] - step >= lo[trying])]
         lo, hi, found = lo[found >= 0], hi[found >= 0], found[found >= 0]
         cut[found] = True
-        lo, hi = np.concatenate([lo, found + 1]), np.concatenate([found, hi])
+        # halves side by side, so that the next bisects go through the ends in order
+        lo, hi = np.stack([lo, found + 1], axis=1).ravel(), np.stack([found, hi], axis=1).ravel()
     return cut
 
 
@@ -139,9 +163,8 @@ class Aligned:
 
     def texts(self) -> list[str]:
         """The groups of every text as ``a1,a2|b1;a3|b2,b3``, '' without tokens."""
-        names = [str(i) for i in range(1 + int(max(self.ids_a.max(initial=0), self.ids_b.max(initial=0))))]
-        marked = [n + "," for n in names] + [n + "|" for n in names] + [n + ";" for n in names]
-        width = len(names)
+        width = 1 << int(max(self.ids_a.max(initial=0), self.ids_b.max(initial=0))).bit_length()   # few widths: kept
+        marks, sizes, starts = _marked(width)
         group_a = np.cumsum(self.cut_a) - self.cut_a
         group_b = np.cumsum(self.cut_b) - self.cut_b
         size_a, size_b = np.bincount(group_a), np.bincount(group_b)
@@ -150,24 +173,109 @@ class Aligned:
         if len(codes):
             codes[np.arange(len(self.ids_a)) + before_b[group_a]] = self.ids_a + width * self.cut_a
             codes[np.arange(len(self.ids_b)) + before_a[group_b]] = self.ids_b + 2 * width * self.cut_b
-        first = (self.from_a + self.from_b).tolist()
-        flat = codes.tolist()
-        return ["".join([marked[c] for c in flat[s:e]])[:-1] for s, e in zip(first, first[1:])]
+        size = sizes[codes]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        marked = marks[np.repeat(starts[codes] - upto[:-1], size) + np.arange(upto[-1])].tobytes().decode("ascii")
+        first = upto[self.from_a + self.from_b].tolist()
+        return [marked[s:max(s, e - 1)] for s, e in zip(first, first[1:])]
+
+
+@lru_cache(maxsize=2)
+def _marked(width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids below ``width`` followed by ",", by "|" and by ";": characters, sizes and places."""
+    names = [f"{i}{mark}" for mark in ",|;" for i in range(width)]
+    sizes = np.array([len(n) for n in names], np.int64)
+    return np.frombuffer("".join(names).encode("ascii"), np.uint8), sizes, np.cumsum(sizes) - sizes
+
+
+def _same_bytes(tok, ids: list[int], text: str) -> bool:
+    return b"".join(map(tok.pieces.__getitem__, ids)) == b" " + text.encode()
+
+
+def _whole(texts: list[str], tok_a, tok_b) -> Iterator[tuple[list[int], list[int]]]:
+    """The A and B ids of whole texts, none where the token bytes are not space + text."""
+    for text, a, b in zip(texts, tok_a.encode(texts), tok_b.encode(texts), strict=True):
+        same = _same_bytes(tok_a, a, text) and _same_bytes(tok_b, b, text)
+        yield (a, b) if same else ([], [])
+
+
+def _of_stretches(distinct: list[str], tok) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+    """The ids of stretches that begin with a space: lists of ids in order, and per stretch the
+    number of its ids and whether their bytes are its own.
+
+    Stretches that end in a word are encoded many at once and told apart by their bytes.
+    """
+    sizes = np.array([len(x.encode()) for x in distinct], np.int64)
+    number, same = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
+    lists: list[list[int]] = []
+    parts = [distinct[at:at + TOGETHER] for at in range(0, len(distinct), TOGETHER)]
+    joined = ["".join(p)[1:] for p in parts]
+    at = 0
+    for part, text, ids in zip(parts, joined, tok.encode(joined) if joined else [], strict=True):
+        here = slice(at, at + len(part))
+        ends = np.cumsum(tok.lengths[np.array(ids, np.int64)])
+        upto = np.cumsum(sizes[here])
+        if _same_bytes(tok, ids, text) and _ends(ends, upto).all():
+            number[here], same[here] = np.diff(np.searchsorted(ends, upto) + 1, prepend=0), True
+            lists.append(ids)
+        else:
+            for i, ids in enumerate(tok.encode([x[1:] for x in part]), at):
+                number[i], same[i] = len(ids), _same_bytes(tok, ids, distinct[i][1:])
+                lists.append(ids)
+        at += len(part)
+    return lists, number, same
+
+
+def _encoded(texts: list[str | None], tok_a, tok_b) -> tuple[np.ndarray, ...]:
+    """Flat A and B ids of the texts, and the first token of every text on either side.
+
+    No token of either kind reaches over a space behind a word, so texts are cut there and
+    every distinct stretch of the chunk is encoded once. Texts with a stretch that ends in
+    white space, or whose bytes do not come back, are encoded whole.
+    """
+    cut = [BEHIND_WORD.split(" " + t) if t else [] for t in texts]
+    size = np.array([len(c) for c in cut], np.int64)
+    last = np.cumsum(size)
+    known: dict[str, int] = {}
+    code = np.fromiter((known.setdefault(x, len(known)) for x in chain.from_iterable(cut)), np.int64, int(size.sum()))
+    distinct = list(known)
+    whole = np.array([bool(c) and not ENDS_IN_WORD.search(c[-1]) for c in cut], bool)
+    if not (tok_a.by_stretch and tok_b.by_stretch):
+        whole = size > 0
+    used = np.zeros(len(distinct), bool)
+    used[code[np.repeat(~whole, size)]] = True
+    places = np.flatnonzero(used)
+    (lists_a, n_a, same_a), (lists_b, n_b, same_b) = (_of_stretches([distinct[i] for i in places], tok) for tok in (tok_a, tok_b))
+    number = np.full(len(distinct), -1)
+    number[places[same_a & same_b]] = np.flatnonzero(same_a & same_b)
+    entry = number[code]
+    text = np.repeat(np.arange(len(texts)), size)
+    whole[text[entry < 0]] = True
+    rows = np.flatnonzero(whole)
+    if len(rows):
+        pairs = list(_whole([texts[i] for i in rows], tok_a, tok_b))
+        lists_a, lists_b = lists_a + [a for a, _ in pairs], lists_b + [b for _, b in pairs]
+        entry[last[rows] - 1] = len(n_a) + np.arange(len(rows))        # one entry for the whole text
+        n_a, n_b = (np.concatenate([n, [len(p[side]) for p in pairs]]) for side, n in ((0, n_a), (1, n_b)))
+        keep = ~whole[text]
+        keep[last[rows] - 1] = True
+        entry, text = entry[keep], text[keep]
+    out = []
+    for lists, n in ((lists_a, n_a), (lists_b, n_b)):
+        n = n.astype(np.int64)
+        ids = np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum()))
+        many = n[entry]
+        upto = np.concatenate([[0], np.cumsum(many)])
+        first = (np.cumsum(n) - n)[entry]
+        out.append((ids[np.repeat(first - upto[:-1], many) + np.arange(upto[-1])],
+                    upto[np.searchsorted(text, np.arange(len(texts) + 1))]))
+    (flat_a, from_a), (flat_b, from_b) = out
+    return flat_a, flat_b, from_a, from_b
 
 
 def align(texts: list[str | None], tok_a, tok_b) -> Aligned:
     """Align whole texts. Null and empty texts, and texts whose token bytes are not space + text, have none."""
-    live = [i for i, t in enumerate(texts) if t]
-    some = [texts[i] for i in live]
-    ids_a, ids_b = tok_a.encode(some), tok_b.encode(some)
-    rows_a: list[list[int]] = [[] for _ in texts]
-    rows_b: list[list[int]] = [[] for _ in texts]
-    for i, text, a, b in zip(live, some, ids_a, ids_b, strict=True):
-        want = b" " + text.encode()
-        if b"".join([tok_a.pieces[x] for x in a]) == want and b"".join([tok_b.pieces[x] for x in b]) == want:
-            rows_a[i], rows_b[i] = a, b
-    flat_a, flat_b = (np.array([x for r in rows for x in r], np.int64) for rows in (rows_a, rows_b))
-    from_a, from_b = (np.cumsum([0] + [len(r) for r in rows]) for rows in (rows_a, rows_b))
+    flat_a, flat_b, from_a, from_b = _encoded(texts, tok_a, tok_b)
     ends_a, ends_b = np.cumsum(tok_a.lengths[flat_a]), np.cumsum(tok_b.lengths[flat_b])
     cut_a = shared_cuts(ends_a, ends_b)
     cut_b = np.zeros(len(flat_b), bool)

@@ -1,6 +1,7 @@
 """Cross-tokenizer alignment against a plain reading of the definition."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -95,3 +96,43 @@ def test_cuts_equal_set_intersection():
         a, b = (np.append(np.sort(rng.choice(n, rng.integers(0, n), replace=False)), n).astype(np.int64) for _ in range(2))
         assert (A.shared_cuts(a, b) == np.isin(a, b)).all()
     assert A.shared_cuts(np.array([], np.int64), np.array([], np.int64)).tolist() == []
+
+
+def test_bisects_go_through_the_ends_in_order(monkeypatch):
+    """Places that are looked up out of order miss the caches: most of the time of the step."""
+    rng = np.random.default_rng(6)
+    a, b = (np.append(np.sort(rng.choice(4000, 2500, replace=False)), 4000).astype(np.int64) for _ in range(2))
+    asked = []
+    ends = A._ends
+    monkeypatch.setattr(A, "_ends", lambda e, at: asked.append(at) or ends(e, at))
+    assert (A.shared_cuts(a, b) == np.isin(a, b)).all()
+    assert len(asked) > 5 and all((at[1:] > at[:-1]).all() for at in asked)
+
+
+def test_group_texts_of_large_and_empty_rows(toks):
+    texts = [None, "", "a", "word " * 300, "", "x", None]
+    al = A.align(texts, *toks)
+    assert al.texts() == [";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in walk(t, toks)) for t in texts]
+    assert A.align([None, ""], *toks).texts() == ["", ""]
+    assert A.align([], *toks).texts() == []
+
+
+def test_stretches_encode_as_whole_texts(toks):
+    """A repeated stretch is encoded once; every text has the ids that it has by itself."""
+    rng = random.Random(4)
+    parts = [" ", " ", "  ", "\n", "\t", "\r\n", "a", "'s", "word", "\u00df", "23", "!", "\u2581", "\u00a0", "\u2003", "\u200b", "\u3000", "\x1c",
+             "\x85", "\u180e", "\ufeff", "\u65e5\u672c", "\U0001F600", "\0", "<|endoftext|>", "</s>", "<0x41>", "\u0301", " x"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(3000)] + [None]
+    assert all(t.by_stretch for t in toks)
+    flat_a, flat_b, from_a, from_b = A._encoded(texts, *toks)
+    whole = [next(A._whole([t], *toks)) if t else ([], []) for t in texts]
+    assert [flat_a[s:e].tolist() for s, e in zip(from_a, from_a[1:])] == [a for a, _ in whole]
+    assert [flat_b[s:e].tolist() for s, e in zip(from_b, from_b[1:])] == [b for _, b in whole]
+
+
+def test_words_of_a_chunk_are_encoded_once(toks, monkeypatch):
+    asked = []
+    encode = toks[0].encode
+    monkeypatch.setattr(toks[0], "encode", lambda texts: asked.extend(texts) or encode(texts))
+    A.align([f"some words again and again, number {i % 7}" for i in range(500)], *toks)
+    assert sum(map(len, asked)) < 200
