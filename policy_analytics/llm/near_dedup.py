@@ -3,9 +3,11 @@
 A text becomes its k-mers (five lower-cased words) labelled by occurrence. A sketch samples
 several labelled k-mers with the smallest hashes and keeps them in text order, so texts
 collide when they share k-mers in the same order (small edit distance), not merely as sets.
-Colliding texts are verified: their labelled k-mers are aligned within the band that the
-threshold allows, and in-order matches over all k-mers must reach the similarity. Verified
-links become classes by connected components.
+Colliding texts are first compared by how many of their k-mers fall into each of a few cells,
+which bounds the k-mers they can share. Those that may share enough are verified: their
+labelled k-mers are aligned within the band that the threshold allows, and in-order matches
+over all k-mers must reach the similarity. Verified links become classes by connected
+components.
 
 Texts that meet in crowded buckets, such as those that share one very common passage, are
 paired by their rarest k-mers instead: a pair that reaches the similarity has a matched k-mer
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, arrow_batches, drop_saved, saved, seeded, sift, table
+from .common import WORD, arrow_batches, drop_saved, saved, seeded, sift, sift_out, table
 from .components import components
 
 K = 5                      # words in a k-mer
@@ -36,6 +38,8 @@ MIX_AT_ONCE = 1 << 17      # k-mer hashes that are held at once
 SIMILARITY = 0.8
 STAR_ROUNDS = 1            # rounds in which classes of a bucket are tied to a leader
 WIDE_BUCKET = 8            # pairs across classes a text; texts of buckets with more are paired by rare k-mers
+CELLS = 128                # of k-mer hashes, in which the k-mers of a text are counted, up to CELL_FULL
+CELL_FULL = 255
 BATCH = 256                # rows that a Python worker gets at once
 BATCH_BYTES = 2 << 20      # and about their bytes; both bound memory, never results
 WORDS_HELD = 1 << 16       # words whose hashes a Python worker remembers; bounds memory, never results
@@ -113,6 +117,21 @@ def order_minhash(labelled: np.ndarray, sketches: int = SKETCHES, sample: int =
     return out.view(np.int64)
 
 
+def cells(labelled: np.ndarray) -> bytes:
+    """How many k-mers fall into each cell, one byte a cell."""
+    return np.minimum(np.bincount((labelled >> np.uint64(57)).astype(np.int64), minlength=CELLS), CELL_FULL).astype(np.uint8).tobytes()
+
+
+def may_reach(ca: list[bytes], cb: list[bytes], na: np.ndarray, nb: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
+    """Whether texts of ``na`` and ``nb`` k-mers may reach the similarity, by their cells.
+
+    Two texts share at most the lesser count of every cell; a full cell bounds nothing.
+    """
+    a, b = (np.frombuffer(b"".join(c), dtype=np.uint8).reshape(-1, CELLS).astype(np.int64) for c in (ca, cb))
+    a, b = np.where(a == CELL_FULL, na[:, None], a), np.where(b == CELL_FULL, nb[:, None], b)
+    return np.minimum(a, b).sum(axis=1) >= similarity / (1 + similarity) * (na + nb) - 1
+
+
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> float:
     """Share of in-order matches, matches / (len a + len b - matches), 0 when below ``similarity``.
 
@@ -145,23 +164,42 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> flo
 
 
 def sketch_rows(rows: DataFrame, sketches: int = SKETCHES, sample: int = SAMPLE, k: int = K) -> DataFrame:
-    """``rows(row, key, text)`` -> ``(row, key, sha, n, keys, kmers)``; no keys for texts without words."""
+    """``rows(row, key, text)`` -> ``(row, key, sha, n, cells, keys, kmers)``; no keys for texts without words."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict[str, int] = {}
         for b in batches:
-            shas, sizes, keys, all_kmers = [], [], [], []
+            shas, sizes, counts, keys, all_kmers = [], [], [], [], []
             for t in b["text"]:
                 words = normalised_words(t)
                 shas.append(hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest())
                 x = kmers(words, memo, k)
                 sizes.append(len(x))
+                counts.append(cells(x))
                 all_kmers.append(x.view(np.int64))
                 keys.append(order_minhash(x, sketches, sample) if len(x) else np.zeros(0, dtype=np.int64))
-            yield b[["row", "key"]].astype({"key": "Int64"}).assign(sha=shas, n=sizes, keys=keys, kmers=all_kmers)
+            yield b[["row", "key"]].astype({"key": "Int64"}).assign(sha=shas, n=sizes, cells=counts, keys=keys, kmers=all_kmers)
 
     return rows.select("row", "key", "text").mapInPandas(
-        make, "row long, key long, sha binary, n long, keys array<long>, kmers array<long>")
+        make, "row long, key long, sha binary, n long, cells binary, keys array<long>, kmers array<long>")
+
+
+def likely(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``pairs(a, b)`` of ``texts(id, n, cells)`` without those whose cells exclude the similarity.
+
+    The cells of a text are CELLS bytes, so few of the long lists of k-mers are shuffled.
+    """
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                yield b.loc[may_reach(list(b["ca"]), list(b["cb"]), b["na"].to_numpy(), b["nb"].to_numpy(), similarity), ["a", "b"]]
+
+    def side(name: str) -> DataFrame:
+        return sift(texts.select("id", "n", "cells"), "id", pairs, name).select(
+            F.col("id").alias(name), F.col("n").alias(f"n{name}"), F.col("cells").alias(f"c{name}"))
+
+    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").mapInPandas(check, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -380,24 +418,33 @@ def _near_classes(docs: DataFrame, key: str, text: str, similarity: float) -> Da
     named = saved(rows.groupBy("sha").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"),
                                           F.min("key").alias("least")), "named")
     sketches = saved(rows.where("n > 0").select(F.col("row").alias("id"), "n", "keys").join(named.select("id"), "id", "left_semi"), "sketches")
-    texts = rows.select(F.col("row").alias("id"), "kmers")
+    texts = rows.select(F.col("row").alias("id"), "n", "cells", "kmers")
     members = _members(sketches)
+    drop_saved(sketches)
     links, classes, tested = None, None, None
     for turn in range(STAR_ROUNDS + 1):
         pairs = (_star_pairs(members, classes, turn, similarity) if turn < STAR_ROUNDS
                  else _residual_pairs(members, classes, texts, similarity))
         pairs = saved(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "candidates")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        found = saved(verified(pairs, texts, similarity), "links")
+        near = saved(likely(pairs, texts, similarity), "likely")
+        found = saved(verified(near, texts, similarity), "links")
+        drop_saved(near)
         links = found if links is None else links.unionByName(found)
         classes = saved(components(links), "classes")
+    for t in (members, tested):
+        drop_saved(t)
     degree = (links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links")))
     of_text = (named.join(classes.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left")
                .select("sha", "copies", "least", F.coalesce("root", "id").alias("root"), F.coalesce("links", F.lit(0).cast("long")).alias("links")))
     of_text = saved(of_text, "of-text")
     sizes = saved(of_text.groupBy("root").agg(F.sum("copies").alias("class_size"), F.min("least").alias("class_id")), "sizes")
     full = saved(of_text.join(sizes, "root").select("sha", "copies", "links", "class_size", "class_id"), "classes")
-    return rows.select("key", "sha", "row").join(full, "sha").select(
+    # the long lists are not needed any more
+    told = saved(rows.select("key", "sha", "row"), "told")
+    for t in (rows, named, links, classes, of_text, sizes):
+        drop_saved(t)
+    return told.join(full, "sha").select(
         F.col("key").alias(key), "class_id", "class_size", "copies", "links", "sha", "row")
 
 
@@ -409,11 +456,14 @@ def keep_one_of_each_class(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = docs.columns
     judged = saved(near_classes(docs).select(F.col("doc_id").alias("__id"), F.col("sha").alias("__sha"),
                                              F.col("doc_id").eqNullSafe(F.col("class_id")).alias("__stays")), "judged")
-    per_id = saved(judged.groupBy("__id").agg(F.count(F.lit(1)).alias("__n"), F.max("__stays").alias("__any"))
-                   .where("__any").drop("__any"), "ids")
-    rows = docs.join(per_id, F.col("doc_id").eqNullSafe(F.col("__id")))
-    once = rows.where("__n = 1").select(names)
-    if not per_id.where("__n > 1").head(1):
+    per_id = saved(judged.groupBy("__id").agg(F.count(F.lit(1)).alias("__n"), F.max("__stays").alias("__any")), "ids")
+    # ids of one row that stays need no join, and their texts no shuffle
+    other = saved(per_id.where("__id is null or __n > 1 or not __any"), "other-ids")
+    keyed = docs.withColumn("__key", F.col("doc_id").cast("long"))
+    rows = (sift(keyed, "__key", other, "__id")
+            .join(per_id.where("__any").drop("__any"), F.col("__key").eqNullSafe(F.col("__id"))))
+    once = sift_out(keyed, "__key", other, "__id").select(names).unionByName(rows.where("__n = 1").select(names))
+    if not other.where("__n > 1 and __any").head(1):
         return once
     # ids of several rows: their texts decide, and of rows with one text one stays
     digest = F.pandas_udf(lambda texts: pd.Series([_digest(t) for t in texts], dtype=object), "binary", F.PandasUDFType.SCALAR)
