@@ -14,7 +14,7 @@ import heapq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, saved, small_frame, table
+from .common import WORD, saved, sift, small_frame, table
 
 # The weights of the sources in code point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -249,14 +249,19 @@ def sample_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     names = docs.columns
     rows = docs.withColumn("__row", F.xxhash64(*names))
-    copies = saved(_mixed(rows, keep=("__row",))[0].where("copies > 0")
-                   .groupBy("doc_id", "__row").agg(F.sum("copies").alias("__copies")), "copies")
+    copies = saved(_mixed(rows, keep=("__row",))[0]
+                   .groupBy(F.col("doc_id").alias("__id"), F.col("__row").alias("__same"))
+                   .agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__n")).where("__copies > 0"), "copies")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__same"))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__k")
+    once = rows.join(copies.where("__n = 1"), same).select(*names, times).select(names)
+    several = copies.where("__n > 1")
+    if not several.head(1):
+        return once
     # equal rows are interchangeable: one of them stands for all that the mix takes of them
-    one = rows.groupBy("doc_id", "__row").agg(F.first(F.struct(*names)).alias("__one")).alias("d")
-    taken = one.join(copies.select(F.col("doc_id").alias("__id"), F.col("__row").alias("__same"), "__copies"),
-                     F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__same")))
-    return (taken.withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-            .select("__one.*"))
+    one = (sift(rows, "__row", several, "__same").join(several, same).groupBy("doc_id", "__row", "__copies")
+           .agg(F.first(F.struct(*names)).alias("__one")))
+    return once.unionByName(one.select("__one", times).select("__one.*"))
 
 
 def op9_source_mixing(spark, sf_dir: str) -> DataFrame:
