@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, seeded, sift, table
+from .common import arrow_batches, saved, seeded, sift, table
 
 TOKEN = re.compile(r"\w+")
 STEMS = (4, 5, 6)            # lengths of stems
@@ -33,7 +33,9 @@ LEAST_ODDS = 4.0             # log odds ratio of a term, toxic against clean doc
 SURE_ODDS = 2.0              # its lower bound (95 %)
 PART_TERMS = 2_000           # terms in one automaton; a larger lexicon is read by several
 MAX_FIT_ROWS = 20_000        # labelled rows on which the few weights of the model are fitted
-MEMO_TOKENS = 300_000        # judged tokens that a task remembers
+MEMO_TOKENS = 1 << 16        # judged or counted tokens that a task holds; bounds memory, never results
+BATCH = 2048                 # rows that a Python worker gets at once
+BATCH_BYTES = 2 << 20        # and about their bytes; both bound memory, never results
 WINDOW = 8                   # words before and after a hit
 BITMAP_BYTES = 4096          # of Spark's bitmaps
 MAX_LABEL_BYTES = 64 << 20   # of label bitmaps that are broadcast
@@ -201,8 +203,9 @@ class Reader:
                 found = (m.stems[stem], 0)
             elif (near := self.near(token)) is not None and not self._innocent(token):
                 found = (m.words[self.terms[near[0]]], near[1])
-        if len(self.memo) < MEMO_TOKENS:
-            self.memo[token] = found
+        if len(self.memo) >= MEMO_TOKENS:
+            self.memo.clear()
+        self.memo[token] = found
         return found
 
     def features(self, text: str | None) -> list[float]:
@@ -419,18 +422,21 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Only texts are scored; null texts score like empty ones, repeated rows each, and an
     empty table gives an empty result. A null id is not held out.
     """
-    model = train_model(labelled_rows(docs, labels))
-    scored = _with_features(docs, model, ("doc_id",))
+    # saved here: how much a worker gets at once is settled where the job runs
+    with arrow_batches(docs.sparkSession, BATCH, BATCH_BYTES):
+        model = train_model(labelled_rows(docs, labels))
+        scored = saved(_with_features(docs, model, ("doc_id",)).select("doc_id", "score"), "scored")
     return scored.select("doc_id", F.coalesce(_remainder() == 0, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the model calls toxic go; all columns are kept."""
-    model = train_model(labelled_rows(docs, table(spark, sf_dir, "labels")))
     names = docs.columns
-    judged = docs.withColumn("__toxic", _toxic_column(model)(F.col("text")))
-    return judged.where(~F.col("__toxic")).select(names)
+    with arrow_batches(spark, BATCH, BATCH_BYTES):
+        model = train_model(labelled_rows(docs, table(spark, sf_dir, "labels")))
+        judged = docs.withColumn("__toxic", _toxic_column(model)(F.col("text")))
+        return saved(judged.where(~F.col("__toxic")).select(names), "clean")
 
 
 def _toxic_column(model: Model):
