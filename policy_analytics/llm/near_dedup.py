@@ -164,24 +164,40 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> flo
 
 
 def sketch_rows(rows: DataFrame, sketches: int = SKETCHES, sample: int = SAMPLE, k: int = K) -> DataFrame:
-    """``rows(row, key, text)`` -> ``(row, key, sha, n, cells, keys, kmers)``; no keys for texts without words."""
+    """``rows(row, key, text)`` -> ``(row, key, sha, n, cells, keys, words)``; no keys for texts without words.
+
+    ``words`` are the normalised words, joined by one space: they take less room than the
+    k-mers, 8 bytes a word that nothing compresses, and give them again where pairs need them.
+    """
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict[str, int] = {}
         for b in batches:
-            shas, sizes, counts, keys, all_kmers = [], [], [], [], []
+            shas, sizes, counts, keys, all_words = [], [], [], [], []
             for t in b["text"]:
                 words = normalised_words(t)
-                shas.append(hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest())
+                joined = " ".join(words)
+                shas.append(hashlib.sha256(joined.encode("utf-8", "surrogatepass")).digest())
                 x = kmers(words, memo, k)
                 sizes.append(len(x))
                 counts.append(cells(x))
-                all_kmers.append(x.view(np.int64))
+                all_words.append(joined)
                 keys.append(order_minhash(x, sketches, sample) if len(x) else np.zeros(0, dtype=np.int64))
-            yield b[["row", "key"]].astype({"key": "Int64"}).assign(sha=shas, n=sizes, cells=counts, keys=keys, kmers=all_kmers)
+            yield b[["row", "key"]].astype({"key": "Int64"}).assign(sha=shas, n=sizes, cells=counts, keys=keys, words=all_words)
 
     return rows.select("row", "key", "text").mapInPandas(
-        make, "row long, key long, sha binary, n long, cells binary, keys array<long>, kmers array<long>")
+        make, "row long, key long, sha binary, n long, cells binary, keys array<long>, words string")
+
+
+def _held(texts: DataFrame) -> str:
+    """The column that gives the k-mers of ``texts``: ``words``, or ``kmers`` themselves."""
+    return "words" if "words" in texts.columns else "kmers"
+
+
+def _kmers_of(values: pd.Series, memo: dict[str, int]) -> Iterator[np.ndarray]:
+    """The k-mers of every value of such a column, as signed 64-bit numbers."""
+    for v in values:
+        yield kmers(WORDS.findall(v), memo).view(np.int64) if isinstance(v, str) else v
 
 
 def likely(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -203,16 +219,19 @@ def likely(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``pairs(a, b)`` of ``texts(id, kmers)`` that reach the similarity, as ``(a, b, found)``."""
+    """``pairs(a, b)`` of ``texts(id, words or kmers)`` that reach the similarity, as ``(a, b, found)``."""
+    held = _held(texts)
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo: dict[str, int] = {}
         for batch in batches:
-            found = [aligned(ka, kb, similarity) for ka, kb in zip(batch["ka"], batch["kb"], strict=True)]
+            found = [aligned(ka, kb, similarity)
+                     for ka, kb in zip(_kmers_of(batch["ka"], memo), _kmers_of(batch["kb"], memo), strict=True)]
             out = batch[["a", "b"]].assign(found=np.array(found, dtype=float))
             yield out[out["found"] > 0]
 
-    one = sift(texts, "id", pairs, "a").select(F.col("id").alias("a"), F.col("kmers").alias("ka"))
-    two = sift(texts, "id", pairs, "b").select(F.col("id").alias("b"), F.col("kmers").alias("kb"))
+    one = sift(texts, "id", pairs, "a").select(F.col("id").alias("a"), F.col(held).alias("ka"))
+    two = sift(texts, "id", pairs, "b").select(F.col("id").alias("b"), F.col(held).alias("kb"))
     return pairs.select("a", "b").join(one, "a").join(two, "b").mapInPandas(check, "a long, b long, found double")
 
 
@@ -292,29 +311,32 @@ def _across(rows: DataFrame, alike) -> DataFrame:
 
 
 def _common_kmers(texts: DataFrame, most: int = COMMON) -> tuple[np.ndarray, np.ndarray]:
-    """Up to ``most`` of the most frequent k-mers of ``texts(kmers)``, sorted, with about their numbers of texts.
+    """Up to ``most`` of the most frequent k-mers of ``texts(words or kmers)``, sorted, with about their numbers of texts.
 
     k-mers are counted per COUNTED k-mers of a task and summed where such a part holds several.
     The result only orders k-mers: pairs are complete whatever it holds.
     """
+    held_as = _held(texts)
 
     def several(parts: list[np.ndarray]) -> pd.DataFrame:
         h, c = np.unique(np.concatenate(parts), return_counts=True)
         return pd.DataFrame({"kmer": h[c > 1], "c": c[c > 1]})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo: dict[str, int] = {}
         parts, held = [], 0
         for b in batches:
             # copies: an array of a batch would keep the whole batch
-            parts += [np.array(x) for x in b["kmers"]]
-            held += sum(map(len, b["kmers"]))
+            own = [np.array(x) for x in _kmers_of(b[held_as], memo)]
+            parts += own
+            held += sum(map(len, own))
             if held >= COUNTED:
                 yield several(parts)
                 parts, held = [], 0
         if parts:
             yield several(parts)
 
-    counts = saved(texts.select("kmers").mapInPandas(count, "kmer long, c long").groupBy("kmer").agg(F.sum("c").alias("c")), "common")
+    counts = saved(texts.select(held_as).mapInPandas(count, "kmer long, c long").groupBy("kmer").agg(F.sum("c").alias("c")), "common")
     width = F.length(F.bin("c"))
     total, least = 0, 65
     for r in sorted(counts.groupBy(width.alias("w")).count().collect(), key=lambda r: -r["w"]):
@@ -328,13 +350,16 @@ def _common_kmers(texts: DataFrame, most: int = COMMON) -> tuple[np.ndarray, np.
 
 
 def _rare_kmers(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], similarity: float) -> DataFrame:
-    """``texts(id, kmers)`` -> ``(id, n, rare, at)``: the rarest k-mers of each text, in that order, and their places."""
+    """``texts(id, words or kmers)`` -> ``(id, n, rare, at)``: the rarest k-mers of each text, in that order, and their places."""
+    held = _held(texts)
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frequent, counts = common
+        memo: dict[str, int] = {}
         for b in batches:
-            rare, at = [], []
-            for h in b["kmers"]:
+            sizes, rare, at = [], [], []
+            for h in _kmers_of(b[held], memo):
+                sizes.append(len(h))
                 c = np.zeros(len(h), dtype=np.int64)
                 if len(frequent):
                     i = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
@@ -342,9 +367,9 @@ def _rare_kmers(texts: DataFrame, common: tuple[np.ndarray, np.ndarray], similar
                 first = np.lexsort((h, c))[:len(h) - math.ceil(similarity * len(h) - 1e-9) + 1]
                 rare.append(h[first])
                 at.append(first.astype(np.int32))
-            yield b[["id"]].assign(n=[len(h) for h in b["kmers"]], rare=rare, at=at)
+            yield b[["id"]].assign(n=sizes, rare=rare, at=at)
 
-    return texts.select("id", "kmers").mapInPandas(pick, "id long, n long, rare array<long>, at array<int>")
+    return texts.select("id", held).mapInPandas(pick, "id long, n long, rare array<long>, at array<int>")
 
 
 def _rare_pairs(wide: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -417,8 +442,13 @@ def _near_classes(docs: DataFrame, key: str, text: str, similarity: float) -> Da
     # a text is named by its least row number; the digest of its words tells texts apart
     named = saved(rows.groupBy("sha").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"),
                                           F.min("key").alias("least")), "named")
-    sketches = saved(rows.where("n > 0").select(F.col("row").alias("id"), "n", "keys").join(named.select("id"), "id", "left_semi"), "sketches")
-    texts = rows.select(F.col("row").alias("id"), "n", "cells", "kmers")
+    # the other rows of a text, by their numbers; keys of rows that cannot be among them are not shuffled
+    copies = saved(rows.select(F.col("row").alias("id")).join(named.select("id"), "id", "left_anti"), "copies")
+    sketched = rows.where("n > 0").select(F.col("row").alias("id"), "n", "keys")
+    sketches = saved(sift_out(sketched, "id", copies, "id")
+                     .unionByName(sift(sketched, "id", copies, "id").join(copies, "id", "left_anti")), "sketches")
+    drop_saved(copies)
+    texts = rows.select(F.col("row").alias("id"), "n", "cells", "words")
     members = _members(sketches)
     drop_saved(sketches)
     links, classes, tested = None, None, None

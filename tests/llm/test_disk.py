@@ -6,7 +6,9 @@ import random
 import time
 
 import numpy as np
-from policy_analytics.llm import common, mixing, near_dedup
+import pandas as pd
+import pytest
+from policy_analytics.llm import common, mixing, near_dedup, toxicity
 from pyspark.sql import functions as F
 
 SMOKE = "/root/testdata/sf0.001"
@@ -115,3 +117,70 @@ def test_saved_leaves_no_shuffle_files(spark):
     assert written.count() == 100
     assert rows.sparkSession.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
     assert len(left) <= 1 or all(f in before for f in left), left
+
+
+def test_near_classes_keep_words_and_not_their_kmers(spark, monkeypatch):
+    """Tables hold no list of k-mers a word, which takes more room than the text; pairs get the same k-mers from the words."""
+    rng = random.Random(9)
+    base = [f"W{rng.randint(0, 10 ** 6)}" for _ in range(120)]
+    texts = [" ".join(base), "  ".join([*base[:-2], "other", "end"]), "\t".join(base).lower(), " ".join(base[::-1]), "Straße İ  x", "", " \n", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tables = {}
+
+    def watch(df, name, save=near_dedup.saved):
+        tables.setdefault(name, set()).update(df.columns)
+        return save(df, name)
+
+    monkeypatch.setattr(near_dedup, "saved", watch)
+    got = {r["doc_id"]: (r["class_id"], r["copies"]) for r in near_dedup.near_classes(docs).collect()}
+    assert got == {0: (0, 2), 1: (0, 1), 2: (0, 2), 3: (3, 1), 4: (4, 1), 5: (5, 3), 6: (5, 3), 7: (5, 3)}
+    assert "sketched" in tables and not any("kmers" in columns for columns in tables.values())
+    words = [near_dedup.normalised_words(t) for t in texts]
+    held = near_dedup._kmers_of([" ".join(w) for w in words], {})
+    assert all(np.array_equal(x, near_dedup.kmers(w, {}).view("int64")) for x, w in zip(held, words, strict=True))
+
+
+def test_sketches_of_one_row_a_text(spark, monkeypatch):
+    """Of equal texts one row is sketched, and only rows that may be copies are joined."""
+    texts = ["a b c d e f", "A  b c d e f", "g h i j k l", "g h i j k m", None, "a b c d e f"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = {}
+
+    def watch(sketches):
+        seen["n"], seen["ids"] = sketches.count(), sketches.select("id").distinct().count()
+        raise InterruptedError
+
+    monkeypatch.setattr(near_dedup, "_members", watch)
+    with pytest.raises(InterruptedError):
+        near_dedup.near_classes(docs)
+    assert seen == {"n": 3, "ids": 3}
+
+
+def test_toxicity_hands_on_few_bytes_at_once(spark, monkeypatch):
+    """The stage judges long texts in batches of bounded bytes, all of them, and the settings come back."""
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words "), 20_000).alias("text"))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, most = spark.conf.get(name), toxicity.BATCH_BYTES + 220_000
+
+    def judge(model):
+        @F.pandas_udf("boolean")
+        def toxic(texts: pd.Series) -> pd.Series:
+            if texts.str.len().sum() > most:
+                raise MemoryError("too many bytes at once")
+            return texts.isna()
+        return toxic
+
+    monkeypatch.setattr(toxicity, "_toxic_column", judge)
+    assert toxicity.drop_toxic(spark, docs, SMOKE).count() == 60
+    assert spark.conf.get(name) == before
+
+
+def test_toxicity_remembers_few_tokens(monkeypatch):
+    """Past its bound a reader forgets and judges anew: its memory is bounded and its judgement the same."""
+    model = toxicity.Model(words={"zorkblat": 6.0, "quxing": 5.0})
+    tokens = [f"w{i}" for i in range(300)] + ["zorkblat", "zorkblut", "quxing"]
+    want = [model.reader().hit(t) for t in tokens]
+    assert toxicity.MEMO_TOKENS <= 1 << 16
+    monkeypatch.setattr(toxicity, "MEMO_TOKENS", 16)
+    reader = model.reader()
+    assert [reader.hit(t) for t in tokens + tokens] == want + want and len(reader.memo) <= 16
